@@ -50,3 +50,38 @@ def bucketed_row_number(
     return ranked.join(offsets, [*partition_cols, "_bkt"]).withColumn(
         out, (F.col("_off") + F.col("_local")).cast("long")
     ).drop("_bkt", "_off", "_local")
+
+
+def _window(partition_cols: list[str]) -> Window:
+    return Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy(F.lit(0))
+
+
+def bucketed_running_sum(
+    df: DataFrame,
+    partition_cols: list[str],
+    order_cols: list[str],
+    value: str,
+    bucket: Column,
+    out: str,
+) -> DataFrame:
+    """Inclusive running ``sum(value)`` in key order (W04) without a one-task
+    window: per-bucket totals (small table) give each bucket's offset, a
+    window inside ``(partition, bucket)`` gives the local part."""
+    b = df.withColumn("_bkt", bucket)
+    sums = b.groupBy(*partition_cols, "_bkt").agg(F.sum(value).alias("_s"))
+    before = _window(partition_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
+    local = (
+        Window.partitionBy(*partition_cols, "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        b.withColumn("_loc", F.sum(value).over(local))
+        .join(offsets, [*partition_cols, "_bkt"])
+        .withColumn(out, F.col("_off") + F.col("_loc"))
+        .drop("_bkt", "_off", "_loc")
+    )
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], bucket: Column, out: str = "rank") -> DataFrame:
+    """0-based rank over the whole table (two-level, see module docstring)."""
+    return bucketed_row_number(df.withColumn("_all", F.lit(0)), ["_all"], order_cols, bucket, out).drop("_all")
