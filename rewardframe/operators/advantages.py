@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col_
 
-EMPTY_DOUBLES = F.array().cast("array<double>")
+def empty_doubles():
+    return F.array().cast("array<double>")
 
 
 # ---------------------------------------------------------------- G01-G03
@@ -98,7 +99,7 @@ def gae(rewards: Column, values: Column, gamma: float = 1.0, lam: float = 0.95)
     prepends to the accumulator, so cost is O(L^2) in the stored width
     (generation length, 33 here); use :func:`gae_grouped` for long rollouts."""
     gl = F.lit(float(gamma) * float(lam))
-    start = F.struct(F.lit(0.0).alias("last"), EMPTY_DOUBLES.alias("out"))
+    start = F.struct(F.lit(0.0).alias("last"), empty_doubles().alias("out"))
 
     def step(acc, d):
         a = d + gl * acc["last"]

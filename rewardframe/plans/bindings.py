@@ -96,7 +96,7 @@ def token_rollouts(spark: SparkSession, sf: str, cfg: PPOConfig = PPO) -> DataFr
     def with_slot(per_line, slot_value: float):
         return F.concat(
             F.transform(lines, per_line),
-            F.when(slot, F.array(F.lit(slot_value))).otherwise(G.EMPTY_DOUBLES),
+            F.when(slot, F.array(F.lit(slot_value))).otherwise(G.empty_doubles()),
         )
 
     lp = lambda l: -(l["l_discount"] * 10 + 0.01)
