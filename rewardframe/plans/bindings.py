@@ -32,7 +32,12 @@ def rlvr_completions(spark: SparkSession, sf: str) -> DataFrame:
 def doc_rollouts(spark: SparkSession, sf: str, stop: str | None = STOP_WORD) -> DataFrame:
     """Binding 2: whitespace tokens of the whole document are the response,
     truncated at the first stop word (kept).  Ragged, so ``seq_len = size-1``."""
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text", "n_chars")
+    return rollouts_of_documents(table(spark, sf, "documents"), stop)
+
+
+def rollouts_of_documents(documents: DataFrame, stop: str | None = STOP_WORD) -> DataFrame:
+    """Binding 2 on any documents DataFrame, batch or streaming (column functions only)."""
+    d = documents.select("doc_id", "lang", "text", "n_chars")
     return (
         d.withColumn("tokens", split_ws("text"))
         .withColumn("post", S.truncate_at_stop("tokens", stop))
