@@ -566,3 +566,23 @@ def generation_groups(spark, sf):
     d = TB.table(spark, sf, "documents").select("doc_id")
     g = B.generation_groups(d, 4)
     return g.select("doc_id", F.col("generation").cast("long"), (F.col("doc_id") * 4 + F.col("generation")).alias("rollout_key"))
+
+
+@query(
+    "rollout_union",
+    f"""SELECT 'documents' AS source, doc_id AS rollout_id, CAST(len({Q.split_ws('text')}) AS BIGINT) AS n_tokens, NULL::BIGINT AS turn
+          FROM documents
+        UNION ALL
+        SELECT 'conversations', conv_id, CAST(len({Q.split_ws('text')}) AS BIGINT), turn FROM conversations WHERE role = 'assistant'""",
+    [],
+    "S05 U01",
+)
+def rollout_union(spark, sf):
+    """Rollout chunks from two sources concatenated by column name."""
+    d = TB.table(spark, sf, "documents").select(
+        F.lit("documents").alias("source"), F.col("doc_id").alias("rollout_id"), F.size(split_ws("text")).alias("n_tokens")
+    )
+    c = TB.table(spark, sf, "conversations").where(F.col("role") == "assistant").select(
+        F.lit("conversations").alias("source"), F.col("conv_id").alias("rollout_id"), F.size(split_ws("text")).alias("n_tokens"), "turn"
+    )
+    return TB.union_chunks([d, c])

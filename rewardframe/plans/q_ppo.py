@@ -556,3 +556,9 @@ def sample_cadence(spark, sf):
     u = global_row_number(o, ["o_orderkey"], range_bucket("o_orderkey", 4096), "rank")
     u = u.withColumn("update_no", F.col("rank") + 1).drop("rank")
     return cadence(u, "update_no", n, 10)
+
+
+def append_update_metrics(spark, sf, path: str) -> None:
+    """S10 sink: append one metric record per update to the run log,
+    partitioned by run for pruning."""
+    TB.write_partitioned(update_metrics_df(spark, sf), path, ["run_id"], "append")
