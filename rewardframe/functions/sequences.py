@@ -131,3 +131,10 @@ def last_valid(values: Column | str, tokens: Column | str, pad) -> Column:
     pairs = F.arrays_zip(col_(tokens).alias("tok"), col_(values).alias("val"))
     kept = F.filter(pairs, lambda p: p["tok"] != _lit(pad))
     return F.element_at(kept, -1)["val"]
+
+
+def explode_rows(x: Column | str) -> Column:
+    """``explode_outer``: like ``explode`` but Catalyst does not infer a
+    ``size(x) > 0`` filter from it, which would evaluate an expensive array
+    expression twice.  Empty/NULL arrays give one NULL row: filter it out."""
+    return F.explode_outer(col_(x))

@@ -65,7 +65,7 @@ def array_stats(df: DataFrame, arr: str, n_valid: Column, keys: list[str]) -> Da
     """Mean and sample variance per ``keys`` of the first ``n_valid`` elements of
     ``arr`` (explode + partial aggregate)."""
     return (
-        df.select(*keys, F.posexplode(arr).alias("_pos", "_v"), n_valid.alias("_nv"))
+        df.select(*keys, F.posexplode_outer(arr).alias("_pos", "_v"), n_valid.alias("_nv"))
         .where(F.col("_pos") < F.col("_nv"))
         .groupBy(*keys)
         .agg(F.avg("_v").alias("_mu"), F.var_samp("_v").alias("_var"), F.count("_v").alias("_n"))

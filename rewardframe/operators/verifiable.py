@@ -51,7 +51,7 @@ def rouge_n(df: DataFrame, key: str, pred: str, target: str, n: int) -> DataFram
         F.array(F.struct(F.lit(None).cast("string").alias("k"), F.lit(0).alias("p"), F.lit(0).alias("t"))),
     )
     per_gram = (
-        toks.select(key, F.explode(grams).alias("g"))
+        toks.select(key, F.explode_outer(grams).alias("g"))
         .groupBy(key, F.col("g.k").alias("k"))
         .agg(F.sum("g.p").alias("cp"), F.sum("g.t").alias("ct"))
     )

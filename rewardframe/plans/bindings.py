@@ -84,7 +84,7 @@ def token_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order with its lines sorted into token order."""
     li = table(spark, sf, "lineitem").select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
     return li.groupBy(F.col("l_orderkey").alias("rollout_id")).agg(
-        F.array_sort(F.collect_list(F.struct(*LINE_ORDER, "l_discount", "l_tax"))).alias("lines")
+        F.sort_array(F.collect_list(F.struct(*LINE_ORDER, "l_discount", "l_tax"))).alias("lines")
     )
 
 
@@ -161,6 +161,8 @@ def token_long(wide: DataFrame, cols: list[str], keep: list[str] | None = None)
     """Wide -> long: one row per stored position ``t`` (F04 table function)."""
     keep = keep or ["rollout_id", "run_id", "batch_id", "seq_len"]
     z = F.arrays_zip(*[F.col(c) for c in cols])
-    return wide.select(*keep, F.posexplode(z).alias("t", "_z")).select(
+    # the _outer generator avoids the inferred ``size(z) > 0`` filter, which
+    # would evaluate the whole per-rollout expression chain a second time
+    return wide.select(*keep, F.posexplode_outer(z).alias("t", "_z")).where(F.col("t").isNotNull()).select(
         *keep, F.col("t").cast("int").alias("t"), *[F.col("_z")[c].alias(c) for c in cols]
     )

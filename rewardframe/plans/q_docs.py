@@ -192,7 +192,7 @@ def position_ids(spark, sf):
     """Attention mask ``token != pad`` with pad = eos (the scripts' fallback)
     and position ids as the exclusive running count of the mask (long form,
     window per rollout)."""
-    ro = doc_rollouts(spark, sf).select("rollout_id", F.posexplode("tokens").alias("t", "tok"))
+    ro = doc_rollouts(spark, sf).select("rollout_id", F.posexplode_outer("tokens").alias("t", "tok")).where(F.col("t").isNotNull())
     w = Window.partitionBy("rollout_id").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
     pm = ro.withColumn("m", F.col("tok") != F.lit("and"))
     pp = pm.withColumn("pos", F.coalesce(F.sum(F.col("m").cast("long")).over(w), F.lit(0)))
@@ -337,7 +337,8 @@ def sentence_repetition(spark, sf):
 )
 def ngram_counts(spark, sf):
     """Count per 3-gram inside each rollout, repeated grams only (hash aggregate)."""
-    ro = doc_rollouts(spark, sf).select("rollout_id", F.explode(S.ngram_keys("tokens", 3)).alias("gram"))
+    ro = doc_rollouts(spark, sf).select("rollout_id", S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram"))
+    ro = ro.where(F.col("gram").isNotNull())
     return ro.groupBy("rollout_id", "gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
@@ -350,7 +351,7 @@ def ngram_counts(spark, sf):
 )
 def top_ngrams(spark, sf):
     """Top 20 corpus 3-grams (a top-k report; total order by count then gram)."""
-    g = doc_rollouts(spark, sf).select(F.explode(S.ngram_keys("tokens", 3)).alias("gram"))
+    g = doc_rollouts(spark, sf).select(S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram")).where(F.col("gram").isNotNull())
     return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gram").limit(20)
 
 
@@ -366,7 +367,8 @@ def top_ngrams(spark, sf):
 def distinct_n(spark, sf):
     """Distinct-2 diversity per language (exact distinct; approx_count_distinct
     is the option at scale)."""
-    g = doc_rollouts(spark, sf).select("lang", F.explode(S.ngram_keys("tokens", 2)).alias("gram"))
+    g = doc_rollouts(spark, sf).select("lang", S.explode_rows(S.ngram_keys("tokens", 2)).alias("gram"))
+    g = g.where(F.col("gram").isNotNull())
     return g.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_grams"),
         F.count_distinct("gram").alias("n_distinct"),

@@ -126,7 +126,7 @@ def chat_render(spark, sf):
     """Render each conversation with the chat template (per-conversation
     ``collect_list`` + ``array_sort`` by turn, native string functions)."""
     c = TB.table(spark, sf, "conversations")
-    g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("msgs"))
+    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("msgs"))
     r = g.select("conv_id", F.size("msgs").alias("n_turns"), render(F.col("msgs")).alias("rendered"))
     return r.select("conv_id", "n_turns", F.length("rendered").alias("rendered_chars"), F.md5("rendered").alias("rendered_md5"))
 
