@@ -36,7 +36,7 @@ def _masked_sum(z: Column, limit: Column, term) -> Column:
     return F.aggregate(kept, F.lit(0.0), lambda acc, s: acc + term(s))
 
 
-def rollout_loss_sums(wide: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
+def rollout_loss_sums(wide: DataFrame, cfg: PPOConfig = PPO, extra: list[Column] | None = None) -> DataFrame:
     """Per-rollout sums of every loss term over its mask (``t <= seq_len`` for
     the policy, ``t <= seq_len + 1`` for the value)."""
     z = F.arrays_zip("logprob", "new_logprob", "value", "new_value", "returns", "advantages")
@@ -73,10 +73,13 @@ def rollout_loss_sums(wide: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
         _masked_sum(F.col("_z"), sl, lambda s: d(s) * d(s)).alias("dlp2_sum"),
         _masked_sum(F.col("_z"), sl, lambda s: ratio(s["new_logprob"], s["logprob"])).alias("ratio_sum"),
         _masked_sum(F.col("_z"), sl, lambda s: -s["new_logprob"]).alias("ent_sum"),
+        *(extra or []),
     )
 
 
-def stats_from_sums(sums: DataFrame, keys: list[str], cfg: PPOConfig = PPO) -> DataFrame:
+def stats_from_sums(
+    sums: DataFrame, keys: list[str], cfg: PPOConfig = PPO, extra: dict[str, Column] | None = None
+) -> DataFrame:
     """O02-O07 for any grouping of rollouts (a micro-batch, a batch):
     masked means, unmasked approxkl / ratio over ``n_rollouts * L``, and
     the total loss.  Entropy is the masked mean of ``-new_logprob`` (the
@@ -93,6 +96,7 @@ def stats_from_sums(sums: DataFrame, keys: list[str], cfg: PPOConfig = PPO) -> D
         F.sum("dlp2_sum").alias("_d2"),
         F.sum("ratio_sum").alias("_r"),
         F.sum("ent_sum").alias("_e"),
+        *[c.alias(n) for n, c in (extra or {}).items()],
     )
     slots = F.col("n_rollouts") * F.lit(L)
     pg_loss = F.try_divide(F.col("_pg"), F.col("_npg"))
@@ -108,4 +112,5 @@ def stats_from_sums(sums: DataFrame, keys: list[str], cfg: PPOConfig = PPO) -> D
         F.try_divide(F.col("_e"), F.col("_npg")).alias("entropy"),
         ((F.col("_r") + (slots - F.col("_npg"))) / slots).alias("ratio"),
         (pg_loss + F.lit(cfg.vf_coef) * vf_loss).alias("loss"),
+        *list(extra or {}),
     )

@@ -22,8 +22,9 @@ def day_index(ts: str = "ts"):
 
 @query(
     "run_compare",
-    f"""WITH a AS (SELECT {DAY} AS day, event_type, avg(value) AS v FROM events WHERE user_id % 2 = 0 GROUP BY ALL),
-         b AS (SELECT {DAY} AS day, event_type, avg(value) AS v FROM events WHERE user_id % 2 = 1 GROUP BY ALL)
+    f"""WITH g AS (SELECT {DAY} AS day, event_type, CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS run, avg(value) AS v
+               FROM events GROUP BY ALL),
+         a AS (SELECT * FROM g WHERE run = 'a'), b AS (SELECT * FROM g WHERE run = 'b')
     SELECT coalesce(a.day, b.day) AS day, coalesce(a.event_type, b.event_type) AS event_type,
            a.v AS value_a, b.v AS value_b, b.v - a.v AS delta
     FROM a FULL OUTER JOIN b ON a.day = b.day AND a.event_type = b.event_type""",
@@ -31,14 +32,20 @@ def day_index(ts: str = "ts"):
     "J05",
 )
 def run_compare(spark, sf):
-    """Two runs (even vs odd run ids) on the same step (day) and metric:
-    full outer join of the two aggregates, with the delta."""
+    """Two runs on the same step (day) and metric: one aggregate over the
+    whole table labelled by run, then a full outer join of the two runs'
+    rows with the delta (runs: even / odd run ids)."""
     e = TB.table(spark, sf, "events").withColumn("day", day_index())
-    side = lambda parity, name: (
-        e.where(F.col("user_id") % 2 == parity).groupBy("day", "event_type").agg(F.avg("value").alias(name))
-    )
-    j = side(0, "value_a").join(side(1, "value_b"), ["day", "event_type"], "full_outer")
-    return j.withColumn("delta", F.col("value_b") - F.col("value_a"))
+    e = e.withColumn("run", F.when(F.col("user_id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")))
+    g = e.groupBy("day", "event_type", "run").agg(F.avg("value").alias("v"))
+    return compare_runs(g, "run", "a", "b", ["day", "event_type"], "v")
+
+
+def compare_runs(long_metrics, run_col: str, run_a: str, run_b: str, keys: list[str], value: str):
+    """Full outer join of two runs' metrics on the step keys, plus the delta."""
+    a = long_metrics.where(F.col(run_col) == run_a).select(*keys, F.col(value).alias("value_a"))
+    b = long_metrics.where(F.col(run_col) == run_b).select(*keys, F.col(value).alias("value_b"))
+    return a.join(b, keys, "full_outer").withColumn("delta", F.col("value_b") - F.col("value_a"))
 
 
 @query(

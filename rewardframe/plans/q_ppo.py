@@ -401,33 +401,46 @@ UPDATE_DOUBLES = [
 
 
 def update_metrics_df(spark, sf):
-    """One record per (run, update)."""
+    """One record per (run, update) in a single pass over the wide
+    rollouts: per-rollout loss and objective sums in one projection, one
+    join with the micro-batch assignment, one stats aggregate; the update
+    record is derived from the stats rows (objective sums from epoch 0)."""
     w = wide(spark, sf)
     sl = F.col("seq_len")
-    per = w.select(
-        "rollout_id",
-        "run_id",
-        "batch_id",
-        "score",
-        "score_raw",
-        F.aggregate("kl", F.lit(0.0), lambda a, v: a + v).alias("kl_sum"),
-        F.aggregate("non_score_reward", F.lit(0.0), lambda a, v: a + v).alias("nsr_sum"),
-        F.aggregate(F.filter("logprob", lambda v, i: i <= sl), F.lit(0.0), lambda a, v: a - v).alias("ent_valid"),
-    ).withColumn("ent_ref", F.col("ent_valid") - (F.lit(L) - F.col("seq_len_") - 1) if False else F.col("ent_valid"))
-    per = per.join(w.select("rollout_id", "seq_len"), "rollout_id").withColumn(
-        "ent_ref", F.col("ent_valid") - (F.lit(L) - F.col("seq_len") - 1)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
+    ent_valid = F.aggregate(F.filter("logprob", lambda v, i: i <= sl), F.lit(0.0), lambda a, v: a - v)
+    sums = O.rollout_loss_sums(
+        w,
+        extra=[
+            total(F.col("kl")).alias("kl_sum"),
+            total(F.col("non_score_reward")).alias("nsr_sum"),
+            ent_valid.alias("ent_valid"),
+            (ent_valid - (F.lit(L) - sl - 1)).alias("ent_ref"),
+            F.col("score"),
+            F.col("score_raw"),
+        ],
     )
-    ob = per.groupBy("run_id", "batch_id").agg(
-        F.count(F.lit(1)).alias("n_rollouts"),
-        F.avg("kl_sum").alias("objective_kl"),
-        F.avg("ent_ref").alias("objective_entropy"),
-        F.avg("ent_valid").alias("objective_entropy_valid"),
-        F.avg("nsr_sum").alias("objective_non_score_reward"),
-        (F.avg("nsr_sum") + F.avg("score")).alias("objective_rlhf_reward"),
-        F.avg("score").alias("objective_scores"),
-        F.avg("score_raw").alias("objective_scores_raw"),
+    first = F.col("ppo_epoch") == 0
+    e0 = lambda c: F.sum(F.when(first, F.col(c)))
+    st = O.stats_from_sums(
+        sums.join(micro_assignment(spark, sf), "rollout_id"),
+        ["run_id", "batch_id", "ppo_epoch", "mini", "micro"],
+        extra={
+            "_n0": F.sum(F.when(first, F.lit(1))),
+            **{f"_{c}": e0(c) for c in ("kl_sum", "nsr_sum", "ent_valid", "ent_ref", "score", "score_raw")},
+        },
     )
-    sb = stats_table(spark, sf).groupBy("run_id", "batch_id").agg(
+    n = F.sum("_n0")
+    mean = lambda c: F.sum(f"_{c}") / n
+    m = st.groupBy("run_id", "batch_id").agg(
+        n.cast("long").alias("n_rollouts"),
+        mean("kl_sum").alias("objective_kl"),
+        mean("ent_ref").alias("objective_entropy"),
+        mean("ent_valid").alias("objective_entropy_valid"),
+        mean("nsr_sum").alias("objective_non_score_reward"),
+        (mean("nsr_sum") + mean("score")).alias("objective_rlhf_reward"),
+        mean("score").alias("objective_scores"),
+        mean("score_raw").alias("objective_scores_raw"),
         F.avg("approxkl").alias("policy_approxkl_avg"),
         F.avg("pg_clipfrac").alias("policy_clipfrac_avg"),
         F.avg("pg_loss").alias("loss_policy_avg"),
@@ -437,8 +450,7 @@ def update_metrics_df(spark, sf):
         F.avg("ratio").alias("val_ratio"),
         F.var_samp("ratio").alias("val_ratio_var"),
     )
-    m = ob.join(sb, ["run_id", "batch_id"])
-    # Running episode per run over its updates; the table has one row per update
+    # Running episode per run over its updates; one row per update here
     run_w = Window.partitionBy("run_id")
     upto = run_w.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return m.withColumn("episode", F.sum("n_rollouts").over(upto).cast("long")).withColumn(
