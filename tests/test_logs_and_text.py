@@ -88,3 +88,13 @@ def test_chat_render_tool_turns(spark):
     assert sys_first.select(render(F.col("msgs")).alias("s")).first().s == (
         "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nu<|im_end|>\n"
     )
+
+
+def test_map_and_filter_rows(spark):
+    from rewardframe.operators.rowmap import filter_rows, map_rows
+
+    df = spark.range(100).selectExpr("id", "cast(id as string) as s")
+    m = map_rows(df, lambda b: b.assign(n=b["s"].str.len()), "id long, s string, n long")
+    assert m.where("n = 2").count() == 90
+    f = filter_rows(df, lambda b: b["id"] % 3 == 0)
+    assert f.count() == 34 and f.columns == ["id", "s"]
