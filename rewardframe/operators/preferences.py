@@ -6,18 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rewards import log_sigmoid_loss
-from .ranking import bucketed_row_number, range_bucket
+from .ranking import bucketed_row_number, span_bucket
 
 
-def rank_pairs(
-    chosen: DataFrame, rejected: DataFrame, group: str, key: str, score: str, bucket_width: int = 4096
-) -> DataFrame:
+def rank_pairs(chosen: DataFrame, rejected: DataFrame, group: str, key: str, score: str, buckets: int = 4096) -> DataFrame:
     """J02 rank zip: the k-th chosen row of a group (by ``key``) is paired with
     the k-th rejected row.  Linear in the input (no all-pairs); ranks are
-    built in two levels so a large group is not one task."""
+    built in two levels (at most ``buckets`` key ranges) so a large group is
+    not one task."""
 
     def ranked(df, side):
-        r = bucketed_row_number(df, [group], [key], range_bucket(key, bucket_width), "pair_rank")
+        r = bucketed_row_number(df, [group], [key], span_bucket(df, key, buckets), "pair_rank")
         return r.select(group, "pair_rank", F.col(key).alias(f"{side}_id"), F.col(score).alias(f"score_{side}"))
 
     return ranked(chosen, "chosen").join(ranked(rejected, "rejected"), [group, "pair_rank"])

@@ -32,6 +32,16 @@ def range_bucket(key: Column | str, width: int) -> Column:
     return F.floor(k / F.lit(width)).cast("long")
 
 
+def span_bucket(df: DataFrame, key: str, n: int = 4096) -> Column:
+    """Monotone bucket of a numeric key with at most ``n`` buckets spread
+    over its [min, max] (one scalar subquery), so the per-bucket offsets
+    table stays bounded however large the key range grows."""
+    mm = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi"))).scalar()
+    lo, hi = mm["lo"].cast("double"), mm["hi"].cast("double")
+    raw = F.floor((F.col(key).cast("double") - lo) * F.lit(float(n)) / (hi - lo + F.lit(1.0)))
+    return F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1)).cast("long")
+
+
 def bucketed_row_number(
     df: DataFrame,
     partition_cols: list[str],

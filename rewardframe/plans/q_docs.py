@@ -11,7 +11,7 @@ from ..functions import rewards as R
 from ..functions import sequences as S
 from ..functions.text import sentences, split_ws
 from ..operators import batching as B
-from ..operators.ranking import bucketed_running_sum, range_bucket
+from ..operators.ranking import bucketed_running_sum, span_bucket
 from ..sources import tables as TB
 from . import sqltext as Q
 from .bindings import doc_rollouts, rlvr_completions, shaped_scores
@@ -22,7 +22,6 @@ MAX_PROMPT_TOKENS = 512
 PLAN = B.BatchPlan()
 EPOCHS = 2
 SEED = 42
-ID_BUCKET = 4096  # doc ids per bucket for ordered running sums/ranks
 
 
 def prompts(spark, sf):
@@ -415,7 +414,7 @@ def running_tokens(spark, sf):
     """Cumulative token count in doc_id order (``num_tokens`` of the SFT log),
     built per id bucket plus bucket offsets (no one-task window)."""
     p = prompts(spark, sf).select("doc_id", F.col("lengths").cast("long").alias("n_tokens"))
-    return bucketed_running_sum(p, [], ["doc_id"], "n_tokens", range_bucket("doc_id", ID_BUCKET), "num_tokens")
+    return bucketed_running_sum(p, [], ["doc_id"], "n_tokens", span_bucket(p, "doc_id"), "num_tokens")
 
 
 @query(

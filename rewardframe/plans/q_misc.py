@@ -275,10 +275,12 @@ def multi_reward(spark, sf):
         F.col("toxic").cast("double").alias("r_toxic"),
         R.verifiable_reward("text", None).alias("r_verifiable"),
     )
-    stats = r.agg(*[x for c in MULTI_W for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))])
+    # one aggregate row, used as a single struct-valued scalar subquery
+    stats = r.agg(F.struct(*[x for c in MULTI_W for x in (F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}"))]))
+    st = stats.scalar()
     z = {}
     for c in MULTI_W:
-        m, s = stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()
+        m, s = st[f"m_{c}"], st[f"s_{c}"]
         z[f"z_{c}"] = F.coalesce(F.try_divide(F.col(c) - m, F.when(s != 0, s)), F.lit(0.0))
     r = r.withColumns(z)
     return r.select(

@@ -14,7 +14,7 @@ from ..config import PPO
 from ..functions import rewards as R
 from ..operators import advantages as G
 from ..operators import losses as O
-from ..operators.ranking import bucketed_row_number, global_row_number, hex_bucket, md5_key, range_bucket
+from ..operators.ranking import bucketed_row_number, global_row_number, hex_bucket, md5_key, span_bucket
 from ..sources import tables as TB
 from .bindings import LINE_ORDER, ppo_advantages, ppo_rewards, token_long, token_rollouts
 from .registry import query
@@ -565,7 +565,7 @@ def sample_cadence(spark, sf):
 
     o = TB.table(spark, sf, "orders").select("o_orderkey")
     n = o.agg(F.count(F.lit(1))).scalar()
-    u = global_row_number(o, ["o_orderkey"], range_bucket("o_orderkey", 4096), "rank")
+    u = global_row_number(o, ["o_orderkey"], span_bucket(o, "o_orderkey"), "rank")
     u = u.withColumn("update_no", F.col("rank") + 1).drop("rank")
     return cadence(u, "update_no", n, 10)
 

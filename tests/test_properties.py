@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rewardframe.functions import rewards as R
 from rewardframe.functions import sequences as S
 from rewardframe.operators import advantages as G
-from rewardframe.operators.ranking import bucketed_row_number, bucketed_running_sum, range_bucket
+from rewardframe.operators.ranking import bucketed_row_number, bucketed_running_sum, range_bucket, span_bucket
 
 
 def test_k3_nonnegative(spark):
@@ -74,7 +74,7 @@ def test_bucketed_rank_and_running_sum_match_window(spark):
     rows = [(rnd.choice("abc"), i * 7 + rnd.randint(0, 6), rnd.randint(1, 9)) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, k long, v long")
     got = bucketed_row_number(df, ["g"], ["k"], range_bucket("k", 97), "rank")
-    got = bucketed_running_sum(got, ["g"], ["k"], "v", range_bucket("k", 131), "run")
+    got = bucketed_running_sum(got, ["g"], ["k"], "v", span_bucket(got, "k", 16), "run")
     exp = {}
     for g in "abc":
         tot = 0

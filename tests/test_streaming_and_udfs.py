@@ -112,3 +112,13 @@ def test_fit_preference_separates(spark):
     out = fit_preference(spark, SF001)
     assert out.count() > 0
     assert out.agg(F.avg("p_chosen")).first()[0] > 0.5
+
+
+def test_sessions_preaggregated_equals_session_window(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    a = X.sessions(ev, "ts", "user_id", "6 hours", "value")
+    b = X.sessions_preaggregated(ev, "ts", "user_id", 6 * 3600, "value")
+    cols = ["user_id", "session_start_us", "session_end_us", "n_events"]
+    ra = sorted((tuple(r[c] for c in cols), round(r.total, 9)) for r in a.collect())
+    rb = sorted((tuple(r[c] for c in cols), round(r.total, 9)) for r in b.collect())
+    assert ra == rb and len(ra) > 100
