@@ -491,8 +491,8 @@ def ranked(spark, sf):
 @query(
     "batch_plan",
     f"""WITH p AS ({LENGTHS_SQL}), c AS (SELECT count(*) AS n FROM p WHERE lengths <= {MAX_PROMPT_TOKENS})
-        SELECT n AS n_rows, {PLAN.local_batch_size} AS local_batch_size, {PLAN.batch_size} AS batch_size,
-               {PLAN.mini_batch_size} AS mini_batch_size, CAST(floor({PLAN.num_train_epochs} * n) AS BIGINT) AS total_episodes,
+        SELECT n AS n_rows, CAST({PLAN.local_batch_size} AS BIGINT) AS local_batch_size, CAST({PLAN.batch_size} AS BIGINT) AS batch_size,
+               CAST({PLAN.mini_batch_size} AS BIGINT) AS mini_batch_size, CAST(floor({PLAN.num_train_epochs} * n) AS BIGINT) AS total_episodes,
                CAST(ceil(floor({PLAN.num_train_epochs} * n) / {PLAN.batch_size}) AS BIGINT) AS num_total_batches,
                n % {PLAN.batch_size} AS dropped_per_epoch FROM c""",
     [],

@@ -63,7 +63,7 @@ ENT_SQL = (
 
 @query(
     "token_entropy",
-    f"WITH {EMB_CTE} SELECT label, count(*) AS n, avg({ENT_SQL}) AS mean_entropy, max({ENT_SQL}) AS max_entropy FROM e GROUP BY label",
+    f"WITH {EMB_CTE} SELECT CAST(label AS BIGINT) AS label, count(*) AS n, avg({ENT_SQL}) AS mean_entropy, max({ENT_SQL}) AS max_entropy FROM e GROUP BY label",
     ["mean_entropy", "max_entropy"],
     "L03",
 )
@@ -293,7 +293,7 @@ def multi_reward(spark, sf):
 @query(
     "reward_rollup",
     f"""{SHAPED_SQL}
-    SELECT sh.lang, l.quality AS quality, CAST(GROUPING(sh.lang, l.quality) AS BIGINT) AS grouping_id, count(*) AS n,
+    SELECT sh.lang, CAST(l.quality AS BIGINT) AS quality, CAST(GROUPING(sh.lang, l.quality) AS BIGINT) AS grouping_id, count(*) AS n,
            avg(score_shaped) AS mean_shaped, avg(score_raw) AS mean_raw
     FROM (SELECT *, score_raw - eos_penalty - length_penalty - repetition_penalty AS score_shaped FROM sh) sh
     JOIN labels l ON l.doc_id = sh.rollout_id GROUP BY ROLLUP (sh.lang, l.quality)""",

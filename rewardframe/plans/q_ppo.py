@@ -23,13 +23,13 @@ L = PPO.gen_len
 SEED = PPO.seed
 TOK_CTE = f"""li AS (
   SELECT l_orderkey AS rollout_id,
-         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1 AS INTEGER) AS t,
+         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1 AS BIGINT) AS t,
          -(l_discount * 10 + 0.01) AS logprob, -(l_tax * 10 + 0.01) AS ref_logprob, l_quantity / 50 AS value,
          -(l_discount * 10 + 0.01) + (l_tax - l_discount) AS new_logprob, l_quantity / 50 + (l_discount * 10 - 0.5) AS new_value
   FROM lineitem),
 ro AS (
   SELECT o.o_orderkey AS rollout_id, CASE WHEN o.o_orderkey % 2 = 0 THEN 'baseline' ELSE 'shaped' END AS run_id,
-         o.o_orderkey % 8 AS batch_id, CAST(coalesce(c.n, 0) - 1 AS INTEGER) AS seq_len, o.o_totalprice / 1e5 AS score_raw
+         o.o_orderkey % 8 AS batch_id, CAST(coalesce(c.n, 0) - 1 AS BIGINT) AS seq_len, o.o_totalprice / 1e5 AS score_raw
   FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) c ON c.l_orderkey = o.o_orderkey),
 ros AS (SELECT *, CASE WHEN run_id = 'shaped' THEN score_raw - 0.01 * seq_len ELSE score_raw END AS score FROM ro),
 tk AS (SELECT li.* FROM li JOIN ro ON li.rollout_id = ro.rollout_id
