@@ -82,7 +82,10 @@ def conv_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order with its lines sorted into token order."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
+    # one hash shuffle by order: a partial (map-side) collect_list would not
+    # reduce anything (a handful of lines per order), so aggregate after it
+    li = table(spark, sf, "lineitem", spread_rows=False).select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
+    li = li.repartition("l_orderkey")
     return li.groupBy(F.col("l_orderkey").alias("rollout_id")).agg(
         F.sort_array(F.collect_list(F.struct(*LINE_ORDER, "l_discount", "l_tax"))).alias("lines")
     )

@@ -15,14 +15,14 @@ TABLES = (
 DIMENSIONS = {"region", "nation", "supplier", "benchmark", "labels"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """Read one driver table; column pruning and filters reach the scan.
     Fact tables are spread over the cluster's cores when the files give
     fewer scan splits than cores (see :func:`spread`)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in DIMENSIONS else spread(df)
+    return df if name in DIMENSIONS or not spread_rows else spread(df)
 
 
 def spread(df: DataFrame) -> DataFrame:
