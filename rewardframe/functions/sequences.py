@@ -138,3 +138,13 @@ def explode_rows(x: Column | str) -> Column:
     ``size(x) > 0`` filter from it, which would evaluate an expensive array
     expression twice.  Empty/NULL arrays give one NULL row: filter it out."""
     return F.explode_outer(col_(x))
+
+
+def compute_once(df, **exprs: Column):
+    """Add expensive columns so that they are evaluated once, above any
+    repartition: they come out of a one-row ``inline_outer`` generator, and
+    Catalyst cannot push a filter on generator output below the generator
+    (a filter on a plain alias is rewritten onto the scan, evaluating the
+    expression twice and before the rows are spread over the cores)."""
+    packed = F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))
+    return df.select("*", F.inline_outer(packed))

@@ -39,7 +39,7 @@ def rollouts_of_documents(documents: DataFrame, stop: str | None = STOP_WORD) ->
     """Binding 2 on any documents DataFrame, batch or streaming (column functions only)."""
     d = documents.select("doc_id", "lang", "text", "n_chars")
     return (
-        d.withColumn("tokens", split_ws("text"))
+        S.compute_once(d, tokens=split_ws("text"))
         .withColumn("post", S.truncate_at_stop("tokens", stop))
         .select(
             F.col("doc_id").alias("rollout_id"),

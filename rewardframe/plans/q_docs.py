@@ -26,7 +26,7 @@ SEED = 42
 
 def prompts(spark, sf):
     """Tokens and lengths of each prompt; source columns dropped."""
-    d = TB.table(spark, sf, "documents").select("doc_id", split_ws("text").alias("input_ids"))
+    d = S.compute_once(TB.table(spark, sf, "documents").select("doc_id", "text"), input_ids=split_ws("text"))
     return d.select("doc_id", "input_ids", F.size("input_ids").alias("lengths"))
 
 
@@ -469,8 +469,8 @@ def split_overlap(spark, sf):
 )
 def missing_eos_anti(spark, sf):
     """Prompt groups without any EOS completion (left anti) and with one (left semi)."""
+    groups = TB.table(spark, sf, "documents", spread_rows=False).select(F.expr("doc_id div 4").alias("group_id")).distinct()
     ro = doc_rollouts(spark, sf).withColumn("group_id", F.expr("rollout_id div 4"))
-    groups = ro.select("group_id").distinct()
     eos = ro.where("has_eos").select("group_id")
     anti = groups.join(eos, "group_id", "left_anti").withColumn("kind", F.lit("no_eos"))
     semi = groups.join(eos, "group_id", "left_semi").withColumn("kind", F.lit("has_eos"))
