@@ -129,6 +129,6 @@ def stream_episode(spark, sf):
 )
 def stream_shaping(spark, sf):
     """Rollouts shaped as they land: the batch column functions on a stream."""
-    s = read_stream(spark, f"{sf}/documents.parquet")
+    s = read_stream(spark, f"{sf}/documents.parquet", spread_rows=True)
     sh = shaped_scores(rollouts_of_documents(s)).select("rollout_id", "score_shaped")
     return run_available(sh, "stream_shaping", "append").drop("_batch")

@@ -21,12 +21,20 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{base}/streams/{tag}/out", f"{base}/streams/{tag}/checkpoint"
 
 
-def read_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, max_files: int | None = None, spread_rows: bool = False) -> DataFrame:
     """Parquet file source with the schema taken from the files (streams need
-    one).  A single-file path streams its directory filtered to that name."""
+    one).  A single-file path streams its directory filtered to that name.
+    ``spread_rows``: for CPU-heavy stateless work, round-robin the rows over
+    the cores when the source has fewer files than cores (the streaming
+    counterpart of ``sources.tables.spread``)."""
     import os
 
-    schema = spark.read.parquet(path).schema
+    batch = spark.read.parquet(path)
+    schema = batch.schema
+    if spread_rows:
+        target = spark.sparkContext.defaultParallelism
+        few = len(batch.inputFiles()) < target
+        return read_stream(spark, path, max_files).repartition(target) if few else read_stream(spark, path, max_files)
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
