@@ -76,6 +76,29 @@ def attention_mask(x: Column | str, pad) -> Column:
     return F.transform(col_(x), lambda v: v != _lit(pad))
 
 
+def masked_input_ids(x: Column | str, pad, fill=0) -> Column:
+    """Pad ids replaced by ``fill`` (0) before the model sees them."""
+    return F.transform(col_(x), lambda v: F.when(v == _lit(pad), _lit(fill)).otherwise(v))
+
+
+def position_ids(x: Column | str, pad) -> Column:
+    """A05 wide form: exclusive running count of non-pad positions.  In-row
+    ``aggregate`` is O(L^2) in copies; long form uses a window instead."""
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc, v):
+        nxt = acc["n"] + F.when(v != _lit(pad), F.lit(1)).otherwise(F.lit(0))
+        return F.struct(nxt.alias("n"), F.concat(acc["out"], F.array(acc["n"])).alias("out"))
+
+    return F.aggregate(col_(x), start, step, lambda acc: acc["out"])
+
+
+def reward_index(response: Column | str, pad, context_length: Column | int) -> Column:
+    """A09(a): index in ``query + response`` of the last response token:
+    ``first_pad(response) - 1 + context_length``."""
+    return first_index(response, pad) - 1 + _lit(context_length)
+
+
 def contains_token(x: Column | str, token) -> Column:
     """A10: any occurrence of ``token``."""
     return F.coalesce(F.array_contains(col_(x), _lit(token)), F.lit(False))

@@ -196,3 +196,14 @@ def test_masked_var_edges(spark):
     df0 = spark.createDataFrame([(1.0, False)], "v double, m boolean")
     with pytest.raises(Exception):
         df0.agg(G.masked_var("v", "m")).collect()
+
+
+def test_a05_a09_helpers(spark):
+    df = spark.createDataFrame([([0, 0, 5, 6, 0, 7],)], "x array<int>")
+    r = df.select(
+        S.masked_input_ids("x", 0, 99).alias("m"), S.position_ids("x", 0).alias("p"),
+        S.reward_index(F.array(F.lit(4), F.lit(5), F.lit(0), F.lit(0)), 0, 3).alias("k"),
+    ).first()
+    assert r.m == [99, 99, 5, 6, 99, 7]
+    assert r.p == [0, 0, 0, 1, 2, 2]  # cumsum(mask) - mask
+    assert r.k == 4  # first pad at 2 -> last token 1 -> +3 context
