@@ -57,6 +57,27 @@ def with_repetition_penalty(
     )
 
 
+def repetition_penalty_exploded(
+    df, key: str = "rollout_id", post: str = "post", seq_len: str = "seq_len", n: int = 3, coef: float = 0.1,
+    out: str = "repetition_penalty",
+):
+    """R02, exploded form: n-grams become rows, counted per ``(key, gram)``
+    with partial aggregation, then per key.  One very long response is
+    spread over many tasks instead of one in-row sort; results equal
+    :func:`with_repetition_penalty`."""
+    from .sequences import explode_rows
+
+    sl = F.col(seq_len)
+    grams = df.select(
+        key, explode_rows(ngram_keys(F.slice(F.col(post), 1, F.greatest(sl, F.lit(0))), n)).alias("_g")
+    ).where(F.col("_g").isNotNull())
+    per = grams.groupBy(key, "_g").agg(F.count(F.lit(1)).alias("_c")).groupBy(key).agg(
+        F.count(F.when(F.col("_c") > 1, 1)).alias("_rep"), F.sum("_c").alias("_m")
+    )
+    pen = F.when((sl < n) | F.col("_m").isNull(), F.lit(0.0)).otherwise(F.lit(float(coef)) * F.col("_rep") / F.col("_m"))
+    return df.join(per, key, "left").withColumn(out, pen).drop("_rep", "_m")
+
+
 def missing_eos_penalty(has_eos: Column | str, penalty: float | None = 1.0) -> Column:
     """``penalty`` when the truncated response holds no EOS; off when None."""
     if penalty is None:

@@ -97,3 +97,22 @@ def test_partition_invariance(spark):
     assert len(base) == len(other)
     for a, b in zip(base, other):
         assert a.rollout_id == b.rollout_id and a.advantages == pytest.approx(b.advantages, abs=1e-12)
+
+
+def test_repetition_exploded_equals_in_row(spark):
+    from rewardframe.plans.bindings import doc_rollouts
+    from tests.conftest import SF001
+
+    ro = doc_rollouts(spark, SF001).select("rollout_id", "post", "seq_len")
+    a = {r.rollout_id: r.repetition_penalty for r in R.with_repetition_penalty(ro).collect()}
+    b = {r.rollout_id: r.repetition_penalty for r in R.repetition_penalty_exploded(ro).collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-15) for k in a)
+    assert sum(1 for v in a.values() if v > 0) > 10
+
+
+def test_seq_len_when_pad_is_eos(spark):
+    df = spark.createDataFrame([(["a", "b", "and", "c"],), (["and"],), (["x"],)], "x array<string>")
+    post = S.truncate_at_stop("x", "and")
+    got = [r.s for r in df.select(S.seq_len_ragged(post, pad="and").alias("s")).collect()]
+    # the stop token is itself the first pad, so it is not counted
+    assert got == [1, -1, 0]
