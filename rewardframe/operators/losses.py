@@ -39,7 +39,12 @@ def _masked_sum(z: Column, limit: Column, term) -> Column:
 def rollout_loss_sums(wide: DataFrame, cfg: PPOConfig = PPO, extra: list[Column] | None = None) -> DataFrame:
     """Per-rollout sums of every loss term over its mask (``t <= seq_len`` for
     the policy, ``t <= seq_len + 1`` for the value)."""
-    z = F.arrays_zip("logprob", "new_logprob", "value", "new_value", "returns", "advantages")
+    # one zip per group of terms: a query that needs only some terms (e.g.
+    # approxkl) lets Catalyst prune the other arrays and the GAE/whitening
+    # work behind them
+    zp = F.arrays_zip("logprob", "new_logprob", "advantages")
+    zv = F.arrays_zip("value", "new_value", "returns")
+    zl = F.arrays_zip("logprob", "new_logprob")
     sl = F.col("seq_len")
 
     def pg(s):
@@ -59,20 +64,20 @@ def rollout_loss_sums(wide: DataFrame, cfg: PPOConfig = PPO, extra: list[Column]
         return F.when(b > a, F.lit(1.0)).otherwise(F.lit(0.0))
 
     d = lambda s: s["new_logprob"] - s["logprob"]
-    return wide.withColumn("_z", z).select(
+    return wide.select(
         "rollout_id",
         "run_id",
         "batch_id",
         "seq_len",
         (sl + 1).alias("n_pg"),
         F.least(sl + 2, F.size("logprob")).alias("n_vf"),
-        _masked_sum(F.col("_z"), sl, pg).alias("pg_sum"),
-        _masked_sum(F.col("_z"), sl, pgc).alias("pgc_sum"),
-        _masked_sum(F.col("_z"), sl + 1, vf).alias("vf_sum"),
-        _masked_sum(F.col("_z"), sl + 1, vfc).alias("vfc_sum"),
-        _masked_sum(F.col("_z"), sl, lambda s: d(s) * d(s)).alias("dlp2_sum"),
-        _masked_sum(F.col("_z"), sl, lambda s: ratio(s["new_logprob"], s["logprob"])).alias("ratio_sum"),
-        _masked_sum(F.col("_z"), sl, lambda s: -s["new_logprob"]).alias("ent_sum"),
+        _masked_sum(zp, sl, pg).alias("pg_sum"),
+        _masked_sum(zp, sl, pgc).alias("pgc_sum"),
+        _masked_sum(zv, sl + 1, vf).alias("vf_sum"),
+        _masked_sum(zv, sl + 1, vfc).alias("vfc_sum"),
+        _masked_sum(zl, sl, lambda s: d(s) * d(s)).alias("dlp2_sum"),
+        _masked_sum(zl, sl, lambda s: ratio(s["new_logprob"], s["logprob"])).alias("ratio_sum"),
+        _masked_sum(zl, sl, lambda s: -s["new_logprob"]).alias("ent_sum"),
         *(extra or []),
     )
 

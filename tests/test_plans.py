@@ -34,3 +34,9 @@ def test_explicit_broadcast_only_for_bounded_dimension(spark):
 
     df = spark.createDataFrame([(151645,)], "tid long")
     assert "BroadcastHashJoin" in _plan(label_special(df, "tid"))
+
+
+def test_approxkl_prunes_gae(spark):
+    # approxkl needs only the two logprob arrays: GAE and whitening are pruned
+    assert "reverse(" not in _plan(E.queries()["approx_kl"](spark, SF001))
+    assert "reverse(" in _plan(E.queries()["policy_loss"](spark, SF001))
