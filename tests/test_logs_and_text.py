@@ -45,10 +45,10 @@ def test_console_log_noise_dropped(spark, tmp_path):
 
 def test_summary_flatten(spark, tmp_path):
     p = tmp_path / "summary.json"
-    p.write_text(json.dumps({"_step": 6, "_wandb": {"runtime": 169}, "train/loss": 3.02, "nested": {"a": {"b": 1}}}))
+    p.write_text(json.dumps({"_step": 6, "_logger": {"runtime": 169}, "train/loss": 3.02, "nested": {"a": {"b": 1}}}))
     df = LG.read_summary(spark, str(p))
-    assert set(df.columns) >= {"_wandb.runtime", "train/loss", "nested.a.b"}
-    assert df.first()["_wandb.runtime"] == 169
+    assert set(df.columns) >= {"_logger.runtime", "train/loss", "nested.a.b"}
+    assert df.first()["_logger.runtime"] == 169
 
 
 def test_interval_and_schedule(spark):
