@@ -364,14 +364,19 @@ def top_ngrams(spark, sf):
     "Q02",
 )
 def distinct_n(spark, sf):
-    """Distinct-2 diversity per language (exact distinct; approx_count_distinct
-    is the option at scale)."""
-    g = doc_rollouts(spark, sf).select("lang", S.explode_rows(S.ngram_keys("tokens", 2)).alias("gram"))
-    g = g.where(F.col("gram").isNotNull())
-    return g.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_grams"),
-        F.count_distinct("gram").alias("n_distinct"),
-        (F.count_distinct("gram") / F.count(F.lit(1))).alias("distinct_2"),
+    """Distinct-2 diversity per language (exact)."""
+    return distinct_n_of(doc_rollouts(spark, sf), "lang", 2)
+
+
+def distinct_n_of(rollouts, key: str, n: int, approx_rsd: float | None = None):
+    """Q02: distinct-n per ``key``.  Exact distinct shuffles every (key, gram);
+    ``approx_rsd`` switches to HyperLogLog++ (``approx_count_distinct``),
+    whose partial sketches keep the shuffle at one small buffer per key and
+    task -- the option for very large corpora."""
+    g = rollouts.select(key, S.explode_rows(S.ngram_keys("tokens", n)).alias("gram")).where(F.col("gram").isNotNull())
+    d = F.approx_count_distinct("gram", approx_rsd) if approx_rsd else F.count_distinct("gram")
+    return g.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_grams"), d.alias("n_distinct"), (d / F.count(F.lit(1))).alias(f"distinct_{n}")
     )
 
 

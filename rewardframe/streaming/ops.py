@@ -18,10 +18,14 @@ def utc_instant(ts_ntz: Column | str) -> Column:
     return F.concat(c.cast("string"), F.lit("+00:00")).cast("timestamp")
 
 
-def metric_windows(events: DataFrame, ts: str, keys: list[str], value: str, size: str, watermark: str) -> DataFrame:
-    """Tumbling windows per key with late rows dropped by the watermark."""
+def metric_windows(
+    events: DataFrame, ts: str, keys: list[str], value: str, size: str, watermark: str, slide: str | None = None
+) -> DataFrame:
+    """Tumbling windows per key with late rows dropped by the watermark;
+    ``slide`` gives the sliding variant used for smoothing."""
     e = events.withColumn("_ts", utc_instant(ts)).withWatermark("_ts", watermark)
-    g = e.groupBy(F.window("_ts", size).alias("w"), *keys).agg(
+    w = F.window("_ts", size, slide) if slide else F.window("_ts", size)
+    g = e.groupBy(w.alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean")
     )
     return g.select(F.unix_seconds(F.col("w.start")).alias("window_start"), *keys, "n", "total", "mean")

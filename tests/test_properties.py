@@ -116,3 +116,24 @@ def test_seq_len_when_pad_is_eos(spark):
     got = [r.s for r in df.select(S.seq_len_ragged(post, pad="and").alias("s")).collect()]
     # the stop token is itself the first pad, so it is not counted
     assert got == [1, -1, 0]
+
+
+def test_distinct_n_approx_close_to_exact(spark):
+    from rewardframe.plans.bindings import doc_rollouts
+    from rewardframe.plans.q_docs import distinct_n_of
+    from tests.conftest import SF001
+
+    ro = doc_rollouts(spark, SF001)
+    ex = {r.lang: r.n_distinct for r in distinct_n_of(ro, "lang", 2).collect()}
+    ap = {r.lang: r.n_distinct for r in distinct_n_of(ro, "lang", 2, 0.02).collect()}
+    assert ex.keys() == ap.keys() and all(abs(ap[k] - ex[k]) <= 0.1 * ex[k] for k in ex)
+
+
+def test_sliding_metric_windows(spark):
+    from rewardframe.streaming.ops import metric_windows
+    from tests.conftest import SF001
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    tumbling = metric_windows(ev, "ts", ["event_type"], "value", "1 day", "1 day")
+    sliding = metric_windows(ev, "ts", ["event_type"], "value", "2 days", "1 day", slide="1 day")
+    assert sliding.agg(F.sum("n")).first()[0] == 2 * tumbling.agg(F.sum("n")).first()[0]
