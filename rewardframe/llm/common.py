@@ -258,3 +258,55 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
 
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], T._parse_datatype_string(schema))
+
+
+# --- pairs inside buckets ---------------------------------------------------------------
+
+def bucket_blocks(cand: DataFrame, key: str, ident: str, rows: int) -> DataFrame:
+    """Keep keys with two or more members, and cut the larger buckets into blocks of
+    about ``rows``: a member goes to every pair (bi, bj) its block is part of, so no
+    task ever holds a whole large bucket.  Pairs of a block pair are those of
+    different ``side``, or any if bi = bj."""
+    count = cand.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    out = cand.join(count, key).withColumn("_nb", F.ceil(F.col("_c") / F.lit(rows)).cast("int"))
+    out = out.withColumn("_b", F.pmod(F.xxhash64(F.col(ident), F.lit(11)), F.col("_nb")).cast("int"))
+    out = out.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    return out.withColumn("bi", F.least("_b", "_j")).withColumn("bj", F.greatest("_b", "_j")) \
+        .withColumn("side", (F.col("_b") > F.col("_j")).cast("int")).drop("_c", "_nb", "_b", "_j")
+
+
+def by_bucket(df: DataFrame) -> DataFrame:
+    """Deal blocks to tasks, sorted so that each block is consecutive."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+
+
+def pair_chunks(starts: np.ndarray, most: int = 300_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs i < j inside the groups that ``starts`` bounds, a bounded
+    number at a time."""
+    n = int(starts[-1])
+    end = np.repeat(starts[1:], np.diff(starts))
+    cnt = end - 1 - np.arange(n)
+    cum = np.concatenate([[0], np.cumsum(cnt)])
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(cum, cum[lo] + most, "right")) - 1)
+        c = cnt[lo:hi]
+        i = np.repeat(np.arange(lo, hi), c)
+        j = i + 1 + np.arange(len(i)) - np.repeat(cum[lo:hi] - cum[lo], c)
+        if len(i):
+            yield i, j
+        lo = hi
+
+
+def low_labels(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Smallest id reachable from each of ``n`` local rows over the links (i, j)."""
+    lab = ids.copy()
+    while len(i):
+        old = lab.copy()
+        m = np.minimum(lab[i], lab[j])
+        np.minimum.at(lab, i, m)
+        np.minimum.at(lab, j, m)
+        if (lab == old).all():
+            break
+    return lab

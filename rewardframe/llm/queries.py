@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op9_suffix_dedup
+from . import op1_itq_neardup, op6_ngram_join, op9_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_itq_neardup": op1_itq_neardup.op1_itq_neardup,
+        "op6_ngram_join": op6_ngram_join.op6_ngram_join,
         "op9_suffix_dedup": op9_suffix_dedup.op9_suffix_dedup,
     }
 
