@@ -39,9 +39,10 @@ def rank_within(df: DataFrame, keys: list[str], spread: F.Column, order: list[F.
     """Exclusive running count (or running sum of ``weight``) of each row inside its
     key group, where one key may hold most rows.  ``spread`` is a double in [0, 1)
     that leads the order: each group is cut into ranges of it of about ``rows`` rows,
-    ranges are summed first, and only a range is ever sorted in one task."""
+    ranges are summed first, and only a range is ever sorted in one task.  ``df`` is
+    read three times: pass a stored table."""
     w = F.lit(1) if weight is None else F.col(weight)
-    size = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("_nb"))
+    size = stored(df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("_nb")), "rank-keys")
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     cond = same[0]
     for c in same[1:]:
@@ -50,7 +51,7 @@ def rank_within(df: DataFrame, keys: list[str], spread: F.Column, order: list[F.
     d = d.withColumn("_b", F.floor(F.col("_u") * F.col("_nb")).cast("long"))
     sums = d.groupBy(*keys, "_b").agg(F.sum(w).alias("_s"))
     run = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    before = sums.select(*keys, "_b", F.coalesce(F.sum("_s").over(run), F.lit(0)).alias("_before"))
+    before = stored(sums.select(*keys, "_b", F.coalesce(F.sum("_s").over(run), F.lit(0)).alias("_before")), "rank-sums")
     cond = F.col("d._b") == F.col("s._b")
     for k in keys:
         cond = cond & F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}"))

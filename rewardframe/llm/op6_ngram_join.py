@@ -77,8 +77,8 @@ def _sign_fn(words: int):
                     sigs.append(signature(s) if len(s) else np.zeros(HASHES, np.uint16))
             sig = C.binary_rows(np.array(sigs, np.uint16).reshape(-1, HASHES))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("rid"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), sig],
-                names=["id", "rid", "ck", "m", "sig"])
+                [b.column("id"), b.column("rid"), b.column("text_key"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), sig],
+                names=["id", "rid", "text_key", "ck", "m", "sig"])
     return fn
 
 
@@ -220,12 +220,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                tolerance: float = TOLERANCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: id, copy_id (smallest id with the same shingle set),
     n_links (documents linked with it, copies included), class_id (smallest id
-    reachable by links), kept (id = class_id)."""
+    reachable by links), kept (id = class_id); text_key (hash of the text) and class_key
+    (hash that names the class, the text's own for a document without words)."""
     least = least_agreements(threshold, tolerance)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    base = base.withColumn("rid", F.coalesce("id", F.xxhash64("text")))
-    signed = C.stored(base.mapInArrow(_sign_fn(words), "id long, rid long, ck long, m int, sig binary"), "op6-signed")
+    base = base.withColumn("text_key", F.xxhash64("text")).withColumn("rid", F.coalesce("id", "text_key"))
+    signed = C.stored(base.mapInArrow(_sign_fn(words), "id long, rid long, text_key long, ck long, m int, sig binary"), "op6-signed")
     full = signed.where("m > 0")
     classes = C.stored(full.groupBy("ck").agg(F.min("id").alias("copy_id"), F.min("rid").alias("rep"), F.count(F.lit(1)).alias("w"),
                                               F.min("m").alias("m"), F.first("sig").alias("sig")), "op6-classes")
@@ -243,15 +244,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of = classes.select("ck", "copy_id", "w").join(number, "ck", "left").join(part, "ck", "left") \
         .withColumn("component", F.coalesce("component", "ck"))
     name = of.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    of = of.join(name, "component").select("ck", "copy_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
-    out = signed.select("id", F.when(F.col("m") > 0, F.col("ck")).alias("ck")).join(of, "ck", "left")
+    of = of.join(name, "component").select("ck", "copy_id", "class_id", "component", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
+    out = signed.select("id", "text_key", F.when(F.col("m") > 0, F.col("ck")).alias("ck")).join(of, "ck", "left")
     alone = F.col("ck").isNull()
     return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
                       F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
-                      F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id")) \
+                      F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+                      "text_key", F.coalesce("component", "text_key").alias("class_key")) \
         .withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: documents whose five-word shingle sets have Jaccard similarity of 0.8 or more."""
-    return ngram_join(C.read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return ngram_join(C.read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "copy_id", "n_links", "class_id", "kept")
