@@ -1,8 +1,7 @@
 """Packing token sequences: shortest-pack-first over the length histogram (Krell et al. 2021).
 
 1. A document's ids (byte-level BPE of ``tokenizers``) and a closing id 1 are cut every
-   ``room`` ids; full pieces fill sequences alone.  Words between single spaces encode
-   the same alone as in the text, so each worker keeps their ids in a bounded cache.
+   ``room`` ids; full pieces fill sequences alone.
 2. Spark counts the piece lengths: at most ``room`` rows reach the driver, whatever the
    input.  There lengths are placed longest first, each into the pack with the most room
    left, a whole count of equal packs at a time; packs of one filling order are a pattern.
@@ -10,15 +9,13 @@
    most rows share is no bottleneck), and its rank names pattern, sequence and offset.
 
 Defined cases: null and empty texts have the closing id only; repeated rows are
-documents of their own; null ids stay null; very long texts are encoded in stretches;
-an empty table gives no rows; extra columns are ignored.
+documents of their own; null ids stay null; long texts are encoded whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
 import os
-import re
 import struct
 import zlib
 
@@ -31,45 +28,34 @@ from . import common as C
 
 ROOM = 2048
 END_ID = 1
-CACHE_WORDS = 300_000
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-_RUN = re.compile(r"\s\s")
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes, by a cache of words between safe spaces."""
+    """Ids of texts, as little-endian bytes, for a byte-level BPE file of ``tokenizers``.
+    Its vocabulary's ids are its merge ranks, so ``tiktoken`` can run the merges on it
+    (twice as fast); texts that hold an added token go to ``tokenizers`` itself."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, text: str) -> list[str]:
-        """Stretches of the text: those that begin with a space or line feed as they
-        stand; a safe space splits only between characters that are not white space."""
-        if _RUN.search(text):
-            first, *rest = _SAFE.split(text)
-        else:
-            first, *rest = text.replace("\n", " \n").split(" ")
-            rest = [w if w[:1] == "\n" else " " + w for w in rest]
-            return [first, *rest]
-        return [first, *[" " + w for w in rest]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self._words(t) for t in texts]
-        need = list(set().union(*words) - self.known.keys()) if words else []
-        if len(self.known) + len(need) > CACHE_WORDS:
-            self.known = {}
-            need = list(set().union(*words))
-        for i in range(0, len(need), 20_000):
-            self.known.update(zip(need[i: i + 20_000], self._ids(need[i: i + 20_000])))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        for t in self.added:
+            vocab.pop(t, None)
+        # byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from 256
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        code = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+        ranks = {bytes(code[c] for c in w): i for w, i in vocab.items()}
+        self.bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.bpe.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -89,8 +75,8 @@ def _pieces_fn(path: str, room: int, end_id: int):
             _, off = C.text_buffer(b.column("text"))
             for i, j in C.doc_chunks(off):
                 rows: tuple[list, ...] = ([], [], [], [], [])
-                for r, raw in zip(range(i, j), enc.encode([t or "" for t in b.column("text").slice(i, j - i).to_pylist()])):
-                    raw += close
+                for r, text in zip(range(i, j), b.column("text").slice(i, j - i).to_pylist()):
+                    raw = enc.encode(text or "") + close
                     n = len(raw) // 4
                     for s in range(0, n, room):
                         m = min(room, n - s)
