@@ -160,8 +160,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     p = F.col(f"`{payload_col}`")
     payload = F.coalesce(p if pages.schema[payload_col].dataType.simpleString() == "binary" else F.encode(p.cast("string"), "UTF-8"), F.lit(b""))
     src = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
-    few = src.orderBy(F.xxhash64("payload"), "page_id").select(F.substring("payload", 1, DICT_SAMPLE_BYTES).alias("s")).limit(DICT_SAMPLE_ROWS)
-    dictionary = trained_dictionary([bytes(r.s) for r in few.collect()])
+    # the sample's keys first: only its own payloads then go to the driver, not a sample of each task's
+    pick = src.withColumn("pick", F.xxhash64("payload", "page_id"))
+    keys = [r.pick for r in pick.select("pick").distinct().orderBy("pick").limit(DICT_SAMPLE_ROWS).collect()]
+    few = pick.where(F.col("pick").isin(keys)).select("pick", F.substring("payload", 1, DICT_SAMPLE_BYTES).alias("s")).dropDuplicates(["pick"]) if keys else None
+    dictionary = trained_dictionary([bytes(r.s) for r in few.collect()] if keys else [])
     keyed = src.withColumn("sum", F.sha2("payload", 256)).withColumn("rid", F.coalesce("page_id", F.xxhash64("url", "payload")))
     # narrow: which record answers for each payload that occurs twice or more
     first = keyed.where(F.octet_length("payload") >= min_bytes).groupBy("sum").agg(
