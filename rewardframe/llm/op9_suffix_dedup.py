@@ -54,8 +54,8 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def bucket_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int):
-    """Runs of suffixes with one bucket: (row, first, count, anchor - first, bucket),
-    positions relative to the row's start.  Works segment by segment."""
+    """Runs of suffixes with one bucket: (row, first, count, anchor - first, bucket, hash
+    of the run's bytes), positions relative to the row's start.  Segment by segment."""
     out = []
     w = length - gram + 1
     low = np.uint64((1 << _POS_BITS) - 1)
@@ -82,10 +82,10 @@ def bucket_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int):
             continue
         stop = np.flatnonzero(ok & ~np.append((ok[1:] & ~begin[1:]), False))
         r = row[i0]
-        out.append((r, i0 + s - off[r], stop - i0 + 1, a[i0] - i0, g[a[i0]].view(np.int64)))
+        out.append((r, i0 + s - off[r], stop - i0 + 1, a[i0] - i0, g[a[i0]].view(np.int64), C.span_hash(p, i0, stop + length)))
     if not out:
         z = np.empty(0, np.int64)
-        return z, z, z, z, z
+        return z, z, z, z, z, z.view(np.uint64)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -96,8 +96,27 @@ def _runs_fn(length: int, gram: int):
             dg = np.asarray(b.column("dg"))
             ids = b.column("id")
             for i, j in C.doc_chunks(off, 8 * C.CHUNK_BYTES):
-                r, first, n, back, h = bucket_runs(data, off[i: j + 1], length, gram)
+                r, first, n, back, h, body = bucket_runs(data, off[i: j + 1], length, gram)
                 r = r + i
+                # a run whose bytes repeat in its own text (a line over and over) is settled
+                # here: one run goes on, and the repeats are merged spans
+                o = np.lexsort((first, body, h, r))
+                same = (r[o][1:] == r[o][:-1]) & (h[o][1:] == h[o][:-1]) & (body[o][1:] == body[o][:-1])
+                again, twice = np.zeros(len(o), bool), np.zeros(len(o), bool)
+                again[o[1:][same]] = True
+                twice[o[1:][same]] = twice[o[:-1][same]] = True
+                k = np.flatnonzero(twice)
+                if len(k):
+                    k = k[np.lexsort((first[k], r[k]))]
+                    hi = first[k] + n[k] + length - 1
+                    top = np.maximum.accumulate(hi + (r[k] << 40)) - (r[k] << 40)
+                    new = np.concatenate([[True], (r[k][1:] != r[k][:-1]) | (first[k][1:] > top[:-1])])
+                    lo, end = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(k)) - 1
+                    none = pa.nulls(len(lo), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [none, pa.array(dg[r[k][lo]]), ids.take(pa.array(r[k][lo])), pa.array(first[k][lo]), pa.nulls(len(lo), pa.int32()),
+                         pa.nulls(len(lo), pa.int32()), pa.array(top[end])], names=["h", "dg", "id", "first", "n", "back", "own"])
+                r, first, n, back, h = (x[~again] for x in (r, first, n, back, h))
                 own = C.mix(dg[r].view(np.uint64) + C.mix((first + back).astype(np.uint64))).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(dg[r]), ids.take(pa.array(r)), pa.array(first), pa.array(n.astype(np.int32)),
@@ -274,6 +293,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = base.withColumn("dg", F.xxhash64("text"))
     runs = C.stored(base.select("id", "dg", "text").mapInArrow(
         _runs_fn(length, gram), "h long, dg long, id long, first long, n int, back int, own long"), "op9-runs")
+    local = runs.where("h is null").select("dg", F.col("first").alias("lo"), F.col("own").alias("hi")).distinct()
+    runs = runs.where("h is not null")
     alive = runs.groupBy("h").agg(F.min("own").alias("a"), F.max("own").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b") \
         .select("h", (F.col("c") > hot_rows).alias("hot"))
     todo = runs.join(alive, "h").groupBy("dg").agg(
@@ -288,7 +309,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys = snippets.where("hot").mapInArrow(_hot_keys_fn(length), "key long, dg long, pos long, own long")
     twice = keys.groupBy("key").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("key")
     hot = keys.join(twice, "key", "left_semi").select("dg", F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi"))
-    spans = C.stored(cold.unionByName(hot), "op9-spans").groupBy("dg").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = C.stored(cold.unionByName(hot).unionByName(local), "op9-spans").groupBy("dg").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     full = base.join(copies.join(spans, "dg", "full_outer").where("copies > 1 or spans is not null"), "dg", "left") \
         .withColumn("copies", F.coalesce("copies", F.lit(1)))
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<lo:long,hi:long>>"
