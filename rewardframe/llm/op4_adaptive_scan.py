@@ -7,7 +7,8 @@ Long 2023) over inverted lists; nearness is the largest inner product.
    hash); every row is put in its centroid's list, lists cut into blocks of about
    ``block_rows``.  How many lists a query probes is the least number that reaches
    ``aim`` recall for queries from the sample.
-3. Block scan: vectors are turned by one random rotation and read in blocks of 16
+3. A query's 20th best among the sample's rows in its lists bounds its result at once.
+   Block scan: vectors are turned by one random rotation and read in blocks of 16
    columns.  After each block the partial distance is tested against the query's 20th
    best so far; a candidate whose distance exceeds it at 3 standard errors is abandoned.
 4. Survivors are scored exactly on the original vectors in double precision; the best 20
@@ -87,8 +88,21 @@ def _assign_fn(c: np.ndarray, dim: int, top: float):
     return fn
 
 
-def _probe_fn(c: np.ndarray, dim: int, probes: int, sizes: np.ndarray, blocks: np.ndarray, k: int):
+def known_best(q: np.ndarray, ids: np.ndarray, probed: np.ndarray, sample: np.ndarray, sample_ids: np.ndarray, k: int) -> np.ndarray:
+    """Each query's ``k``-th largest product with sample rows of other ids in lists it
+    probes (less a rounding allowance); minus infinity if there are fewer."""
+    if len(sample) <= k:
+        return np.full(len(q), -np.inf)
+    s = q @ sample.T
+    s[(ids[:, None] == sample_ids) | ~probed] = -np.inf
+    best = np.partition(s, len(sample) - k, axis=1)[:, len(sample) - k]
+    return best - 1e-9 * (1 + np.abs(best))
+
+
+def _probe_fn(c: np.ndarray, dim: int, probes: int, sizes: np.ndarray, blocks: np.ndarray, k: int, augmented: np.ndarray, sample_ids: np.ndarray):
     """A query row for each block of each list to probe; more lists if they hold few rows."""
+    sample_lists = nearest(augmented, c)[:, 0]
+
     def fn(batches):
         for b in batches:
             for s in range(0, b.num_rows, 1024):
@@ -96,24 +110,30 @@ def _probe_fn(c: np.ndarray, dim: int, probes: int, sizes: np.ndarray, blocks: n
                 q = matrix(p.column("vec"), dim)
                 near = nearest(np.hstack([q, np.zeros((len(q), 1))]), c, True)
                 enough = (np.cumsum(sizes[near], axis=1) - sizes[near]) < 2 * k + 2
-                row, at = np.nonzero((np.arange(len(c)) < probes) | enough)
+                use = (np.arange(len(c)) < probes) | enough
+                probed = np.empty_like(use)
+                np.put_along_axis(probed, near, use, axis=1)
+                row, at = np.nonzero(use)
                 lists = near[row, at]
                 n = blocks[lists]
                 block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 row = np.repeat(row, n)
+                floor = np.concatenate([
+                    known_best(q[z: z + 128], np.asarray(p.column("id"))[z: z + 128], probed[z: z + 128][:, sample_lists], augmented[:, :-1], sample_ids, k)
+                    for z in range(0, len(q), 128)])
                 for z in range(0, len(row), 20_000):
                     take = pa.array(row[z: z + 20_000])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(lists, n)[z: z + 20_000].astype(np.int32)), pa.array(block[z: z + 20_000].astype(np.int32)),
-                         pa.array(np.ones(len(take), np.int32)), p.column("id").take(take), p.column("vec").take(take)],
-                        names=["list", "block", "query", "id", "vec"])
+                         pa.array(np.ones(len(take), np.int32)), p.column("id").take(take), p.column("vec").take(take),
+                         pa.array(floor[row[z: z + 20_000]])], names=["list", "block", "query", "id", "vec", "floor"])
     return fn
 
 
-def scan(q, xq, rot, x, ids, own, k, top, steps, errors=ERRORS, chunk=1024):
-    """Best ``k`` of one block for one query: (ids, scores)."""
+def scan(q, xq, rot, x, ids, own, k, top, steps, floor=-np.inf, errors=ERRORS, chunk=1024):
+    """Best ``k`` of one block for one query, none under ``floor``: (ids, scores)."""
     dim, base = rot.shape[1], float((xq * xq).sum()) + top
-    best, score, limit = np.empty(0, np.int64), np.empty(0), np.inf
+    best, score, limit = np.empty(0, np.int64), np.empty(0), max(base - 2 * floor, 0.0)
     for lo in range(0, len(x), chunk):
         live = np.arange(lo, min(lo + chunk, len(x)))
         part = np.zeros(len(live))
@@ -129,12 +149,14 @@ def scan(q, xq, rot, x, ids, own, k, top, steps, errors=ERRORS, chunk=1024):
         live = live[ids[live] != own]
         if not len(live):
             continue
+        own_score = (x[live] * xq).sum(1)
+        live, own_score = live[own_score >= floor], own_score[own_score >= floor]
         best = np.concatenate([best, live])
-        score = np.concatenate([score, (x[live] * xq).sum(1)])
+        score = np.concatenate([score, own_score])
         o = np.lexsort((ids[best], -score))[:k]
         best, score = best[o], score[o]
         if len(best) == k:
-            limit = max(base - 2 * score[-1], 0.0)
+            limit = min(limit, max(base - 2 * score[-1], 0.0))
     return ids[best], score
 
 
@@ -162,9 +184,10 @@ def _scan_fn(dim: int, top: float, rotation: np.ndarray, k: int):
                     x0 = np.concatenate(xs)
                     block = (augment(x0, top) @ rotation, x0, np.concatenate(ids))
                 rot, x0, i0 = block
+                floor = np.asarray(b.column("floor").slice(lo, hi - lo))
                 turned = np.hstack([x, np.zeros((len(x), 1))]) @ rotation
                 for s in range(0, len(x), 512):
-                    found = [scan(turned[r], x[r], rot, x0, i0, i[r], k, top, steps) for r in range(s, min(s + 512, len(x)))]
+                    found = [scan(turned[r], x[r], rot, x0, i0, i[r], k, top, steps, floor[r]) for r in range(s, min(s + 512, len(x)))]
                     n = [len(f[0]) for f in found]
                     if sum(n):
                         vec_id = np.concatenate([f[0] for f in found])
@@ -185,7 +208,8 @@ def adaptive_scan(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id"
     fine = src.where(usable(F.col("vec")) & (F.size("vec") == dim))
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     n, top = fine.agg(F.count(F.lit(1)), F.max(norm)).first()
-    few = fine.orderBy(F.xxhash64("vec"), "id").limit(sample_rows).select("vec").collect()
+    few = fine.orderBy(F.xxhash64("vec"), "id").limit(sample_rows).select("id", "vec").collect()
+    named = np.array([-(1 << 63) if r.id is None else r.id for r in few], np.int64)
     sample = augment(np.array([r.vec for r in few], float), top)
     c = fit_lists(sample, int(min(MOST_LISTS, max(1, round(n / list_rows)))))
     probes = probes_for(sample, c, k, aim)
@@ -202,9 +226,10 @@ def adaptive_scan(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id"
         own_b = own.join(F.broadcast(many), "list")  # at most MOST_LISTS rows
     else:
         own_b = own.withColumn("_nb", pick)
-    rows = own_b.select("list", F.pmod(F.xxhash64("id", "vec"), F.col("_nb")).cast("int").alias("block"), F.lit(0).alias("query"), "id", "vec")
+    rows = own_b.select("list", F.pmod(F.xxhash64("id", "vec"), F.col("_nb")).cast("int").alias("block"), F.lit(0).alias("query"), "id", "vec",
+                        F.lit(0.0).alias("floor"))
     asked = own.where(is_query).select("id", "vec").groupBy("id").agg(F.min("vec").alias("vec"))
-    asked = asked.mapInArrow(_probe_fn(c, dim, probes, sizes, blocks, k), f"list int, block int, query int, id long, vec {kind}")
+    asked = asked.mapInArrow(_probe_fn(c, dim, probes, sizes, blocks, k, sample, named), f"list int, block int, query int, id long, vec {kind}, floor double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = rows.unionByName(asked).repartition(parts, "list", "block").sortWithinPartitions("list", "block", "query")
     found = both.mapInArrow(_scan_fn(dim, top, rotation, k), "query_id long, vec_id long, score double")
