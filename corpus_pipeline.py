@@ -29,9 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     kept = op6_ngram_join.ngram_join(docs).where("kept")
     one = kept.groupBy("id", "class_key").agg(F.min("text_key").alias("text_key"))
-    one = one.select(F.coalesce("id", "text_key").alias("_rid"), F.col("text_key").alias("_key"))
-    rows = docs.withColumns({"_rid": F.coalesce(F.col("doc_id").cast("long"), key), "_key": key})
-    return rows.join(one, ["_rid", "_key"], "left_semi").dropDuplicates(["_rid", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = one.select(F.coalesce("id", "text_key").alias("__rid"), F.col("text_key").alias("__key"))
+    rows = docs.withColumns({"__rid": F.coalesce(F.col("doc_id").cast("long"), key), "__key": key})
+    return rows.join(one, ["__rid", "__key"], "left_semi").dropDuplicates(["__rid", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def fit(labelled: DataFrame, label_rows: int = LABEL_ROWS):
     if len(seen) < 2:
         return seen[0] if seen else "allow"
     train = _features(few.withColumn("_y", (F.col("verdict") == "block").cast("double"))).select("_x", "_y", "weight")
-    return LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", regParam=1e-3, maxIter=30, probabilityCol="_p",
+    return LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", regParam=1e-3, maxIter=60, standardization=False, probabilityCol="_p",
                               rawPredictionCol="_raw", predictionCol="_yes").fit(train)
 
 

@@ -73,7 +73,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def _cut_fn(text_col: str):
     def fn(batches):
         for b in batches:
-            take = b.column("_take").to_pylist()
+            take = b.column("__take").to_pylist()
             col = b.column(text_col)
             if any(t is not None for t in take):
                 out = []
@@ -84,7 +84,7 @@ def _cut_fn(text_col: str):
                         s = data[off[0]: off[0] + end].tobytes().decode()
                     out.append(s)
                 col = pa.array(out, pa.string())
-            names = [n for n in b.schema.names if n != "_take"]
+            names = [n for n in b.schema.names if n != "__take"]
             yield pa.RecordBatch.from_arrays([col if n == text_col else b.column(n) for n in names], names=names)
     return fn
 
@@ -96,13 +96,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     taken = mix(docs, id_col, text_col, extra={"text_key": text_key}, **kw).where("taken > 0")
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
     taken = taken.withColumn("_n", F.explode(F.sequence(F.lit(1), times)))
-    taken = taken.withColumn("_take", F.when((F.col("_n") == times) & (F.col("taken") % F.col("size") > 0), (F.col("taken") % F.col("size")).cast("int")))
+    taken = taken.withColumn("__take", F.when((F.col("_n") == times) & (F.col("taken") % F.col("size") > 0), (F.col("taken") % F.col("size")).cast("int")))
     rid = F.coalesce(F.col(f"`{id_col}`").cast("long"), text_key)
     # repeated rows are one text here: each use is a row of ``taken``
-    one = docs.withColumns({"_rid": rid, "_key": text_key}).dropDuplicates(["_rid", "_key"])
-    use = taken.select(F.coalesce("id", "text_key").alias("_rid"), F.col("text_key").alias("_key"), "_take")
+    one = docs.withColumns({"__rid": rid, "__key": text_key}).dropDuplicates(["__rid", "__key"])
+    use = taken.select(F.coalesce("id", "text_key").alias("__rid"), F.col("text_key").alias("__key"), "__take")
     names = docs.columns
-    return one.join(use, ["_rid", "_key"]).select(*[F.col(f"`{c}`") for c in names], "_take").mapInArrow(_cut_fn(text_col), docs.schema)
+    return one.join(use, ["__rid", "__key"]).select(*[F.col(f"`{c}`") for c in names], "__take").mapInArrow(_cut_fn(text_col), docs.schema)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
