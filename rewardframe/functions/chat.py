@@ -86,7 +86,8 @@ def render(
             F.when((m["role"] == "system") & (i == 0), F.lit(""))
             .when(m["role"] == "tool", tool)
             .when((m["role"] == "assistant") & has_calls(m), with_calls)
-            .otherwise(plain)
+            .when(m["role"].isin("user", "assistant", "system"), plain)
+            .otherwise(F.lit(""))  # the template emits nothing for other roles
         )
 
     body = F.array_join(F.transform(msgs, one), "")

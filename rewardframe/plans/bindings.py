@@ -56,11 +56,12 @@ def rollouts_of_documents(documents: DataFrame, stop: str | None = STOP_WORD) ->
 
 
 def shaped_scores(ro: DataFrame, cfg=SHAPING) -> DataFrame:
-    """Raw - missing EOS - length - repetition, each kept as a column."""
+    """Raw - missing EOS - length - repetition, each kept as a column; a penalty
+    applies only with a coefficient over 0."""
     out = ro.withColumn("eos_penalty", R.missing_eos_penalty("has_eos", cfg.missing_eos_penalty)).withColumn(
-        "length_penalty", R.length_penalty("seq_len", cfg.length_penalty_coef)
+        "length_penalty", R.length_penalty("seq_len", max(0.0, cfg.length_penalty_coef))
     )
-    out = R.with_repetition_penalty(out, "post", "seq_len", cfg.repetition_n_gram, cfg.repetition_penalty_coef)
+    out = R.with_repetition_penalty(out, "post", "seq_len", cfg.repetition_n_gram, max(0.0, cfg.repetition_penalty_coef))
     return (
         out.withColumn(
             "score_shaped",
@@ -84,7 +85,7 @@ def token_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order with its lines sorted into token order."""
     # one hash shuffle by order: a partial (map-side) collect_list would not
     # reduce anything (a handful of lines per order), so aggregate after it
-    li = table(spark, sf, "lineitem", spread_rows=False).select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
+    li = table(spark, sf, "lineitem").select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
     li = li.repartition("l_orderkey")
     return li.groupBy(F.col("l_orderkey").alias("rollout_id")).agg(
         F.sort_array(F.collect_list(F.struct(*LINE_ORDER, "l_discount", "l_tax"))).alias("lines")

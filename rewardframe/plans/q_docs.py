@@ -330,15 +330,15 @@ def sentence_repetition(spark, sf):
 @query(
     "ngram_counts",
     f"""{D}, g AS (SELECT rollout_id, unnest({Q.ngram_keys('tokens', 3)}) AS gram FROM ro)
-        SELECT rollout_id, gram, count(*) AS n FROM g GROUP BY rollout_id, gram HAVING count(*) > 1""",
+        SELECT rollout_id, gram, count(*) AS n FROM g GROUP BY rollout_id, gram""",
     [],
     "G13",
 )
 def ngram_counts(spark, sf):
-    """Count per 3-gram inside each rollout, repeated grams only (hash aggregate)."""
+    """Count per 3-gram inside each rollout (hash aggregate)."""
     ro = doc_rollouts(spark, sf).select("rollout_id", S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram"))
     ro = ro.where(F.col("gram").isNotNull())
-    return ro.groupBy("rollout_id", "gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return ro.groupBy("rollout_id", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -383,7 +383,7 @@ def distinct_n_of(rollouts, key: str, n: int, approx_rsd: float | None = None):
 @query(
     "ending_templates",
     f"""{D}, e AS (SELECT ro.rollout_id, ro.lang, lower(array_to_string(tokens[-3:], ' ')) AS ending, l.quality
-                  FROM ro LEFT JOIN labels l ON l.doc_id = ro.rollout_id WHERE len(tokens) >= 3)
+                  FROM ro LEFT JOIN labels l ON l.doc_id = ro.rollout_id)
         SELECT ending, count(*) AS n, count(DISTINCT lang) AS n_langs, avg(quality) AS mean_quality
         FROM e GROUP BY ending ORDER BY n DESC, ending LIMIT 20""",
     ["mean_quality"],
@@ -391,9 +391,9 @@ def distinct_n_of(rollouts, key: str, n: int, approx_rsd: float | None = None):
 )
 def ending_templates(spark, sf):
     """Most frequent 3-token endings with their spread and mean quality label (top 20)."""
-    ro = doc_rollouts(spark, sf).where(F.size("tokens") >= 3)
+    ro = doc_rollouts(spark, sf)
     lab = TB.table(spark, sf, "labels").select(F.col("doc_id").alias("rollout_id"), "quality")
-    e = ro.select("rollout_id", "lang", F.lower(F.array_join(F.slice("tokens", -3, 3), " ")).alias("ending"))
+    e = ro.select("rollout_id", "lang", F.lower(F.array_join(F.slice("tokens", F.greatest(F.size("tokens") - 2, F.lit(1)), F.lit(3)), " ")).alias("ending"))
     e = e.join(lab, "rollout_id", "left")
     return (
         e.groupBy("ending")
@@ -474,7 +474,7 @@ def split_overlap(spark, sf):
 )
 def missing_eos_anti(spark, sf):
     """Prompt groups without any EOS completion (left anti) and with one (left semi)."""
-    groups = TB.table(spark, sf, "documents", spread_rows=False).select(F.expr("doc_id div 4").alias("group_id")).distinct()
+    groups = TB.table(spark, sf, "documents").select(F.expr("doc_id div 4").alias("group_id")).distinct()
     ro = doc_rollouts(spark, sf).withColumn("group_id", F.expr("rollout_id div 4"))
     eos = ro.where("has_eos").select("group_id")
     anti = groups.join(eos, "group_id", "left_anti").withColumn("kind", F.lit("no_eos"))

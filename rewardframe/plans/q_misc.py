@@ -112,7 +112,7 @@ def _render_sql() -> str:
         f"WHEN m.role = 'tool' THEN (CASE WHEN i = 1 OR msgs[i - 1].role <> 'tool' THEN '{IM_START}user' ELSE '' END) "
         f"|| '\n<tool_response>\n' || m.text || '\n</tool_response>' "
         f"|| (CASE WHEN i = len(msgs) OR msgs[i + 1].role <> 'tool' THEN '{IM_END}\n' ELSE '' END) "
-        f"ELSE '{IM_START}' || m.role || '\n' || m.text || '{IM_END}\n' END"
+        f"WHEN m.role IN ('user', 'assistant', 'system') THEN '{IM_START}' || m.role || '\n' || m.text || '{IM_END}\n' ELSE '' END"
     )
     return f"""WITH c AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn) AS msgs FROM conversations GROUP BY conv_id),
       r AS (SELECT conv_id, len(msgs) AS n_turns,
@@ -296,15 +296,16 @@ def multi_reward(spark, sf):
     SELECT sh.lang, CAST(l.quality AS BIGINT) AS quality, CAST(GROUPING(sh.lang, l.quality) AS BIGINT) AS grouping_id, count(*) AS n,
            avg(score_shaped) AS mean_shaped, avg(score_raw) AS mean_raw
     FROM (SELECT *, score_raw - eos_penalty - length_penalty - repetition_penalty AS score_shaped FROM sh) sh
-    JOIN labels l ON l.doc_id = sh.rollout_id GROUP BY ROLLUP (sh.lang, l.quality)""",
+    LEFT JOIN labels l ON l.doc_id = sh.rollout_id GROUP BY ROLLUP (sh.lang, l.quality)""",
     ["mean_shaped", "mean_raw"],
     "Q01 M03",
 )
 def reward_rollup(spark, sf):
-    """Per (language, quality), per language and total report of shaped and raw scores (ROLLUP)."""
+    """Per (language, quality), per language and total report of shaped and raw scores (ROLLUP); documents
+    without a label are a group of NULL quality."""
     sh = shaped_scores(doc_rollouts(spark, sf))
     l = TB.table(spark, sf, "labels").select(F.col("doc_id").alias("rollout_id"), F.col("quality").cast("long").alias("quality"))
-    j = sh.join(l, "rollout_id")
+    j = sh.join(l, "rollout_id", "left")
     return j.rollup("lang", "quality").agg(
         F.grouping_id().cast("long").alias("grouping_id"),
         F.count(F.lit(1)).alias("n"),

@@ -60,13 +60,13 @@ def rlvr_reward_nogt(spark, sf):
                CAST(len({Q.word_set('label')}) AS BIGINT) AS n_label_words,
                CAST(len(list_intersect({Q.word_set('completion')}, {Q.word_set('label')})) AS BIGINT) AS n_common,
                {Q.overlap('completion', 'label')} AS overlap
-        FROM rc WHERE label IS NOT NULL""",
+        FROM rc""",
     ["overlap"],
     "R07 U02",
 )
 def word_overlap(spark, sf):
     """Recall of distinct lowercase words of the label found in the completion."""
-    rc = rlvr_completions(spark, sf).where(F.col("label").isNotNull())
+    rc = rlvr_completions(spark, sf)
     c, g = word_set("completion"), word_set("label")
     return rc.select(
         "doc_id",
@@ -137,21 +137,28 @@ def _rouge_sql(n: int) -> str:
                    CAST(len({g('lab.completion')}) AS DOUBLE) AS np, CAST(len({g('lab.label')}) AS DOUBLE) AS nt
             FROM lab LEFT JOIN i ON lab.doc_id = i.doc_id),
       f AS (SELECT doc_id, hit / greatest(np, 1) AS precision, hit / greatest(nt, 1) AS recall FROM s)
-    SELECT doc_id, precision, recall,
+    SELECT rc.doc_id, coalesce(precision, 0.0) AS precision, coalesce(recall, 0.0) AS recall,
            CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
-    FROM f"""
+    FROM rc LEFT JOIN f ON f.doc_id = rc.doc_id"""
+
+
+def unlabelled_zero(rc, n: int):
+    """ROUGE-n of every completion: 0.0 where there is no ground truth."""
+    scores = V.rouge_n(rc.where(truthy("label")), "doc_id", "completion", "label", n)
+    out = rc.select("doc_id").join(scores, "doc_id", "left")
+    return out.select("doc_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query("rouge1", _rouge_sql(1), ["precision", "recall", "f1"], "R08")
 def rouge1(spark, sf):
     """ROUGE-1 precision/recall/F1 of completion vs label (no stemmer)."""
-    return V.rouge_n(rlvr_completions(spark, sf).where(truthy("label")), "doc_id", "completion", "label", 1)
+    return unlabelled_zero(rlvr_completions(spark, sf), 1)
 
 
 @query("rouge2", _rouge_sql(2), ["precision", "recall", "f1"], "R08")
 def rouge2(spark, sf):
     """ROUGE-2 precision/recall/F1 of completion vs label (no stemmer)."""
-    return V.rouge_n(rlvr_completions(spark, sf).where(truthy("label")), "doc_id", "completion", "label", 2)
+    return unlabelled_zero(rlvr_completions(spark, sf), 2)
 
 
 @query("rougeL", None, [], "R08")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set a scratch one only when unset (tests)."""
+    """Return the session's checkpoint dir; where it is unset a local session gets a
+    scratch folder, and a cluster's raises."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not current:
+        if not re.match(r"local(\[[^,\]]*(,\s*\d+)?\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
         current = tempfile.mkdtemp(prefix="rf-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -11,28 +11,12 @@ TABLES = (
 ).split()
 
 
-# small dimension tables: never worth a repartition
-DIMENSIONS = {"region", "nation", "supplier", "benchmark", "labels"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Read one driver table; column pruning and filters reach the scan.
-    Fact tables are spread over the cluster's cores when the files give
-    fewer scan splits than cores (see :func:`spread`)."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table; column pruning and filters reach the scan, and the
+    plan is the same at every size."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in DIMENSIONS or not spread_rows else spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to ``defaultParallelism`` only when the scan
-    has fewer splits than that (a file written as one row group is read by
-    one task).  Large inputs keep their scan parallelism and pay no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def head_n(df: DataFrame, key: str | list[str], n: int = 1000) -> DataFrame:

@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+def path_exists(spark, path: str) -> bool:
+    """Whether ``path`` is there, on any file system Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def utc_instant(ts_ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ wall clock read as UTC, independent of the session zone."""
     c = F.col(ts_ntz) if isinstance(ts_ntz, str) else ts_ntz
@@ -108,11 +114,11 @@ def whiten_closed_batches(batch_size: int, value: str, batch: str, out_path: str
 
     def handle(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
-        if epoch_id > 0:
-            try:
-                df = spark.read.parquet(f"{staging_path}/{epoch_id - 1}").unionByName(df)
-            except Exception:  # noqa: BLE001 - nothing was staged
-                pass
+        before = f"{staging_path}/{epoch_id - 1}"
+        # every micro-batch stages its version, so only the first has none before it; a
+        # version that cannot be read is an error
+        if path_exists(spark, before):
+            df = spark.read.parquet(before).unionByName(df)
         sizes = df.groupBy(batch).agg(F.count(F.lit(1)).alias("_n"))
         closed = sizes.where(F.col("_n") >= batch_size).select(batch)
         done = df.join(closed, batch, "left_semi")
@@ -121,7 +127,8 @@ def whiten_closed_batches(batch_size: int, value: str, batch: str, out_path: str
         w = done.join(stats, batch).withColumn(
             f"{value}_w", (F.col(value) - F.col("_mu")) / F.sqrt(F.col("_var") + F.lit(1e-8))
         ).drop("_mu", "_var")
-        w.write.mode("append").parquet(out_path)
+        # one folder a micro-batch: handled again, it is overwritten, not repeated
+        w.write.mode("overwrite").parquet(f"{out_path}/_batch={epoch_id}")
         wait.write.mode("overwrite").parquet(f"{staging_path}/{epoch_id}")
 
     return handle

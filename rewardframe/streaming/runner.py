@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .ops import path_exists
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -21,20 +22,12 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{base}/streams/{tag}/out", f"{base}/streams/{tag}/checkpoint"
 
 
-def read_stream(spark: SparkSession, path: str, max_files: int | None = None, spread_rows: bool = False) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Parquet file source with the schema taken from the files (streams need
-    one).  A single-file path streams its directory filtered to that name.
-    ``spread_rows``: for CPU-heavy stateless work, round-robin the rows over
-    the cores when the source has fewer files than cores (the streaming
-    counterpart of ``sources.tables.spread``)."""
+    one).  A single-file path streams its directory filtered to that name."""
     import os
 
-    batch = spark.read.parquet(path)
-    schema = batch.schema
-    if spread_rows:
-        target = spark.sparkContext.defaultParallelism
-        few = len(batch.inputFiles()) < target
-        return read_stream(spark, path, max_files).repartition(target) if few else read_stream(spark, path, max_files)
+    schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -44,16 +37,17 @@ def read_stream(spark: SparkSession, path: str, max_files: int | None = None, sp
     return r.parquet(path)
 
 
-def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_available(sdf: DataFrame, name: str, mode: str = "append", location: str | None = None) -> DataFrame:
     """Process everything available (``availableNow``) through ``foreachBatch``
-    into parquet and return the written table.  ``complete`` mode overwrites
-    with the full result each batch; ``append``/``update`` append."""
+    into parquet, a folder per micro-batch, and return the written table (in
+    ``complete`` mode the last micro-batch's).  With ``location`` a restart goes on
+    from the checkpoint there; without it the run has a folder of its own."""
     spark = sdf.sparkSession
-    out, ckpt = stream_paths(spark, name)
+    out, ckpt = (f"{location.rstrip('/')}/out", f"{location.rstrip('/')}/checkpoint") if location else stream_paths(spark, name)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        w = batch.withColumn("_batch", F.lit(epoch_id))
-        w.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        # one folder a micro-batch: handled again, it is overwritten, not repeated
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={epoch_id}")
 
     q = (
         sdf.writeStream.outputMode(mode)
@@ -65,7 +59,9 @@ def run_available(sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    try:
-        return spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - nothing was written: empty input
+    if not path_exists(spark, out):  # empty input
         return spark.createDataFrame([], sdf.schema.add("_batch", "long"))
+    done = spark.read.parquet(out)
+    if mode == "complete":  # the last full result is the table
+        done = done.where(F.col("_batch") == done.agg(F.max("_batch")).first()[0])
+    return done.withColumn("_batch", F.col("_batch").cast("long"))

@@ -122,3 +122,39 @@ def test_sessions_preaggregated_equals_session_window(spark):
     ra = sorted((tuple(r[c] for c in cols), round(r.total, 9)) for r in a.collect())
     rb = sorted((tuple(r[c] for c in cols), round(r.total, 9)) for r in b.collect())
     assert ra == rb and len(ra) > 100
+
+
+def test_micro_batch_replay_and_broken_stage(spark, tmp_path):
+    from rewardframe.streaming.ops import whiten_closed_batches
+
+    out, stage = str(tmp_path / "out"), str(tmp_path / "stage")
+    handle = whiten_closed_batches(2, "v", "b", out, stage)
+    handle(spark.createDataFrame([(1, 1.0), (2, 5.0)], "b long, v double"), 0)
+    later = spark.createDataFrame([(1, 3.0)], "b long, v double")
+    handle(later, 1)
+    handle(later, 1)  # the same micro-batch again
+    assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1.0, 3.0]
+    (tmp_path / "stage" / "1").mkdir(exist_ok=True)
+    for f in (tmp_path / "stage" / "1").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        handle(later, 2)
+
+
+def test_stream_restart_resumes(spark, tmp_path):
+    from rewardframe.streaming.runner import read_stream, run_available
+
+    src, at = str(tmp_path / "src"), str(tmp_path / "run")
+    spark.range(5).write.parquet(src)
+    assert run_available(read_stream(spark, src), "r", location=at).count() == 5
+    spark.range(5, 8).write.mode("append").parquet(src)
+    assert run_available(read_stream(spark, src), "r", location=at).count() == 8
+
+
+def test_penalties_apply_only_above_zero(spark):
+    from rewardframe.config import ShapingConfig
+    from rewardframe.plans.bindings import shaped_scores
+
+    df = spark.createDataFrame([(["a", "b"] * 5, 9, True, 0.0)], "post array<string>, seq_len int, has_eos boolean, score_raw double")
+    r = shaped_scores(df, ShapingConfig(length_penalty_coef=-0.1, repetition_penalty_coef=-1.0)).first()
+    assert r.length_penalty == 0.0 and r.repetition_penalty == 0.0
