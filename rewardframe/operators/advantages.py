@@ -7,8 +7,10 @@ Token data comes in two physical forms:
   values are known constants, so they are not stored;
 * long: one row per ``(rollout_id, t)``.
 
-Batch statistics are aggregates (partial + final, no group in one task)
-joined back on the batch key; per-rollout recursions run inside the row.
+Batch statistics are aggregates (partial + final, no group in one task), written
+to the shared folder before they are joined back: the planner knows the size of
+that table, broadcasts it under Spark's threshold, and the token arrays are not
+shuffled by batch.  Per-rollout recursions run inside the row.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
+from ..session import stored
 
 def empty_doubles():
     return F.array().cast("array<double>")
@@ -54,7 +57,7 @@ def whiten_long(
         .groupBy(*keys)
         .agg(F.avg(value).alias("_mu"), F.var_samp(value).alias("_var"))
     )
-    joined = df.join(stats, keys, "left")
+    joined = df.join(stored(stats, "batch-stats"), keys, "left")
     w = whiten_expr(F.col(value), F.col("_mu"), F.col("_var"), shift_mean)
     if fill is not None:
         w = F.when(mask, w).otherwise(F.lit(float(fill)))
@@ -77,7 +80,7 @@ def whiten_array(
 ) -> DataFrame:
     """G03/G04/G07 on wide form: whiten the first ``n_valid`` elements with batch
     statistics; the rest become ``fill`` (None keeps the whitened value)."""
-    stats = array_stats(df, arr, n_valid, keys)
+    stats = stored(array_stats(df, arr, n_valid, keys), "batch-stats")
     joined = df.join(stats, keys, "left").withColumn("_nv", n_valid)
     body = lambda v, i: (
         F.when(i < F.col("_nv"), whiten_expr(v, F.col("_mu"), F.col("_var"), shift_mean)).otherwise(
@@ -159,7 +162,7 @@ def batch_scaled_advantage(
     because a batch is not bounded."""
     w = Window.partitionBy(group)
     centred = df.withColumn("_c", F.col(reward) - F.avg(reward).over(w))
-    bstd = df.groupBy(batch).agg(F.stddev_samp(reward).alias("_bsd"))
+    bstd = stored(df.groupBy(batch).agg(F.stddev_samp(reward).alias("_bsd")), "batch-stats")
     denom = F.col("_bsd") + F.lit(float(eps))
     adv = F.when(F.col("_bsd").isNull() | (denom == 0), F.lit(0.0)).otherwise(F.col("_c") / denom)
     return centred.join(bstd, batch, "left").withColumn(out, adv).drop("_c", "_bsd")

@@ -11,7 +11,8 @@ from .ranking import bucketed_row_number, span_bucket
 
 def rank_pairs(chosen: DataFrame, rejected: DataFrame, group: str, key: str, score: str, buckets: int = 4096) -> DataFrame:
     """J02 rank zip: the k-th chosen row of a group (by ``key``) is paired with
-    the k-th rejected row.  Linear in the input (no all-pairs); ranks are
+    the k-th rejected row; the longer side's surplus keeps NULL on the other.
+    Linear in the input (no all-pairs); ranks are
     built in two levels (at most ``buckets`` key ranges) so a large group is
     not one task."""
 
@@ -19,25 +20,27 @@ def rank_pairs(chosen: DataFrame, rejected: DataFrame, group: str, key: str, sco
         r = bucketed_row_number(df, [group], [key], span_bucket(df, key, buckets), "pair_rank")
         return r.select(group, "pair_rank", F.col(key).alias(f"{side}_id"), F.col(score).alias(f"score_{side}"))
 
-    return ranked(chosen, "chosen").join(ranked(rejected, "rejected"), [group, "pair_rank"])
+    return ranked(chosen, "chosen").join(ranked(rejected, "rejected"), [group, "pair_rank"], "full_outer")
 
 
 def preference_metrics(pairs: DataFrame, keys: list[str], chosen: str = "score_chosen", rejected: str = "score_rejected") -> DataFrame:
-    """Mean ``-log sigmoid(r_c - r_r)``, accuracy and margin per ``keys``."""
+    """Mean ``-log sigmoid(r_c - r_r)``, accuracy and margin per ``keys`` over
+    the complete pairs; ``n_unpaired`` counts the others."""
     d = F.col(chosen) - F.col(rejected)
     return pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_pairs"),
+        F.count(d).alias("n_pairs"),
+        F.count(F.when(d.isNull(), 1)).alias("n_unpaired"),
         F.avg(log_sigmoid_loss(d)).alias("loss"),
-        F.avg(F.when(d > 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("accuracy"),
+        F.avg(F.when(d > 0, F.lit(1.0)).when(d <= 0, F.lit(0.0))).alias("accuracy"),
         F.avg(d).alias("margin"),
     )
 
 
 def weighted_reward(weights: dict[str, float]) -> Column:
-    """Weighted sum of reward columns (weights are parameters)."""
+    """Weighted sum of reward columns (weights are parameters; NULL adds 0)."""
     out = F.lit(0.0)
     for c, w in weights.items():
-        out = out + F.lit(float(w)) * F.col(c).cast("double")
+        out = out + F.lit(float(w)) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     return out
 
 

@@ -99,7 +99,8 @@ def token_rollouts(spark: SparkSession, sf: str, cfg: PPOConfig = PPO) -> DataFr
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("rollout_id"), "o_totalprice")
     r = o.join(token_lines(spark, sf), "rollout_id", "left")
     lines = F.coalesce(F.col("lines"), F.array().cast(r.schema["lines"].dataType))
-    seq_len = (F.size(lines) - 1).cast("int")
+    too_long = F.raise_error(F.lit(f"a rollout has more than gen_len = {cfg.gen_len} tokens"))
+    seq_len = F.when(F.size(lines) > cfg.gen_len, too_long).otherwise(F.size(lines) - 1).cast("int")
     slot = seq_len + 1 < cfg.gen_len
 
     def with_slot(per_line, slot_value: float):
@@ -152,12 +153,17 @@ def ppo_rewards(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
     return out
 
 
-def ppo_advantages(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
-    """GAE over the stored positions, returns, and advantages
-    whitened per batch over ``t <= seq_len`` then zero filled."""
+def ppo_raw_advantages(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
+    """GAE over the stored positions and returns."""
     out = ppo_rewards(ro, cfg)
     out = out.withColumn("adv_raw", G.gae(F.col("rewards"), F.col("value"), cfg.gamma, cfg.lam))
-    out = out.withColumn("returns", G.returns(F.col("adv_raw"), F.col("value")))
+    return out.withColumn("returns", G.returns(F.col("adv_raw"), F.col("value")))
+
+
+def ppo_advantages(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
+    """GAE, returns, and advantages whitened per batch over
+    ``t <= seq_len`` then zero filled."""
+    out = ppo_raw_advantages(ro, cfg)
     return G.whiten_array(out, "adv_raw", F.col("seq_len") + 1, ["batch_id"], "advantages", fill=0.0)
 
 

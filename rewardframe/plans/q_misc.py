@@ -212,8 +212,10 @@ def completions_preview(spark, sf):
 PREF_CTE = """dl AS (SELECT d.doc_id, d.lang, l.quality, CASE WHEN d.n_chars > 0 THEN ln(d.n_chars) END AS score
               FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 rk AS (SELECT *, row_number() OVER (PARTITION BY lang, quality ORDER BY doc_id) - 1 AS pair_rank FROM dl),
-pp AS (SELECT c.lang, c.pair_rank, c.doc_id AS chosen_id, x.doc_id AS rejected_id, c.score AS score_chosen, x.score AS score_rejected
-       FROM rk c JOIN rk x ON c.lang = x.lang AND c.pair_rank = x.pair_rank AND c.quality = 1 AND x.quality = 0)"""
+pp AS (SELECT coalesce(c.lang, x.lang) AS lang, coalesce(c.pair_rank, x.pair_rank) AS pair_rank, c.doc_id AS chosen_id,
+              x.doc_id AS rejected_id, c.score AS score_chosen, x.score AS score_rejected
+       FROM (SELECT * FROM rk WHERE quality = 1) c FULL JOIN (SELECT * FROM rk WHERE quality = 0) x
+         ON c.lang = x.lang AND c.pair_rank = x.pair_rank)"""
 
 
 def pairs_df(spark, sf):
@@ -226,15 +228,17 @@ def pairs_df(spark, sf):
 @query("pref_pairs", f"WITH {PREF_CTE} SELECT * FROM pp", ["score_chosen", "score_rejected"], "S04 J02")
 def pref_pairs(spark, sf):
     """Chosen (quality 1) and rejected (quality 0) documents of the same
-    language zipped by rank on doc_id (linear, never all pairs)."""
+    language zipped by rank on doc_id (linear, never all pairs); the longer
+    side's surplus has no partner."""
     return pairs_df(spark, sf)
 
 
 @query(
     "preference_loss",
     f"""WITH {PREF_CTE}, d AS (SELECT lang, score_chosen - score_rejected AS d FROM pp)
-        SELECT lang, count(*) AS n_pairs, avg(greatest(-d, 0) + ln(1 + exp(-abs(d)))) AS loss,
-               avg(CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END) AS accuracy, avg(d) AS margin FROM d GROUP BY lang""",
+        SELECT lang, count(d) AS n_pairs, count(*) - count(d) AS n_unpaired,
+               avg(CASE WHEN d IS NOT NULL THEN greatest(-d, 0) + ln(1 + exp(-abs(d))) END) AS loss,
+               avg(CASE WHEN d > 0 THEN 1.0 WHEN d <= 0 THEN 0.0 END) AS accuracy, avg(d) AS margin FROM d GROUP BY lang""",
     ["loss", "accuracy", "margin"],
     "R13",
 )
@@ -250,11 +254,11 @@ MULTI_W = {"r_length": 0.2, "r_quality": 1.0, "r_toxic": -2.0, "r_verifiable": 0
     "multi_reward",
     f"""WITH r AS (SELECT d.doc_id, ln(1 + CAST(d.n_chars AS DOUBLE)) AS r_length, CAST(l.quality AS DOUBLE) AS r_quality,
                          CAST(l.toxic AS DOUBLE) AS r_toxic, {Q.verifiable_reward('d.text', None)} AS r_verifiable
-                  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+                  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
          s AS (SELECT avg(r_length) AS m1, stddev_samp(r_length) AS s1, avg(r_quality) AS m2, stddev_samp(r_quality) AS s2,
                       avg(r_toxic) AS m3, stddev_samp(r_toxic) AS s3, avg(r_verifiable) AS m4, stddev_samp(r_verifiable) AS s4 FROM r)
     SELECT doc_id,
-           {MULTI_W['r_length']} * r_length + {MULTI_W['r_quality']} * r_quality + {MULTI_W['r_toxic']} * r_toxic
+           {MULTI_W['r_length']} * r_length + {MULTI_W['r_quality']} * coalesce(r_quality, 0.0) + {MULTI_W['r_toxic']} * coalesce(r_toxic, 0.0)
              + {MULTI_W['r_verifiable']} * r_verifiable AS reward,
            {MULTI_W['r_length']} * coalesce((r_length - m1) / nullif(s1, 0), 0.0) + {MULTI_W['r_quality']} * coalesce((r_quality - m2) / nullif(s2, 0), 0.0)
              + {MULTI_W['r_toxic']} * coalesce((r_toxic - m3) / nullif(s3, 0), 0.0)
@@ -265,10 +269,11 @@ MULTI_W = {"r_length": 0.2, "r_quality": 1.0, "r_toxic": -2.0, "r_verifiable": 0
 )
 def multi_reward(spark, sf):
     """Weighted sum of several rewards, raw and z-normalised per reward
-    (normalisation statistics are one aggregate row, used as scalars)."""
+    (normalisation statistics are one aggregate row, used as scalars); a reward
+    that a document lacks adds 0."""
     d = TB.table(spark, sf, "documents").select("doc_id", "n_chars", "text")
     l = TB.table(spark, sf, "labels")
-    r = d.join(l, "doc_id").select(
+    r = d.join(l, "doc_id", "left").select(
         "doc_id",
         F.log1p(F.col("n_chars").cast("double")).alias("r_length"),
         F.col("quality").cast("double").alias("r_quality"),

@@ -16,7 +16,7 @@ from ..operators import advantages as G
 from ..operators import losses as O
 from ..operators.ranking import bucketed_row_number, global_row_number, hex_bucket, md5_key, span_bucket
 from ..sources import tables as TB
-from .bindings import LINE_ORDER, ppo_advantages, ppo_rewards, token_long, token_rollouts
+from .bindings import LINE_ORDER, ppo_advantages, ppo_raw_advantages, ppo_rewards, token_long, token_rollouts
 from .registry import query
 
 L = PPO.gen_len
@@ -110,6 +110,11 @@ def wide(spark, sf, cfg=PPO):
     return ppo_advantages(token_rollouts(spark, sf, cfg), cfg)
 
 
+def raw(spark, sf, cfg=PPO):
+    """Rollouts with GAE and returns, for queries that need no whitening."""
+    return ppo_raw_advantages(token_rollouts(spark, sf, cfg), cfg)
+
+
 def long_of(spark, sf, cols, cfg=PPO):
     return token_long(ppo_rewards(token_rollouts(spark, sf, cfg), cfg), cols)
 
@@ -185,13 +190,12 @@ def dense_reward(spark, sf):
 )
 def join_ref(spark, sf):
     """Policy logprobs JOIN reference logprobs JOIN values on (rollout_id, t).
-    All three sides come from one co-partitioned token table, so the equi-join
-    needs no extra exchange beyond the rollout shuffle."""
-    base = token_long(token_rollouts(spark, sf), ["logprob", "ref_logprob", "value"])
-    pol = base.select("rollout_id", "t", "logprob")
-    ref = base.select("rollout_id", "t", "ref_logprob")
-    val = base.select("rollout_id", "t", "value")
-    j = pol.join(ref, ["rollout_id", "t"]).join(val, ["rollout_id", "t"])
+    The wide rows are joined on rollout_id, by which they are already partitioned, and
+    their arrays are zipped and exploded once."""
+    ro = token_rollouts(spark, sf)
+    j = ro.select("rollout_id", "logprob").join(ro.select("rollout_id", "ref_logprob"), "rollout_id")
+    j = j.join(ro.select("rollout_id", "value"), "rollout_id")
+    j = token_long(j, ["logprob", "ref_logprob", "value"], ["rollout_id"])
     return j.withColumn("kl", R.kl_per_token("logprob", "ref_logprob", "k1"))
 
 
@@ -260,13 +264,13 @@ def whiten_rewards(spark, sf):
 @query("gae", f"WITH {GAE_CTE} SELECT rollout_id, t, adv AS advantage FROM aw", ["advantage"], "G05 W01")
 def gae(spark, sf):
     """Generalised advantage estimation, backward recursion per rollout (γ=1, λ=0.95)."""
-    return token_long(wide(spark, sf), ["adv_raw"]).select("rollout_id", "t", F.col("adv_raw").alias("advantage"))
+    return token_long(raw(spark, sf), ["adv_raw"]).select("rollout_id", "t", F.col("adv_raw").alias("advantage"))
 
 
 @query("returns", f"WITH {GAE_CTE} SELECT rollout_id, t, ret AS returns FROM aw", ["returns"], "G06")
 def returns_(spark, sf):
     """Returns = advantages + values, before whitening."""
-    return token_long(wide(spark, sf), ["returns"]).select("rollout_id", "t", "returns")
+    return token_long(raw(spark, sf), ["returns"]).select("rollout_id", "t", "returns")
 
 
 @query("adv_whiten", f"WITH {GAE_CTE} SELECT rollout_id, t, adv_w AS advantage FROM aw", ["advantage"], "G07 A07 T7")
@@ -292,6 +296,12 @@ def batch_stats(spark, sf):
     return O.stats_from_sums(O.rollout_loss_sums(wide(spark, sf)), ["batch_id"])
 
 
+def value_stats(spark, sf):
+    """Batch statistics without the policy terms, which alone need whitening."""
+    sums = O.rollout_loss_sums(raw(spark, sf).withColumn("advantages", F.col("adv_raw")))
+    return O.stats_from_sums(sums, ["batch_id"])
+
+
 @query("policy_loss", f"WITH {LOSS_CTE} SELECT batch_id, pg_loss, pg_clipfrac FROM ({stats_select('batch_id')})", ["pg_loss", "pg_clipfrac"], "O02")
 def policy_loss(spark, sf):
     """Clipped policy loss per batch (masked mean over ``t <= seq_len``)."""
@@ -301,7 +311,7 @@ def policy_loss(spark, sf):
 @query("value_loss", f"WITH {LOSS_CTE} SELECT batch_id, vf_loss, vf_clipfrac FROM ({stats_select('batch_id')})", ["vf_loss", "vf_clipfrac"], "O03")
 def value_loss(spark, sf):
     """Clipped value loss per batch (masked mean over ``t <= seq_len + 1``)."""
-    return batch_stats(spark, sf).select("batch_id", "vf_loss", "vf_clipfrac")
+    return value_stats(spark, sf).select("batch_id", "vf_loss", "vf_clipfrac")
 
 
 @query("clipfrac", f"WITH {LOSS_CTE} SELECT batch_id, pg_clipfrac, vf_clipfrac FROM ({stats_select('batch_id')})", ["pg_clipfrac", "vf_clipfrac"], "O04")
@@ -313,7 +323,7 @@ def clipfrac(spark, sf):
 @query("approx_kl", f"WITH {LOSS_CTE} SELECT batch_id, approxkl FROM ({stats_select('batch_id')})", ["approxkl"], "O05 T5")
 def approx_kl(spark, sf):
     """``0.5 * mean(Δlp²)`` over all B·L positions (pads count as 0)."""
-    return batch_stats(spark, sf).select("batch_id", "approxkl")
+    return value_stats(spark, sf).select("batch_id", "approxkl")
 
 
 @query("total_loss", f"WITH {LOSS_CTE} SELECT batch_id, pg_loss, vf_loss, loss FROM ({stats_select('batch_id')})", ["pg_loss", "vf_loss", "loss"], "O06")
@@ -494,17 +504,19 @@ def score_means(spark, sf):
 
 @query(
     "last_token_score",
-    f"WITH {TOK_CTE} SELECT rollout_id, value AS last_value FROM tok WHERE t = seq_len",
+    f"WITH {TOK_CTE} SELECT ros.rollout_id, tok.value AS last_value FROM ros LEFT JOIN tok ON ros.rollout_id = tok.rollout_id AND tok.t = ros.seq_len",
     ["last_value"],
     "A09",
 )
 def last_token_score(spark, sf):
     """Value at the last valid token of each rollout (``max_by`` on line order,
-    a partial aggregate: no window)."""
+    a partial aggregate: no window); NULL for an empty response."""
     li = TB.table(spark, sf, "lineitem")
-    return li.groupBy(F.col("l_orderkey").alias("rollout_id")).agg(
+    last = li.groupBy(F.col("l_orderkey").alias("rollout_id")).agg(
         F.max_by(F.col("l_quantity") / 50, F.struct(*LINE_ORDER)).alias("last_value")
     )
+    o = TB.table(spark, sf, "orders").select(F.col("o_orderkey").alias("rollout_id"))
+    return o.join(last, "rollout_id", "left")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` into the shared checkpoint folder and read it back: the planner
+    then knows its true size, and the table survives a lost executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
     spark = df.sparkSession

@@ -40,3 +40,27 @@ def test_approxkl_prunes_gae(spark):
     # approxkl needs only the two logprob arrays: GAE and whitening are pruned
     assert "reverse(" not in _plan(E.queries()["approx_kl"](spark, SF001))
     assert "reverse(" in _plan(E.queries()["policy_loss"](spark, SF001))
+
+
+def test_whitening_does_not_shuffle_token_arrays_by_batch(spark):
+    # batch statistics come back as a stored table of known size, so only they move
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200KB")
+    try:
+        import re
+
+        for name in ("adv_whiten", "whiten_rewards", "ppo_stats", "update_metrics", "grpo_adv_batch", "whiten"):
+            assert not re.search(r"hashpartitioning\(batch_id#\d+L?, \d+\)", _plan(E.queries()[name](spark, SF001))), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_quantile_buckets_survive_an_outlier_key(spark):
+    from rewardframe.operators.ranking import span_bucket
+
+    df = spark.range(20_000).unionByName(spark.createDataFrame([(10**12,), (None,)], "id long"))
+    sizes = df.groupBy(span_bucket(df, "id", 64).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 2 * 20_000 / 64
+    monotone = df.where("id is not null").groupBy(span_bucket(df, "id", 64).alias("b")).agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    rows = sorted(monotone.collect())
+    assert all(x.hi < y.lo for x, y in zip(rows, rows[1:]))
