@@ -12,6 +12,7 @@ from ..functions import sequences as S
 from ..functions.text import sentences, split_ws
 from ..operators import batching as B
 from ..operators.ranking import bucketed_running_sum, span_bucket
+from ..session import stored
 from ..sources import tables as TB
 from . import sqltext as Q
 from .bindings import doc_rollouts, rlvr_completions, shaped_scores
@@ -30,6 +31,17 @@ def prompts(spark, sf):
     return d.select("doc_id", "input_ids", F.size("input_ids").alias("lengths"))
 
 
+def prompt_lengths(spark, sf):
+    """P01 as a narrow stored table (doc_id, lengths): ranks, counts and set operations
+    on it do not tokenise the texts again."""
+    return stored(prompts(spark, sf).select("doc_id", "lengths"), "prompt-lengths")
+
+
+def train_ids(spark, sf):
+    """Ids that pass the length filter (P02), from the stored table."""
+    return prompt_lengths(spark, sf).where(F.col("lengths") <= MAX_PROMPT_TOKENS).select("doc_id")
+
+
 @query("head_n", "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 1000", [], "S01 T01")
 def head_n(spark, sf):
     """``train[:1000]`` by doc_id."""
@@ -182,22 +194,28 @@ def ngrams(spark, sf):
       pm AS (SELECT rollout_id, t, tok <> 'and' AS m FROM lt),
       pp AS (SELECT rollout_id, m, coalesce(sum(CAST(m AS BIGINT)) OVER (PARTITION BY rollout_id ORDER BY t
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pm)
-      SELECT rollout_id, count(*) FILTER (WHERE NOT m) AS n_pad, CAST(sum(pos) AS BIGINT) AS sum_pos, CAST(max(pos) AS BIGINT) AS max_pos
-      FROM pp GROUP BY rollout_id""",
+      SELECT ro.rollout_id, count(*) FILTER (WHERE NOT m) AS n_pad, CAST(sum(pos) AS BIGINT) AS sum_pos, CAST(max(pos) AS BIGINT) AS max_pos
+      FROM ro LEFT JOIN pp ON pp.rollout_id = ro.rollout_id GROUP BY ro.rollout_id""",
     [],
     "A05 W02",
 )
 def position_ids(spark, sf):
-    """Attention mask ``token != pad`` with pad = eos (the scripts' fallback)
-    and position ids as the exclusive running count of the mask (long form,
-    window per rollout)."""
-    ro = doc_rollouts(spark, sf).select("rollout_id", F.posexplode_outer("tokens").alias("t", "tok")).where(F.col("t").isNotNull())
-    w = Window.partitionBy("rollout_id").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    pm = ro.withColumn("m", F.col("tok") != F.lit("and"))
-    pp = pm.withColumn("pos", F.coalesce(F.sum(F.col("m").cast("long")).over(w), F.lit(0)))
-    return pp.groupBy("rollout_id").agg(
-        F.count(F.when(~F.col("m"), 1)).alias("n_pad"), F.sum("pos").alias("sum_pos"), F.max("pos").alias("max_pos")
-    )
+    """Attention mask ``token != pad`` with pad = eos (the scripts' fallback) and
+    position ids as the exclusive running count of the mask, summed up inside the row:
+    no token is shuffled; an empty text has no positions (NULL)."""
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("n_pad"), zero.alias("pos"), zero.alias("sum_pos"), F.lit(None).cast("long").alias("max_pos"))
+
+    def step(acc, tok):
+        pad = F.when(tok == F.lit("and"), F.lit(1)).otherwise(F.lit(0))
+        return F.struct(
+            (acc["n_pad"] + pad).alias("n_pad"), (acc["pos"] + 1 - pad).alias("pos"),
+            (acc["sum_pos"] + acc["pos"]).alias("sum_pos"), acc["pos"].alias("max_pos"),
+        )
+
+    a = doc_rollouts(spark, sf).select("rollout_id", F.aggregate("tokens", start, step).alias("a"))
+    some = F.col("a.max_pos").isNotNull()
+    return a.select("rollout_id", "a.n_pad", F.when(some, F.col("a.sum_pos")).alias("sum_pos"), "a.max_pos")
 
 
 @query(
@@ -418,7 +436,7 @@ def ending_templates(spark, sf):
 def running_tokens(spark, sf):
     """Cumulative token count in doc_id order (``num_tokens`` of the SFT log),
     built per id bucket plus bucket offsets (no one-task window)."""
-    p = prompts(spark, sf).select("doc_id", F.col("lengths").cast("long").alias("n_tokens"))
+    p = prompt_lengths(spark, sf).select("doc_id", F.col("lengths").cast("long").alias("n_tokens"))
     return bucketed_running_sum(p, [], ["doc_id"], "n_tokens", span_bucket(p, "doc_id"), "num_tokens")
 
 
@@ -452,7 +470,7 @@ def best_of_n(spark, sf):
 )
 def split_overlap(spark, sf):
     """Leakage report: the eval head is a subset of train by construction."""
-    tr = prompts(spark, sf).where(F.col("lengths") <= MAX_PROMPT_TOKENS).select("doc_id")
+    tr = train_ids(spark, sf)
     ev = TB.eval_head(tr, "doc_id", 10)
     spark_ = tr.sparkSession
     return spark_.range(1).select(
@@ -488,9 +506,8 @@ RANK_SQL = f"""WITH p AS ({LENGTHS_SQL}), tr AS (SELECT doc_id FROM p WHERE leng
                  ORDER BY md5('{SEED}|' || CAST(epoch AS VARCHAR) || '|' || CAST(doc_id AS VARCHAR))) - 1 AS rank FROM ep)"""
 
 
-def ranked(spark, sf):
-    tr = prompts(spark, sf).where(F.col("lengths") <= MAX_PROMPT_TOKENS).select("doc_id")
-    return B.epoch_rank(B.repeat_epochs(tr, EPOCHS), "doc_id", SEED)
+def ranked(ids):
+    return B.epoch_rank(B.repeat_epochs(ids, EPOCHS), "doc_id", SEED)
 
 
 @query(
@@ -512,7 +529,7 @@ def batch_plan(spark, sf):
 @query("epoch_shuffle", f"{RANK_SQL} SELECT doc_id, epoch, rank, rank // {PLAN.batch_size} AS batch_no FROM rk", [], "B02 B05")
 def epoch_shuffle(spark, sf):
     """Per-epoch md5 permutation and batch number (global rank in two levels)."""
-    r = ranked(spark, sf)
+    r = ranked(train_ids(spark, sf))
     return r.select("doc_id", F.col("epoch").cast("long"), "rank", F.floor(F.col("rank") / PLAN.batch_size).cast("long").alias("batch_no"))
 
 
@@ -526,7 +543,7 @@ def epoch_shuffle(spark, sf):
 )
 def minibatch_assign(spark, sf):
     """Batch, mini-batch and micro-batch of every prompt in every epoch."""
-    r = B.assign_batches(ranked(spark, sf), PLAN.batch_size, PLAN.mini_batch_size, PLAN.per_device_train_batch_size)
+    r = B.assign_batches(ranked(train_ids(spark, sf)), PLAN.batch_size, PLAN.mini_batch_size, PLAN.per_device_train_batch_size)
     return r.select("doc_id", F.col("epoch").cast("long"), "batch_no", "mini", "micro")
 
 
@@ -540,9 +557,9 @@ def minibatch_assign(spark, sf):
 )
 def drop_last(spark, sf):
     """Rows of complete batches only (the ragged last batch is dropped)."""
-    tr = prompts(spark, sf).where(F.col("lengths") <= MAX_PROMPT_TOKENS)
+    tr = train_ids(spark, sf)
     n = tr.agg(F.count(F.lit(1))).scalar()
-    b = B.assign_batches(ranked(spark, sf), PLAN.batch_size, PLAN.mini_batch_size, PLAN.per_device_train_batch_size)
+    b = B.assign_batches(ranked(tr), PLAN.batch_size, PLAN.mini_batch_size, PLAN.per_device_train_batch_size)
     return B.drop_last(b, n, PLAN.batch_size).select("doc_id", F.col("epoch").cast("long"), "batch_no")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources import tables as TB
 from ..streaming import ops as X
-from ..streaming.runner import read_stream, run_available
+from ..streaming.runner import latest, read_stream, run_available, run_handler, stream_paths
 from .bindings import rollouts_of_documents, shaped_scores
 from .q_docs import SHAPED_SQL
 from .registry import query
@@ -75,13 +75,16 @@ def metric_smooth(spark, sf):
     )
 
 
-@query(
-    "run_sessions",
-    """WITH o AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+SESSIONS_SQL = """WITH o AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
          f AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
                           OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o)
     SELECT user_id, epoch_us(min(ts)) AS session_start_us, epoch_us(max(ts) + INTERVAL 6 HOUR) AS session_end_us,
-           count(*) AS n_events, sum(value) AS total FROM f GROUP BY user_id, sid""",
+           count(*) AS n_events, sum(value) AS total FROM f GROUP BY user_id, sid"""
+
+
+@query(
+    "run_sessions",
+    SESSIONS_SQL,
     ["total"],
     "X06",
 )
@@ -100,11 +103,12 @@ def run_sessions(spark, sf):
     "X02",
 )
 def stream_metrics(spark, sf):
-    """Streaming daily metrics per event type with a 1-day watermark,
-    complete mode (every window is emitted, including the last day)."""
+    """Streaming daily metrics per event type with a 1-day watermark, update mode:
+    a row later than that is dropped, closed windows leave the state, and the last
+    emitted row of each window is its result (the last day included)."""
     s = read_stream(spark, f"{sf}/events.parquet")
     agg = X.metric_windows(s, "ts", ["event_type"], "value", "1 day", "1 day")
-    return run_available(agg, "stream_metrics", "complete").drop("_batch")
+    return latest(run_available(agg, "stream_metrics", "update"), ["window_start", "event_type"])
 
 
 @query(
@@ -117,8 +121,7 @@ def stream_episode(spark, sf):
     """Running episode count per run kept in streaming state; the last
     emitted value per run is its total."""
     s = read_stream(spark, f"{sf}/events.parquet")
-    out = run_available(X.running_episodes(s, "user_id"), "stream_episode", "update")
-    return out.groupBy("run").agg(F.max("episode").alias("episode"))
+    return latest(run_available(X.running_episodes(s, "user_id"), "stream_episode", "update"), ["run"])
 
 
 @query(
@@ -132,3 +135,38 @@ def stream_shaping(spark, sf):
     s = read_stream(spark, f"{sf}/documents.parquet")
     sh = shaped_scores(rollouts_of_documents(s)).select("rollout_id", "score_shaped")
     return run_available(sh, "stream_shaping", "append").drop("_batch")
+
+
+@query("stream_sessions", SESSIONS_SQL, ["total"], "X06")
+def stream_sessions(spark, sf):
+    """The sessions of ``run_sessions`` on a stream (complete mode: open sessions too)."""
+    s = read_stream(spark, f"{sf}/events.parquet")
+    return run_available(X.sessions(s, "ts", "user_id", "6 hours", "value"), "stream_sessions", "complete").drop("_batch")
+
+
+@query("stream_dedupe", "SELECT event_id, user_id, value FROM events", ["value"], "X05")
+def stream_dedupe(spark, sf):
+    """Every event arrives twice; the replay is dropped within the watermark."""
+    s = read_stream(spark, f"{sf}/events.parquet").withColumn("ts", X.utc_instant("ts"))
+    out = X.dedupe_rollouts(s.unionByName(s), "event_id", "ts", "1 hour")
+    return run_available(out.select("event_id", "user_id", "value"), "stream_dedupe", "append").drop("_batch")
+
+
+CLOSED = 20
+
+
+@query(
+    "stream_whiten",
+    f"""WITH s AS (SELECT user_id, avg(value) AS mu, var_samp(value) AS var FROM events GROUP BY user_id HAVING count(*) >= {CLOSED})
+        SELECT event_id, user_id, (value - mu) / sqrt(var + 1e-8) AS value_w FROM events JOIN s USING (user_id)""",
+    ["value_w"],
+    "X03 G03",
+)
+def stream_whiten(spark, sf):
+    """Whitening of each run once it has ``CLOSED`` rows; smaller runs keep waiting in the
+    staging table."""
+    out, stage = (f"{x}/whiten" for x in stream_paths(spark, "stream_whiten"))
+    s = read_stream(spark, f"{sf}/events.parquet").select("event_id", "user_id", "value")
+    run_handler(s, X.whiten_closed_batches(CLOSED, "value", "user_id", out, stage), "stream_whiten")
+    empty = spark.createDataFrame([], "event_id long, user_id long, value_w double")
+    return spark.read.parquet(out).select(empty.columns) if X.path_exists(spark, out) else empty

@@ -11,6 +11,7 @@ from ..functions.chat import DEFAULT_SYSTEM, IM_END, IM_START, render
 from ..functions.sequences import pad_left, pad_right
 from ..functions.text import split_ws
 from ..operators import preferences as P
+from ..session import stored
 from ..sources import tables as TB
 from . import sqltext as Q
 from .bindings import conv_pairs, doc_rollouts, shaped_scores
@@ -222,6 +223,7 @@ def pairs_df(spark, sf):
     d = TB.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     l = TB.table(spark, sf, "labels").select("doc_id", "quality")
     dl = d.join(l, "doc_id").withColumn("score", F.when(F.col("n_chars") > 0, F.log(F.col("n_chars").cast("double"))))
+    dl = stored(dl.select("doc_id", "lang", "quality", "score"), "labelled-scores")
     return P.rank_pairs(dl.where("quality = 1"), dl.where("quality = 0"), "lang", "doc_id", "score")
 
 
@@ -322,16 +324,16 @@ def reward_rollup(spark, sf):
 @query("fit_preference", None, [], "K01")
 def fit_preference(spark, sf):
     """Bradley-Terry reward head fitted with pyspark.ml on embedding pairs
-    (neighbouring ids, higher label chosen; ties dropped); returns the
-    fitted probability that the chosen side wins for every pair."""
+    (neighbouring ids, higher label chosen); returns for every pair the fitted
+    probability that the chosen side wins, NULL for ties and ids without a neighbour."""
     e = TB.table(spark, sf, "embeddings").withColumn("pair_id", F.expr("vec_id div 2"))
     key = F.struct(F.col("label"), (-F.col("vec_id")).alias("neg"))
     row = F.struct("vec_id", "label", "embedding")
     p = e.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n"), F.max_by(row, key).alias("c"), F.min_by(row, key).alias("r"))
-    p = p.where((F.col("n") == 2) & (F.col("c.label") > F.col("r.label"))).select(
-        "pair_id", F.col("c.embedding").alias("ce"), F.col("r.embedding").alias("re")
-    )
-    model = P.fit_bradley_terry(p, "ce", "re")
+    ranked = (F.col("n") == 2) & (F.col("c.label") > F.col("r.label"))
+    side = lambda c: F.when(ranked, F.col(c))
+    p = stored(p.select("pair_id", side("c.embedding").alias("ce"), side("r.embedding").alias("re")), "preference-pairs")
+    model = P.fit_bradley_terry(p.where("ce is not null and re is not null"), "ce", "re")
     w = F.array(*[F.lit(float(x)) for x in model.coefficients.toArray()])
     diff = F.zip_with("ce", "re", lambda a, b: a.cast("double") - b.cast("double"))
     return p.select("pair_id", (1.0 / (1.0 + F.exp(-LG.dot(diff, w)))).alias("p_chosen"))

@@ -15,6 +15,7 @@ from ..functions import rewards as R
 from ..operators import advantages as G
 from ..operators import losses as O
 from ..operators.ranking import bucketed_row_number, global_row_number, hex_bucket, md5_key, span_bucket
+from ..session import stored
 from ..sources import tables as TB
 from .bindings import LINE_ORDER, ppo_advantages, ppo_raw_advantages, ppo_rewards, token_long, token_rollouts
 from .registry import query
@@ -575,7 +576,7 @@ def sample_cadence(spark, sf):
     """Every ``max(1, total // 10)``-th update is sampled (updates = orders by key)."""
     from ..operators.batching import sample_cadence as cadence
 
-    o = TB.table(spark, sf, "orders").select("o_orderkey")
+    o = stored(TB.table(spark, sf, "orders").select("o_orderkey"), "order-keys")
     n = o.agg(F.count(F.lit(1))).scalar()
     u = global_row_number(o, ["o_orderkey"], span_bucket(o, "o_orderkey"), "rank")
     u = u.withColumn("update_no", F.col("rank") + 1).drop("rank")

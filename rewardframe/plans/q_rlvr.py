@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rewards as R
-from ..functions.text import split_ws, truthy, word_set
+from ..functions.text import truthy, word_set
 from ..operators import advantages as G
 from ..operators import verifiable as V
 from . import sqltext as Q
@@ -127,14 +127,15 @@ def rlvr_summary(spark, sf):
 
 
 def _rouge_sql(n: int) -> str:
-    g = lambda e: Q.ngram_keys(Q.rouge_tokens(e), n)
+    g = lambda e: Q.ngram_keys(e, n)
     return f"""WITH {Q.RLVR_CTE},
-      lab AS (SELECT doc_id, completion, label FROM rc WHERE {Q.truthy('label')}),
-      p AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest({g('completion')}) AS k FROM lab) GROUP BY ALL),
-      t AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest({g('label')}) AS k FROM lab) GROUP BY ALL),
+      lab AS MATERIALIZED (SELECT doc_id, {Q.rouge_tokens('completion')} AS tp, {Q.rouge_tokens('label')} AS tt
+                           FROM rc WHERE {Q.truthy('label')}),
+      p AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest({g('tp')}) AS k FROM lab) GROUP BY ALL),
+      t AS (SELECT doc_id, k, count(*) AS c FROM (SELECT doc_id, unnest({g('tt')}) AS k FROM lab) GROUP BY ALL),
       i AS (SELECT p.doc_id, sum(least(p.c, t.c)) AS hit FROM p JOIN t ON p.doc_id = t.doc_id AND p.k = t.k GROUP BY p.doc_id),
       s AS (SELECT lab.doc_id, CAST(coalesce(i.hit, 0) AS DOUBLE) AS hit,
-                   CAST(len({g('lab.completion')}) AS DOUBLE) AS np, CAST(len({g('lab.label')}) AS DOUBLE) AS nt
+                   CAST(greatest(len(tp) - {n - 1}, 0) AS DOUBLE) AS np, CAST(greatest(len(tt) - {n - 1}, 0) AS DOUBLE) AS nt
             FROM lab LEFT JOIN i ON lab.doc_id = i.doc_id),
       f AS (SELECT doc_id, hit / greatest(np, 1) AS precision, hit / greatest(nt, 1) AS recall FROM s)
     SELECT rc.doc_id, coalesce(precision, 0.0) AS precision, coalesce(recall, 0.0) AS recall,
@@ -142,9 +143,9 @@ def _rouge_sql(n: int) -> str:
     FROM rc LEFT JOIN f ON f.doc_id = rc.doc_id"""
 
 
-def unlabelled_zero(rc, n: int):
-    """ROUGE-n of every completion: 0.0 where there is no ground truth."""
-    scores = V.rouge_n(rc.where(truthy("label")), "doc_id", "completion", "label", n)
+def unlabelled_zero(rc, score):
+    """ROUGE of every completion: 0.0 where there is no ground truth."""
+    scores = score(rc.where(truthy("label")))
     out = rc.select("doc_id").join(scores, "doc_id", "left")
     return out.select("doc_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")])
 
@@ -152,19 +153,19 @@ def unlabelled_zero(rc, n: int):
 @query("rouge1", _rouge_sql(1), ["precision", "recall", "f1"], "R08")
 def rouge1(spark, sf):
     """ROUGE-1 precision/recall/F1 of completion vs label (no stemmer)."""
-    return unlabelled_zero(rlvr_completions(spark, sf), 1)
+    return unlabelled_zero(rlvr_completions(spark, sf), lambda rc: V.rouge_n(rc, "doc_id", "completion", "label", 1))
 
 
 @query("rouge2", _rouge_sql(2), ["precision", "recall", "f1"], "R08")
 def rouge2(spark, sf):
     """ROUGE-2 precision/recall/F1 of completion vs label (no stemmer)."""
-    return unlabelled_zero(rlvr_completions(spark, sf), 2)
+    return unlabelled_zero(rlvr_completions(spark, sf), lambda rc: V.rouge_n(rc, "doc_id", "completion", "label", 2))
 
 
 @query("rougeL", None, [], "R08")
 def rouge_l(spark, sf):
-    """ROUGE-L F1 (LCS) per labelled completion; Arrow UDF, checked against brute force in tests."""
-    return V.rouge_l(rlvr_completions(spark, sf).where(truthy("label")), "doc_id", "completion", "label")
+    """ROUGE-L F1 (LCS) per completion, 0.0 without a label; Arrow UDF, checked against brute force in tests."""
+    return unlabelled_zero(rlvr_completions(spark, sf), lambda rc: V.rouge_l(rc, "doc_id", "completion", "label"))
 
 
 @query(
@@ -184,5 +185,3 @@ def rlvr_reward_registry(spark, sf):
         V.reward_fn("overlap_only")(F.col("completion"), F.col("label")).alias("overlap_only"),
     )
 
-
-__all__ = ["split_ws"]

@@ -4,12 +4,8 @@ duplicate suppression (X05), run sessions (X06)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def path_exists(spark, path: str) -> bool:
@@ -37,25 +33,11 @@ def metric_windows(
     return g.select(F.unix_seconds(F.col("w.start")).alias("window_start"), *keys, "n", "total", "mean")
 
 
-def _count_episodes(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (episode, updates) = state.get if state.exists else (0, 0)
-    for pdf in pdfs:
-        episode += len(pdf)
-    updates += 1
-    state.update((episode, updates))
-    yield pd.DataFrame({"run": [key[0]], "episode": [episode], "n_updates": [updates]})
-
-
 def running_episodes(events: DataFrame, run: str) -> DataFrame:
-    """One counter per run kept in state across micro-batches
-    (``applyInPandasWithState``); each batch emits the updated totals."""
-    return events.select(F.col(run).alias("run")).groupBy("run").applyInPandasWithState(
-        _count_episodes,
-        "run long, episode long, n_updates long",
-        "episode long, n_updates long",
-        "update",
-        GroupStateTimeout.NoTimeout,
-    )
+    """One counter per run kept in state across micro-batches (update mode).  A
+    micro-batch's rows are counted before the shuffle, so a hot run moves one row per
+    task."""
+    return events.groupBy(F.col(run).alias("run")).agg(F.count(F.lit(1)).alias("episode"))
 
 
 def dedupe_rollouts(stream: DataFrame, key: str, ts: str, watermark: str) -> DataFrame:
@@ -63,9 +45,11 @@ def dedupe_rollouts(stream: DataFrame, key: str, ts: str, watermark: str) -> Dat
     return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
 
 
-def sessions(events: DataFrame, ts: str, key: str, gap: str, value: str) -> DataFrame:
-    """Activity sessions per run; a gap of ``gap`` or more starts a new one."""
+def sessions(events: DataFrame, ts: str, key: str, gap: str, value: str, watermark: str | None = None) -> DataFrame:
+    """Activity sessions per run; a gap of ``gap`` or more starts a new one.  With
+    ``watermark`` later rows are dropped and closed sessions leave the state."""
     e = events.withColumn("_ts", utc_instant(ts))
+    e = e.withWatermark("_ts", watermark) if watermark else e
     g = e.groupBy(key, F.session_window("_ts", gap).alias("s")).agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(value).alias("total")
     )

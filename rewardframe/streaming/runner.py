@@ -37,6 +37,22 @@ def read_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return r.parquet(path)
 
 
+def run_handler(sdf: DataFrame, handle, name: str, location: str | None = None) -> None:
+    """Process everything available through a ``foreachBatch`` handler of (rows, id)."""
+    ckpt = f"{location.rstrip('/')}/checkpoint" if location else stream_paths(sdf.sparkSession, name)[1]
+    q = sdf.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def latest(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key's last micro-batch (the table that ``update`` mode keeps)."""
+    rest = [c for c in df.columns if c not in (*keys, "_batch")]
+    g = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_row"))
+    return g.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
 def run_available(sdf: DataFrame, name: str, mode: str = "append", location: str | None = None) -> DataFrame:
     """Process everything available (``availableNow``) through ``foreachBatch``
     into parquet, a folder per micro-batch, and return the written table (in
