@@ -1,17 +1,22 @@
 """Main text of web pages by equivalence-class template deduction (EXALG, Arasu and
 Garcia-Molina 2003).
 
-1. Tokens are a page's tags, told apart by their element path.  Per host and token Spark
-   sums a hash of (page, number of occurrences) over the pages: tokens with equal sums
+1. Tokens are a page's tags, told apart by their element path, and its texts: the whole
+   text of a block, and a link at a block's begin or end.  Per host and token Spark sums a
+   hash of (page, number of occurrences) over the distinct pages: tokens with equal sums
    have equal occurrence vectors and form an equivalence class.
-2. A class is valid if it has two tokens or more and is on at least ``share`` of the
-   host's pages (two pages at least).  The valid classes that occur once a page make the
-   template, ordered by position; classes that repeat nest in its slots.
-3. A page's slots are the stretches between template tokens of container elements.  The
-   article is what an article or main element delimits; a page without them gives the
-   slot with the most text (and its siblings under the same parent).  Within it, menus,
-   headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are
-   left out, by element or by the words of class, id and role.
+2. A class is valid if it has two tokens or more (a text counts as two, its begin and its
+   end) and is on at least ``share`` of the host's pages (two pages at least, three for
+   texts).  The valid classes that occur once a page make the template, ordered by
+   position; classes that repeat nest in its slots.  On a page the longest run of template
+   tags in the template's order counts; tags out of order are passed over.
+3. A page's slots are the stretches between template tags of container elements and
+   template texts.  Texts of the template go, once or repeated, unless they are over half
+   of a page's text (a copy of other pages, which keeps them).
+4. A slot is kept by its content: one whose text is mostly links goes, except headings; a
+   page of links only keeps them.  If a page has an article or main element, only what is
+   in them stays.  Last, menus, headers, footers, sidebars, notices, adverts, forms,
+   scripts, styles and comments are left out, by element or by words of class, id and role.
 
 Text: character references decoded, white space inside a block becomes one space, ends
 trimmed, blocks in page order joined by a line feed.  Defined cases: a null or empty page
@@ -23,8 +28,10 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +41,8 @@ from . import common as C
 from .op2_url_filter import with_parts
 
 SHARE = 0.5
+#: Two pages that share a text may be copies of each other.
+TEXT_PAGES = 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -43,6 +52,7 @@ RAW = frozenset("script style textarea title noscript iframe xmp template".split
 DROP = frozenset("nav header footer aside form script style head title noscript iframe template select button textarea menu dialog svg canvas object".split())
 BLOCK = frozenset("address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li "
                   "main ol p pre section summary table tbody td tfoot th thead tr ul".split()) | DROP
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("html body div section article main td nav header footer aside form".split())
 _DROP_WORD = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|header|footer|sidebar|side|aside|notices?|cookies?|consent|"
                         r"popup|modal|newsletter|subscribe|share|sharing|social|related|comments?|reply|replies|respond|disqus|login|search|toolbar|pagination|"
@@ -109,15 +119,64 @@ def token(kind: str, name: str, path: str) -> str:
     return ("/" if kind == "close" else "") + name + "|" + path
 
 
+def flat(parts: list[tuple[str, int]]) -> str:
+    return " ".join("".join(t for t, _ in parts).split())
+
+
+def content(page: str) -> tuple[list[tuple[str, bool]], list[tuple]]:
+    """Tags (token, is a container) and blocks (tags before it, path, inside an article, is
+    a heading, parts) of a page; a part is (text, number of its link or 0)."""
+    tags: list[tuple[str, bool]] = []
+    blocks: list[tuple] = []
+    article, link, fresh, heading = 0, 0, True, False
+    for kind, name, path, drop, text in walk(page):
+        if kind == "text":
+            if drop:
+                continue
+            if fresh:
+                blocks.append((len(tags), path, article > 0, heading, []))
+                fresh = False
+            blocks[-1][4].append((entities.unescape(text), link))
+            continue
+        if name in BLOCK:
+            fresh, heading = True, kind == "open" and name in HEADING
+        if name == "a" or name in CONTAINER:
+            link = len(tags) + 1 if kind == "open" and name == "a" else 0
+        if name in ("article", "main") and not drop:
+            article = max(0, article + (1 if kind == "open" else -1))
+        tags.append((token(kind, name, path), name in CONTAINER))
+    return tags, blocks
+
+
+def text_token(kind: str, text: str, path: str) -> str:
+    return f"#{kind}{hashlib.blake2b(text.encode('utf-8', 'replace'), digest_size=8).hexdigest()}|{path}"
+
+
+def end_link(parts: list[tuple[str, int]], last: bool) -> tuple[str, list[tuple[str, int]]]:
+    """Text of the link at the begin or end of a block ('' if there is none), and the rest."""
+    step = -1 if last else 1
+    run = parts[::step]
+    lead = next((i for i, (t, _) in enumerate(run) if t.strip()), len(run))
+    run = run[lead:]
+    if not run or not run[0][1]:
+        return "", parts
+    n = next((i for i, (_, k) in enumerate(run) if k != run[0][1]), len(run))
+    return flat(run[:n][::step]), run[n:][::step]
+
+
 def page_tokens(page: str) -> dict[str, tuple[int, int]]:
-    """token -> (occurrences, first position) for the tags of a page."""
+    """token -> (occurrences, first position) for the tags and texts of a page."""
+    tags, blocks = content(page)
     out: dict[str, list[int]] = {}
-    at = 0
-    for kind, name, path, _, _ in walk(page):
-        if kind != "text":
-            x = out.setdefault(token(kind, name, path), [0, at])
-            x[0] += 1
-            at += 1
+    for at, (t, _) in enumerate(tags):
+        out.setdefault(t, [0, at])[0] += 1
+    for at, path, _, _, parts in blocks:
+        text = flat(parts)
+        if not text:
+            continue
+        out.setdefault(text_token("", text, path), [0, at])[0] += 1
+        for link in {end_link(parts, False)[0], end_link(parts, True)[0]} - {"", text}:
+            out.setdefault(text_token("a", link, path), [0, at])[0] += 1
     return {k: tuple(v) for k, v in out.items()}
 
 
@@ -135,62 +194,96 @@ def _tokens_fn(batches):
 
 def deduce_templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, template): tokens of the valid classes with one occurrence a page, in page
-    order, with their class; and the repeated classes nested between them."""
-    tok = pages.select("host", "key", "html").mapInArrow(_tokens_fn, "host string, key long, token string, n int, at int")
+    order, with their class; and the repeated classes nested between them.  Pages of equal
+    ``key`` count once."""
+    pages = pages.select("host", "key", "html").dropDuplicates(["host", "key"])
+    tok = pages.mapInArrow(_tokens_fn, "host string, key long, token string, n int, at int")
     vec = tok.groupBy("host", "token").agg(F.sum(F.xxhash64("key", "n").cast("decimal(38,0)")).alias("vector"), F.count(F.lit(1)).alias("support"),
                                            F.min("n").alias("least"), F.max("n").alias("most"), F.avg("at").alias("at"))
     count = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    cls = vec.groupBy("host", "vector", "support").agg(F.count(F.lit(1)).alias("size"))
+    is_text = F.col("token").startswith("#")
+    cls = vec.groupBy("host", "vector", "support").agg(F.sum(F.when(is_text, 2).otherwise(1)).alias("size"))
     good = cls.join(count, "host").where((F.col("size") > 1) & (F.col("support") >= F.greatest(F.lit(2.0), F.col("pages") * share)))
-    kept = vec.join(good.select("host", "vector", "support"), ["host", "vector", "support"])
+    kept = vec.join(good.select("host", "vector", "support"), ["host", "vector", "support"]) \
+        .where(~is_text | (F.col("support") >= TEXT_PAGES))
     return kept.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(
         "at", "token", F.xxhash64("vector", "support").alias("class"), (F.col("most") == 1).alias("once")))).alias("template"))
 
 
-def main_text(page: str, once: frozenset[str] | None = None) -> str:
-    """Main text of a page given its template's once-a-page tokens (None: no template)."""
-    blocks: list[list] = []  # [slot path, slot number, inside an article, text parts]
-    article, slot, fresh, found = 0, 0, True, False
-    for kind, name, path, drop, text in walk(page):
-        if kind == "text":
-            if drop:
-                continue
-            if fresh:
-                blocks.append([path, slot, article > 0, []])
-                fresh = False
-            blocks[-1][3].append(entities.unescape(text))
+def in_order(ranks: list[int]) -> list[int]:
+    """Indices of the longest rising subsequence."""
+    tails, last, before = [], [], []
+    for i, r in enumerate(ranks):
+        k = bisect_left(tails, r)
+        before.append(last[k - 1] if k else -1)
+        tails[k:k + 1], last[k:k + 1] = [r], [i]
+    out, i = [], last[-1] if last else -1
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return out[::-1]
+
+
+def own_text(path: str, parts: list[tuple[str, int]], texts: frozenset[str]) -> list[tuple[str, int]]:
+    """A block's parts without the template's texts."""
+    if text_token("", flat(parts), path) in texts:
+        return []
+    for last in (False, True):
+        while True:
+            link, rest = end_link(parts, last)
+            if not link or text_token("a", link, path) not in texts:
+                break
+            parts = rest
+    return parts
+
+
+def main_text(page: str, order: dict[str, int] | None = None, texts: frozenset[str] = frozenset()) -> str:
+    """Main text of a page given its template: the places of the once-a-page tags (None: no
+    template) and the texts."""
+    tags, blocks = content(page)
+    bounds = [i for i, (t, box) in enumerate(tags) if box and (order is None or t in order)]
+    if order is not None:
+        bounds = [bounds[k] for k in in_order([order[tags[i][0]] for i in bounds])]
+    lines, extra, whole = [], 0, 0  # [slot, inside an article, is a heading, text, of it in links]
+    for at, path, inside, heading, parts in blocks:
+        text = flat(parts)
+        if not text:
             continue
-        if name in BLOCK:
-            fresh = True
-        if name in CONTAINER and (once is None or token(kind, name, path) in once):
-            slot += 1
-        if name in ("article", "main") and not drop:
-            article = max(0, article + (1 if kind == "open" else -1))
-            found = True
-    lines = [(p, s, a, " ".join("".join(t).split())) for p, s, a, t in blocks]
-    lines = [x for x in lines if x[3]]
-    if found:
-        return "\n".join(t for _, _, a, t in lines if a)
-    size: dict[tuple[str, int], int] = {}
-    for p, s, _, t in lines:
-        size[p, s] = size.get((p, s), 0) + len(t)
-    if not size:
-        return ""
-    best = max(size, key=lambda k: (size[k], -k[1]))[0]
-    return "\n".join(t for p, _, _, t in lines if p == best or p.startswith(best + "/"))
+        whole += len(text)
+        if texts:
+            parts = own_text(path, parts, texts)
+            text = flat(parts)
+        if text:
+            lines.append((bisect_left(bounds, at) + extra, inside, heading, text, sum(len(" ".join(t.split())) for t, k in parts if k)))
+        else:
+            extra += 1
+    if texts and 2 * sum(len(x[3]) for x in lines) < whole:
+        return main_text(page, order)
+    size: dict[int, list[int]] = {}
+    for slot, _, _, text, linked in lines:
+        x = size.setdefault(slot, [0, 0])
+        x[0] += len(text)
+        x[1] += linked
+    kept = [x for x in lines if x[1] or x[2] or 2 * size[x[0]][1] <= size[x[0]][0]] or lines
+    if any(t.split("|")[0] in ("article", "main") for t, _ in tags):
+        kept = [x for x in lines if x[1]]
+    return "\n".join(x[3] for x in kept)
 
 
 def _extract_fn(batches):
     for b in batches:
         page, template, texts = b.column("html"), b.column("template"), []
-        known: dict[tuple, frozenset] = {}
+        known: dict[tuple, tuple] = {}
         for i in range(b.num_rows):
             t = template[i].as_py()
-            once = None
-            if t is not None:
-                key = tuple(t)
-                once = known.setdefault(key, frozenset(key))
-            texts.append(main_text(page[i].as_py() or "", once))
+            if t is None:
+                texts.append(main_text(page[i].as_py() or ""))
+                continue
+            key = tuple(t)
+            if key not in known:
+                tags = [x for x in key if not x.startswith("#")]
+                known[key] = {x: n for n, x in enumerate(tags)}, frozenset(x for x in key if x.startswith("#"))
+            texts.append(main_text(page[i].as_py() or "", *known[key]))
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                          names=["id", "url", "text", "n_chars"])
 
@@ -198,8 +291,8 @@ def _extract_fn(batches):
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = SHARE) -> DataFrame:
     """id, url, text, n_chars for every page."""
     src = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
-    src = with_parts(src).drop("path").withColumn("key", F.xxhash64("id", "url"))
-    templates = deduce_templates(src, share).select("host", F.transform(F.filter("template", lambda t: t["once"]), lambda t: t["token"]).alias("template"))
+    src = with_parts(src).drop("path").withColumn("key", F.xxhash64("html"))
+    templates = deduce_templates(src, share).select("host", F.transform(F.filter("template", lambda t: t["once"] | t["token"].startswith("#")), lambda t: t["token"]).alias("template"))
     out = src.join(C.stored(templates, "op10-templates"), "host", "left")
     kind = src.schema["id"].dataType.simpleString()
     return out.select("id", "url", "html", "template").mapInArrow(_extract_fn, f"id {kind}, url string, text string, n_chars long")

@@ -340,6 +340,21 @@ def test_html_template_classes(spark):
     assert {"article|/html/body/article", "/article|/html/body/article"} <= once and not any(x["token"].startswith("p|") and x["once"] for x in t)
 
 
+def test_html_template_decides(spark):
+    """Constant texts without a listed class go, in blocks and at block ends; order counts."""
+    page = ("<body><div class=x><p>Seen on paper</p></div><div class=y><article><h1>T{0}</h1><p>Story {0} of the day and <i>on</i> it goes <a href=/{0}>read more</a></p>"
+            "<p>Next {0}, as <a href=/w>W</a> says</p><p>Read on</p></article></div></body>")
+    df = spark.createDataFrame([(i, "http://a/%d" % i, page.format("n%d" % i)) for i in range(6)], "page_id long, url string, html string")
+    got = {r.id: r.text for r in o10.extract(df).collect()}
+    assert got == {i: "Tn{0}\nStory n{0} of the day and on it goes\nNext n{0}, as W says".format(i) for i in range(6)}
+    copies = df.withColumn("html", F.concat(F.lit("<article><p>one and the same long story</p></article>"), F.col("page_id").cast("string")))
+    assert {r.text for r in o10.extract(copies).collect()} == {"one and the same long story"}
+    assert o10.in_order([0, 5, 1, 2, 4, 3, 6]) in ([0, 2, 3, 4, 6], [0, 2, 3, 5, 6])
+    order = {"div|/body/div": 1, "/div|/body/div": 2}
+    links = "<body><div><a>one</a> <a>two</a></div><p>words of the page itself</p></body>"
+    assert o10.main_text(links, order) == "words of the page itself"
+
+
 def test_components_and_ranks(spark):
     r = np.random.default_rng(1)
     e = [(int(a), int(b)) for a, b in r.integers(0, 400, (260, 2))] + [(i, i + 1) for i in range(500, 560)]
