@@ -13,10 +13,11 @@ Garcia-Molina 2003).
 3. A page's slots are the stretches between template tags of container elements and
    template texts.  Texts of the template go, once or repeated, unless they are over half
    of a page's text (a copy of other pages, which keeps them).
-4. A slot is kept by its content: one whose text is mostly links goes, except headings; a
-   page of links only keeps them.  If a page has an article or main element, only what is
-   in them stays.  Last, menus, headers, footers, sidebars, notices, adverts, forms,
-   scripts, styles and comments are left out, by element or by words of class, id and role.
+4. A slot is kept by its content, at every depth: one whose text is mostly links goes,
+   except headings; a page of links only keeps them.  If article and main elements hold
+   more than half of that text, they delimit it.  Last, menus, headers, footers, sidebars,
+   notices, adverts, forms, scripts, styles and comments are left out, by element or by the
+   words of class, id and role.
 
 Text: character references decoded, white space inside a block becomes one space, ends
 trimmed, blocks in page order joined by a line feed.  Defined cases: a null or empty page
@@ -196,11 +197,12 @@ def deduce_templates(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, template): tokens of the valid classes with one occurrence a page, in page
     order, with their class; and the repeated classes nested between them.  Pages of equal
     ``key`` count once."""
-    pages = pages.select("host", "key", "html").dropDuplicates(["host", "key"])
-    tok = pages.mapInArrow(_tokens_fn, "host string, key long, token string, n int, at int")
+    tok = pages.select("host", "key", "html").mapInArrow(_tokens_fn, "host string, key long, token string, n int, at int")
+    tok = tok.groupBy("host", "key", "token").agg(F.min("n").alias("n"), F.min("at").alias("at"))
     vec = tok.groupBy("host", "token").agg(F.sum(F.xxhash64("key", "n").cast("decimal(38,0)")).alias("vector"), F.count(F.lit(1)).alias("support"),
                                            F.min("n").alias("least"), F.max("n").alias("most"), F.avg("at").alias("at"))
-    count = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    vec = C.stored(vec.where("support > 1"), "op10-tokens")
+    count = pages.select("host", "key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     is_text = F.col("token").startswith("#")
     cls = vec.groupBy("host", "vector", "support").agg(F.sum(F.when(is_text, 2).otherwise(1)).alias("size"))
     good = cls.join(count, "host").where((F.col("size") > 1) & (F.col("support") >= F.greatest(F.lit(2.0), F.col("pages") * share)))
@@ -265,8 +267,9 @@ def main_text(page: str, order: dict[str, int] | None = None, texts: frozenset[s
         x[0] += len(text)
         x[1] += linked
     kept = [x for x in lines if x[1] or x[2] or 2 * size[x[0]][1] <= size[x[0]][0]] or lines
-    if any(t.split("|")[0] in ("article", "main") for t, _ in tags):
-        kept = [x for x in lines if x[1]]
+    article = [x for x in kept if x[1]]
+    if 2 * sum(len(x[3]) for x in article) > sum(len(x[3]) for x in kept):
+        kept = article
     return "\n".join(x[3] for x in kept)
 
 

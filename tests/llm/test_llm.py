@@ -355,6 +355,24 @@ def test_html_template_decides(spark):
     assert o10.main_text(links, order) == "words of the page itself"
 
 
+def test_html_keeps_every_depth(spark):
+    """Pages of other shapes: article elements that hold little, titles and introductions above the longest slot."""
+    long = "<p>%s</p>" % ("long words " * 20).strip()
+    body = [
+        ("<body><h1>Title</h1><div><p>text</p></div></body>", "Title\ntext"),
+        ("<body><div><p>An introduction</p><div>%s</div><p>The end</p></div></body>" % long, "An introduction\n%s\nThe end" % ("long words " * 20).strip()),
+        ("<body><article></article><div>%s</div></body>" % long, ("long words " * 20).strip()),
+        ("<body><article><p>Teaser</p></article><div>%s</div></body>" % long, "Teaser\n" + ("long words " * 20).strip()),
+        ("<body><p>odd</p><main>%s</main></body>" % long, ("long words " * 20).strip()),
+        ("<body><nav>menu</nav><main></main></body>", "")]
+    df = spark.createDataFrame([(i, "http://h%d/" % i, h) for i, (h, _) in enumerate(body)], "page_id long, url string, html string")
+    assert {r.id: r.text for r in o10.extract(df).collect()} == {i: t for i, (_, t) in enumerate(body)}
+    same = spark.createDataFrame([(10 * i + j, "http://h%d/%d" % (i, j), h.replace("text", "text %d" % j).replace("long", "long%d" % j))
+                                  for i, (h, _) in enumerate(body[:3]) for j in range(2)], "page_id long, url string, html string")
+    got = {r.id: r.text for r in o10.extract(same).collect()}
+    assert got == {10 * i + j: t.replace("text", "text %d" % j).replace("long", "long%d" % j) for i, (_, t) in enumerate(body[:3]) for j in range(2)}
+
+
 def test_components_and_ranks(spark):
     r = np.random.default_rng(1)
     e = [(int(a), int(b)) for a, b in r.integers(0, 400, (260, 2))] + [(i, i + 1) for i in range(500, 560)]
