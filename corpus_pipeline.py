@@ -19,6 +19,10 @@ from rewardframe.llm import common as C  # noqa: E402
 from rewardframe.llm import op3_mixing, op6_ngram_join, op7_packing, op8_quality_rff, op9_suffix_dedup  # noqa: E402
 
 
+#: Fewest words of a repeated passage that goes.
+PASSAGE_WORDS = 51
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5 go."""
     return op8_quality_rff.good_documents(docs, C.read(spark, sf_dir, "labels"))
@@ -35,9 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that repeat are cut out of the texts."""
+    """Strings of 400 bytes and passages of over 50 words (of any length) that repeat are
+    cut out of the texts."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    out = op9_suffix_dedup.suffix_dedup(docs, carry=rest)
+    out = op9_suffix_dedup.suffix_dedup(docs, carry=rest, words=PASSAGE_WORDS)
     new = {"doc_id": F.col("id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept_text"),
            "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
     return out.select(*[new.get(c, F.col(f"`x_{c}`")).alias(c) for c in docs.columns])

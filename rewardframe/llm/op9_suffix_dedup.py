@@ -19,6 +19,10 @@ of more than ``hot_rows`` rows never come together in a task: their suffix keys
 counted by Spark's partial aggregation instead.  Groups of equal texts (found by
 digest) are removed whole and send one representative to the buckets.
 
+With ``words``, passages of that many words or more that repeat go too, however short their
+bytes: each word becomes a ``WORD_BYTES``-byte hash and the same steps find the repeated
+strings of ``words`` hashes.  White space between two kept words stays.
+
 Defined cases: null text is empty; a text shorter than ``length`` bytes keeps all its
 bytes (no string of that length starts in it); repeated rows are different documents;
 null ids stay null; an empty table gives no rows; extra columns are ignored.  Text is UTF-8 bytes, so a cut may fall inside a character.
@@ -40,6 +44,7 @@ GRAM = 64
 #: Perfect difference set: every residue difference modulo 31 occurs once.
 COVER_MOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 HOT_ROWS = 50_000
+WORD_BYTES = 6
 _POS_BITS = 21
 
 
@@ -242,7 +247,29 @@ def merge_spans(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _apply_fn(length: int, with_text: bool):
+def _words_fn(batches):
+    """Each text as the hashes of its words."""
+    for b in batches:
+        data, off = C.text_buffer(b.column("text"))
+        for i, j in C.doc_chunks(off, 8 * C.CHUNK_BYTES):
+            part, at = data[off[i]: off[j]], off[i: j + 1] - off[i]
+            start, end, row = C.word_spans(part, at)
+            h = C.mix(C.span_hash(C.prefix_hash(part), start, end))
+            body = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+            pos = (np.searchsorted(row, np.arange(j - i + 1)) * WORD_BYTES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").slice(i, j - i), b.column("dg").slice(i, j - i),
+                 pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(pos.tobytes()), pa.py_buffer(body)])], names=["id", "dg", "text"])
+
+
+def word_cuts(raw: bytes, spans: list[tuple[int, int]] | None) -> list[tuple[int, int]]:
+    """Bytes of the words that spans of the word hashes cover whole (None: of all words)."""
+    start, end, _ = C.word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    whole = [(0, len(start))] if spans is None else [(-(-lo // WORD_BYTES), hi // WORD_BYTES) for lo, hi in spans]
+    return [(int(start[lo]), int(end[hi - 1])) for lo, hi in whole if lo < hi]
+
+
+def _apply_fn(length: int, with_text: bool, words: int | None = None):
     def fn(batches):
         for b in batches:
             data, off = C.text_buffer(b.column("text"))
@@ -255,9 +282,15 @@ def _apply_fn(length: int, with_text: bool):
                     cut = [(0, len(raw))]
                 elif spans[i].is_valid:
                     v = spans[i].values
-                    cut = merge_spans(np.asarray(v.field("lo")), np.asarray(v.field("hi")))
+                    lo, hi, word = (np.asarray(v.field(k).cast(pa.int64())) for k in ("lo", "hi", "word"))
+                    cut = merge_spans(lo[word == 0], hi[word == 0])
+                    if word.any():
+                        cut += word_cuts(raw, merge_spans(lo[word == 1], hi[word == 1]))
+                        cut = merge_spans(*np.array(cut, np.int64).reshape(-1, 2).T)
                 else:
                     cut = []
+                if words and copies[i] > 1 and len(raw.split()) >= words:
+                    cut = merge_spans(*np.array(cut + word_cuts(raw, None), np.int64).reshape(-1, 2).T)
                 at, kept = 0, []
                 for x, y in cut:
                     kept.append(raw[at:x])
@@ -281,16 +314,8 @@ def _apply_fn(length: int, with_text: bool):
     return fn
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                 hot_rows: int = HOT_ROWS, block_rows: int = 2048, carry: list[str] | None = None) -> DataFrame:
-    """One row per input row: (id, n_bytes, n_removed, n_spans, kept_sha256, removed)
-    with ``removed`` the spans in the input bytes.  With ``carry`` (column names) also
-    ``kept_text`` and those columns as ``x_<name>``; bytes of characters cut in two are
-    dropped from ``kept_text``."""
-    carry_cols = [F.col(f"`{c}`").alias(f"x_{c}") for c in carry or []]
-    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
-                       *carry_cols)
-    base = base.withColumn("dg", F.xxhash64("text"))
+def repeat_spans(base: DataFrame, length: int, gram: int, hot_rows: int, block_rows: int) -> DataFrame:
+    """(dg, lo, hi): repeated strings of the texts (id, dg, text), equal ``dg`` as one text."""
     runs = C.stored(base.select("id", "dg", "text").mapInArrow(
         _runs_fn(length, gram), "h long, dg long, id long, first long, n int, back int, own long"), "op9-runs")
     local = runs.where("h is null").select("dg", F.col("first").alias("lo"), F.col("own").alias("hi")).distinct()
@@ -299,23 +324,40 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("h", (F.col("c") > hot_rows).alias("hot"))
     todo = runs.join(alive, "h").groupBy("dg").agg(
         F.min("id").alias("rep"), F.collect_set(F.struct("h", "first", "n", "back", "hot")).alias("runs"))
-    copies = base.groupBy("dg").agg(F.count(F.lit(1)).alias("copies"))
     snippets = base.select("id", "dg", "text").join(todo, "dg").where("id <=> rep").select("dg", "text", "runs").mapInArrow(
         _cut_fn(length), "h long, dg long, first long, back int, hot boolean, body binary")
     snippets = C.stored(snippets, "op9-snippets")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = snippets.where("not hot").repartition(n, "h").sortWithinPartitions("h").mapInArrow(
         _dups_fn(length, block_rows), "dg long, lo long, hi long")
     keys = snippets.where("hot").mapInArrow(_hot_keys_fn(length), "key long, dg long, pos long, own long")
     twice = keys.groupBy("key").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("key")
     hot = keys.join(twice, "key", "left_semi").select("dg", F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi"))
-    spans = C.stored(cold.unionByName(hot).unionByName(local), "op9-spans").groupBy("dg").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return C.stored(cold.unionByName(hot).unionByName(local), "op9-spans")
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
+                 hot_rows: int = HOT_ROWS, block_rows: int = 2048, carry: list[str] | None = None, words: int | None = None) -> DataFrame:
+    """One row per input row: (id, n_bytes, n_removed, n_spans, kept_sha256, removed)
+    with ``removed`` the spans in the input bytes.  With ``carry`` (column names) also
+    ``kept_text`` and those columns as ``x_<name>``; bytes of characters cut in two are
+    dropped from ``kept_text``.  With ``words`` repeated passages of so many words go too."""
+    carry_cols = [F.col(f"`{c}`").alias(f"x_{c}") for c in carry or []]
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                       *carry_cols)
+    base = base.withColumn("dg", F.xxhash64("text"))
+    copies = base.groupBy("dg").agg(F.count(F.lit(1)).alias("copies"))
+    spans = repeat_spans(base, length, gram, hot_rows, block_rows).withColumn("word", F.lit(0))
+    if words:
+        coded = base.select("id", "dg", "text").mapInArrow(_words_fn, "id long, dg long, text binary")
+        spans = spans.unionByName(repeat_spans(coded, words * WORD_BYTES, gram, hot_rows, block_rows).withColumn("word", F.lit(1)))
+    spans = spans.groupBy("dg").agg(F.collect_list(F.struct("lo", "hi", "word")).alias("spans"))
     full = base.join(copies.join(spans, "dg", "full_outer").where("copies > 1 or spans is not null"), "dg", "left") \
         .withColumn("copies", F.coalesce("copies", F.lit(1)))
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<lo:long,hi:long>>"
     if carry is not None:
         out += ", kept_text string" + "".join(f", `x_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return full.drop("dg").mapInArrow(_apply_fn(length, carry is not None), out)
+    return full.drop("dg").mapInArrow(_apply_fn(length, carry is not None, words), out)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

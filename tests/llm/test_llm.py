@@ -172,6 +172,39 @@ def test_suffix_dedup_small_alphabet(spark, none):
     assert o9.suffix_dedup(none).count() == 0
 
 
+def test_repeated_passages_of_over_50_words(spark, odd, none):
+    """Passages of 51 words go however short they are; 50 words and under 400 bytes stay."""
+    r = np.random.default_rng(3)
+    short, six = (" ".join("".join(r.choice(list("abcdefgh"), n)) for _ in range(60)) for n in (1, 5))
+    w, v = short.split(), six.split()
+    own = [_text(70 + i, 90) for i in range(9)]
+    texts = [own[0] + " " + " ".join(w[:51]) + " " + own[1], own[2] + "\n" + "  ".join(w[:51]), " ".join(v[:54]) + " " + own[3], own[4] + " " + " ".join(v[:54]),
+             own[5] + " " + " ".join(v[:50]) + " q", "y " + " ".join(v[:50]) + " " + own[6], own[7], own[7], " ".join(["z"] * 70), "é" * 300, own[8] + " " + "é" * 300]
+    texts += [t.text for t in odd.collect()] + [t.text for t in C.read(spark, SF, "documents").limit(60).collect()]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOC)
+    raw = [(t or "").encode() for t in texts]
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in raw]
+    grams = [[tuple(b[x:y] for x, y in s[i:i + 51]) for i in range(len(s) - 50)] for b, s in zip(raw, spans)]
+    n = Counter(g for x in grams for g in x)
+    n400 = Counter(b[i:i + 400] for b in raw for i in range(len(b) - 399))
+    want = []
+    for b, s, x in zip(raw, spans, grams):
+        m = np.zeros(len(b), bool)
+        for i, g in enumerate(x):
+            if n[g] > 1:
+                m[s[i][0]: s[i + 50][1]] = True
+        for i in range(len(b) - 399):
+            if n400[b[i:i + 400]] > 1:
+                m[i:i + 400] = True
+        want.append(bytes(np.frombuffer(b, np.uint8)[~m]).decode("utf-8", "ignore"))
+    assert want[:4] == [own[0] + "  " + own[1], own[2] + "\n", " " + own[3], own[4] + " "] and want[4] == texts[4] and want[5] == texts[5]
+    got = {x.doc_id: x.text for x in corpus_pipeline.repeated_strings(spark, docs, SF).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    hot = {x.id: x.kept_text for x in o9.suffix_dedup(docs, carry=[], words=51, hot_rows=2).collect()}
+    assert [hot[i] for i in range(len(texts))] == want
+    assert corpus_pipeline.repeated_strings(spark, none, SF).count() == 0
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.ORG/es/x?q", "https://example.org/en/12#t", "http://example.org/en/2", "http://b.com/fr/", "http://b.com/de/1", "http://b.com?x", "nourl", None,
             "x://org/", "http://exampleorg/es/", "http://a.com/fr", ""]
