@@ -112,6 +112,21 @@ def test_itq_neardup_matches_brute_force(spark):
     assert o1.itq_neardup(df.limit(0)).count() == 0 and o1.itq_neardup(df.where("vec_id > 899")).count() == 6
 
 
+@pytest.mark.parametrize("dim", [2, 16, 32, 100])
+def test_itq_neardup_finds_all_pairs_at_the_threshold(spark, dim):
+    r = np.random.default_rng(dim)
+    x = r.standard_normal((150 if dim > 2 else 12, dim))
+    y = r.standard_normal(x.shape)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    y -= (y * u).sum(1)[:, None] * u
+    v = 0.9501 * u + np.sqrt(1 - 0.9501 ** 2) * y / np.linalg.norm(y, axis=1)[:, None]
+    x = np.vstack([u, v])
+    df = spark.createDataFrame([(i, [float(a) for a in z]) for i, z in enumerate(x)], "vec_id long, embedding array<double>")
+    m = _cosine_links(x)
+    got = {z.id: z.n_links for z in o1.itq_neardup(df, block_rows=64).collect()}
+    assert [got[i] for i in range(len(x))] == m.sum(1).tolist()
+
+
 def test_adaptive_scan(spark):
     df = C.read(spark, "/root/testdata/sf0.1", "embeddings")
     rows = df.orderBy("vec_id").collect()
