@@ -18,14 +18,16 @@
 A word misses a pair at cosine 0.95 with probability about 0.002 (sign bits of random
 rotations differ with probability angle / pi), three words with about 1e-8; closer pairs
 far less.  The README has the measured recall by dimension.
-Defined cases: a null or zero vector, one with a null or non-finite component, and one
-whose length is not the most common one (ties: the longer) link with nothing; repeated
-rows are rows of their own; null ids never name a component; an empty table gives no
+Defined cases: a null or zero vector and one with a null or non-finite component link
+with nothing; vectors are compared with those of their length, each length in a run of
+its own; repeated rows are rows of their own; null ids never name a component; an empty table gives no
 rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +50,10 @@ def usable(vec: F.Column) -> F.Column:
     return F.coalesce(vec.isNotNull() & (F.size(vec) > 0) & fine & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-def common_dim(df: DataFrame, vec_col: str) -> int:
-    """Most common vector length among usable rows (0 if there is none)."""
-    top = df.where(usable(F.col(vec_col))).groupBy(F.size(vec_col).alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return int(top.d) if top else 0
+def lengths(df: DataFrame, vec_col: str) -> list[int]:
+    """Vector lengths that occur among usable rows, most common first."""
+    found = df.where(usable(F.col(vec_col))).groupBy(F.size(vec_col).alias("d")).count().orderBy(F.desc("count"), F.desc("d")).collect()
+    return [int(r.d) for r in found]
 
 
 def matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -218,13 +220,13 @@ def itq_neardup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
                 near_bits: int = NEAR_BITS, sample_rows: int = SAMPLE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept."""
     src = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").alias("vec"))
-    dim = common_dim(src, "vec")
-    fine = usable(F.col("vec")) & (F.size("vec") == dim)
+    dims = lengths(src, "vec")
+    fine = usable(F.col("vec"))
     rows = C.stored(src.select("id", F.when(fine, F.xxhash64("vec")).alias("ck"), F.when(fine, F.col("vec")).alias("vec")), "op1-rows")
     classes = C.stored(rows.where("ck is not null").groupBy("ck").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("w"), F.first("vec").alias("vec")), "op1-classes")
-    found = near_links(classes, dim, threshold, near_bits, sample_rows, block_rows) if dim else C.empty_like(vectors.sparkSession, "ck long, links long, low long")
-    links = C.stored(found, "op1-links")
+    found = [near_links(classes.where(F.size("vec") == d), d, threshold, near_bits, sample_rows, block_rows) for d in dims]
+    links = C.stored(reduce(DataFrame.unionByName, found, C.empty_like(vectors.sparkSession, "ck long, links long, low long")), "op1-links")
     number = links.groupBy("ck").agg(F.sum("links").alias("links"))
     part = C.components(links.select(F.col("ck").alias("a"), F.col("low").alias("b"))).select(F.col("id").alias("ck"), "component")
     of = classes.select("ck", "rep", "w").join(number, "ck", "left").join(part, "ck", "left").withColumn("component", F.coalesce("component", "ck"))

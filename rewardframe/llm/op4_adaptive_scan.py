@@ -14,15 +14,17 @@ Long 2023) over inverted lists; nearness is the largest inner product.
 4. Survivors are scored exactly on the original vectors in double precision; the best 20
    of each block meet in one window per query.
 
-Defined cases: null and zero vectors, those with a null or non-finite component, and
-those not of the most common length take no part; a query never finds rows of its own
-id; of repeated query ids one counts; repeated rows can be found each; ties go to the
+Defined cases: null and zero vectors and those with a null or non-finite component take
+no part; vectors are compared with those of their length, each length in a run of its
+own; a query never finds rows of its own id; of repeated query ids one counts; repeated rows can be found each; ties go to the
 smaller id; with fewer candidates all are returned; an empty table gives no rows; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from . import common as C
-from .op1_itq_neardup import common_dim, matrix, usable
+from .op1_itq_neardup import lengths, matrix, usable
 
 SAMPLE_ROWS = 16_384
 LIST_ROWS = 2_048
@@ -202,9 +204,17 @@ def adaptive_scan(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id"
     """query_id, rank, vec_id, score for the rows where ``is_query`` (over id, vec) holds."""
     spark = vectors.sparkSession
     src = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").alias("vec"))
-    dim = common_dim(src, "vec")
-    if not dim:
-        return C.empty_like(spark, "query_id long, rank int, vec_id long, score double")
+    dims = lengths(src, "vec")
+    # an id asks with one vector, whatever the lengths of its rows
+    asked = src.where(usable(F.col("vec")) & is_query).groupBy("id").agg(F.min("vec").alias("vec")) if len(dims) > 1 else None
+    found = [_scan_length(src, d, asked, is_query, k, sample_rows, list_rows, block_rows, aim) for d in dims]
+    return reduce(DataFrame.unionByName, found, C.empty_like(spark, "query_id long, rank int, vec_id long, score double"))
+
+
+def _scan_length(src: DataFrame, dim: int, asked: DataFrame | None, is_query: F.Column, k: int, sample_rows: int, list_rows: int,
+                 block_rows: int, aim: float) -> DataFrame:
+    """The scan among the vectors of one length."""
+    spark = src.sparkSession
     fine = src.where(usable(F.col("vec")) & (F.size("vec") == dim))
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     n, top = fine.agg(F.count(F.lit(1)), F.max(norm)).first()
@@ -228,7 +238,7 @@ def adaptive_scan(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id"
         own_b = own.withColumn("_nb", pick)
     rows = own_b.select("list", F.pmod(F.xxhash64("id", "vec"), F.col("_nb")).cast("int").alias("block"), F.lit(0).alias("query"), "id", "vec",
                         F.lit(0.0).alias("floor"))
-    asked = own.where(is_query).select("id", "vec").groupBy("id").agg(F.min("vec").alias("vec"))
+    asked = own.where(is_query).select("id", "vec").groupBy("id").agg(F.min("vec").alias("vec")) if asked is None else asked.where(F.size("vec") == dim)
     asked = asked.mapInArrow(_probe_fn(c, dim, probes, sizes, blocks, k, sample, named), f"list int, block int, query int, id long, vec {kind}, floor double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = rows.unionByName(asked).repartition(parts, "list", "block").sortWithinPartitions("list", "block", "query")

@@ -154,6 +154,17 @@ def test_adaptive_scan_edges(spark):
     assert o4.adaptive_scan(df.limit(0), F.col("id") == 0).count() == 0
 
 
+def test_vectors_of_every_length(spark):
+    rows = [(i, [1.0 + i, 2.0, 5.0 - i]) for i in range(6)] + [(20, [3.0, 4.0]), (21, [3.0, 4.0]), (22, [-4.0, 3.0]), (40, [7.0]), (60, [2.0, 1.0]), (60, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.id: r for r in o1.itq_neardup(df.where("vec_id < 60")).collect()}
+    assert [got[i].n_links for i in (20, 21, 22, 40)] == [1, 1, 0, 0] and got[21].component_id == 20 and got[0].n_links > 0
+    top = o4.adaptive_scan(df, F.col("id") % 20 == 0, k=5).toPandas()
+    one = top[top.query_id == 20].sort_values("rank")
+    assert one.vec_id.tolist() == [21, 60, 22] and one.score.tolist() == [25.0, 10.0, 0.0] and top[top.query_id == 40].empty
+    assert top[top.query_id == 0]["rank"].tolist() == [1, 2, 3, 4, 5] and sorted(top[top.query_id == 60]["rank"]) == [1, 2, 3, 4, 5]
+
+
 def _brute_removed(texts, length):
     raw = [(t or "").encode() for t in texts]
     n = Counter(b[i:i + length] for b in raw for i in range(len(b) - length + 1))
