@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     op1_itq_neardup, op2_url_filter, op3_mixing, op4_adaptive_scan, op5_warc_zstd, op6_ngram_join, op7_packing,
     op8_quality_rff, op9_suffix_dedup, op10_html_template, op11_merkle,
+    op12_label_shards, op13_hard_negatives,
 )
 
 
@@ -27,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup.op9_suffix_dedup,
         "op10_html_template": op10_html_template.op10_html_template,
         "op11_merkle": op11_merkle.op11_merkle,
+        "op12_label_shards": op12_label_shards.op12_label_shards,
+        "op13_hard_negatives": op13_hard_negatives.op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -34,5 +37,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    out = {"op3_mixing": op3_mixing.SQL, "op5_warc_zstd": op5_warc_zstd.SQL, "op11_merkle": op11_merkle.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    out = {"op3_mixing": op3_mixing.SQL, "op5_warc_zstd": op5_warc_zstd.SQL, "op11_merkle": op11_merkle.SQL, "op13_hard_negatives": op13_hard_negatives.SQL,
+           "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in out.items() if v}
