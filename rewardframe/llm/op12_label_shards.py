@@ -9,13 +9,18 @@ most of their neighbours, under quotas that keep every shard within its capacity
    (group, shard, rows): at most one cell for a group and shard, however large the group.
    No edge is ever written out.
 2. A round: each group picks its target, the shard with most of its rows among those with
-   room; a cell no larger than the target's wishes to move (its rows gain neighbours).  The
-   wishes are summed to flows between shards (shards x shards numbers).
+   room; cells no larger than the target's wish to move (their rows gain neighbours), and if
+   the whole group finds space there, all do.  The wishes are summed to flows between shards
+   (shards x shards numbers).
 3. Quotas: flows into a shard may exceed the flows out of it by its free rows only;
-   flows are cut until that holds everywhere, so swaps pass even when all shards are full.
+   the most wishes for which that holds everywhere are granted (a small flow problem between
+   shards), so swaps and longer cycles pass even when all shards are full.
    Where a flow was cut, wishes are granted in hash order up to it by a distributed prefix sum.
 4. Rows without neighbours cost nothing anywhere: they are dealt last, into the space left.
 
+With no free row anywhere (every row linked) groups can only swap, and those that find no
+partner stay cut; the rows without neighbours are what lets the others gather.
+
 A group larger than a shard is first divided into as few parts as fit.  The law held is
 ``rows``: row counts of any two shards differ by at most one, exactly, at every round.
 
@@ -62,34 +67,61 @@ def first_cells(groups: DataFrame, shards: int, most: int) -> DataFrame:
     return p.select("g", "part", ((F.col("lo") + F.col("_j")) % shards).alias("shard"), n.cast("long").alias("n"))
 
 
-def wishes(cells: DataFrame, room: list[int], cap: int) -> DataFrame:
+def wishes(cells: DataFrame, room: list[int], cap: int, turn: int) -> DataFrame:
     """Cells with ``target``: the shard they wish to move to (null: stay)."""
     own = W.partitionBy("g", "part")  # at most one row for each shard
     size = F.sum("n").over(own)
-    # ties between shards fall apart by hash, so that groups do not all choose the same one
-    tie = F.xxhash64("g", "part", "shard")
+    # ties between shards fall apart by hash, another one each round: groups that found their
+    # shard overrun choose again
+    tie = F.xxhash64("g", "part", "shard", F.lit(turn))
     c = cells.withColumn("size", size).withColumn("tie", tie)
-    fits = _pick(room, F.col("shard")) >= F.least(F.col("size") - F.col("n"), F.lit(max(1, int(ROOM * cap))))
-    best = F.max(F.when(fits, F.struct("n", "tie", "shard"))).over(own)
+    space = _pick(room, F.col("shard"))
+    fits = space >= F.least(F.col("size") - F.col("n"), F.lit(max(1, int(ROOM * cap))))
+    best = F.max(F.when(fits, F.struct("n", "tie", "shard", space.alias("space")))).over(own)
     c = c.withColumn("best", best)
-    gain = (F.col("shard") != F.col("best.shard")) & (F.struct("n", "tie") < F.struct("best.n", "best.tie"))
+    # a larger cell follows only where the whole group finds space
+    gain = (F.struct("n", "tie") < F.struct("best.n", "best.tie")) | (F.col("best.space") >= F.col("size") - F.col("best.n"))
+    gain = gain & (F.col("shard") != F.col("best.shard"))
     return c.select("g", "part", "shard", "n", F.when(gain, F.col("best.shard")).alias("target"))
 
 
 def quotas(demand: np.ndarray, free: np.ndarray) -> np.ndarray:
-    """The largest part of the flows ``demand[s, t]`` found by cutting, in proportion, what
-    flows into a shard beyond what leaves it and its free rows."""
+    """The largest part of the flows ``demand[s, t]`` between shards for which what flows into
+    a shard exceeds what leaves it by its ``free`` rows at most.  Starting from all wishes, the
+    surplus of a shard is passed back along the shortest chain of flows (each link gives up as
+    many wishes) to a shard with space: successive shortest paths of a least-cost flow over as many
+    nodes as there are shards."""
     x = demand.astype(np.int64).copy()
+    n = len(free)
     while True:
         over = x.sum(0) - x.sum(1) - free
-        bad = np.flatnonzero(over > 0)
-        if not len(bad):
+        if not (over > 0).any():
             return x
-        for t in bad:
-            most = int(x[t].sum() + free[t])
-            inflow = int(x[:, t].sum())
-            if inflow > most:
-                x[:, t] = x[:, t] * max(most, 0) // inflow
+        dist = np.where(over > 0, 0.0, np.inf)
+        back = np.full(n, -1)
+        # t -> s: give up part of x[s, t], one lost wish a row; s -> t: grant it again
+        cost = np.where(x.T > 0, 1.0, np.where(x < demand, -1.0, np.inf))
+        cost = np.where((x.T > 0) & (x < demand), -1.0, cost)
+        for _ in range(n):
+            step = dist[:, None] + cost
+            near = step.argmin(0)
+            better = step.min(0) < dist
+            if not better.any():
+                break
+            dist = np.where(better, step.min(0), dist)
+            back = np.where(better, near, back)
+        end = int(np.where(over < 0, dist, np.inf).argmin())
+        chain = [end]
+        while back[chain[-1]] >= 0:
+            chain.append(int(back[chain[-1]]))
+        chain.reverse()
+        links = list(zip(chain, chain[1:]))
+        most = min(int(over[chain[0]]), int(-over[end]), *[int(x[s, t]) if cost[t, s] > 0 else int(demand[t, s] - x[t, s]) for t, s in links])
+        for t, s in links:
+            if cost[t, s] > 0:
+                x[s, t] -= most
+            else:
+                x[t, s] += most
 
 
 def propagate(cells: DataFrame, caps: list[int], rounds: int = ROUNDS, rows: int = 20_000) -> tuple[DataFrame, list[int]]:
@@ -101,14 +133,17 @@ def propagate(cells: DataFrame, caps: list[int], rounds: int = ROUNDS, rows: int
     for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # one row for each shard
         held[r["shard"]] = r["n"]
     left = cap  # every shard counts as open before the first round
-    for _ in range(rounds):
-        asked = C.stored(wishes(cells, (cap - held + left).tolist(), int(cap.max())), "op12-wishes")
+    for turn in range(rounds):
+        asked = C.stored(wishes(cells, (cap - held + left).tolist(), int(cap.max()), turn), "op12-wishes")
         demand = np.zeros((shards, shards), np.int64)
         for r in asked.where("target is not null").groupBy("shard", "target").agg(F.sum("n").alias("n")).collect():  # shards x shards numbers
             demand[r["shard"], r["target"]] = r["n"]
         flow = quotas(demand, cap - held)
         if not flow.any():
-            break
+            if not left.any():
+                break
+            left = np.zeros(shards, np.int64)  # nothing leaves any more: only free rows are room
+            continue
         quota = _pick(flow.ravel().tolist(), F.col("shard") * shards + F.col("target"))
         moving = asked.where("target is not null").withColumn("quota", quota)
         tight = F.expr("false")
@@ -117,7 +152,7 @@ def propagate(cells: DataFrame, caps: list[int], rounds: int = ROUNDS, rows: int
             tight = tight | ((F.col("shard") == int(s)) & (F.col("target") == int(t)))
         all_of = moving.where(~tight).withColumn("got", F.when(F.col("quota") > 0, F.col("n")).otherwise(F.lit(0)))
         if len(cut):
-            queue = C.rank_within(C.stored(moving.where(tight), "op12-queue"), ["shard", "target"], _unit("g", "part", F.lit(len(cut))),
+            queue = C.rank_within(C.stored(moving.where(tight), "op12-queue"), ["shard", "target"], _unit("g", "part", F.lit(turn)),
                                   [F.col("g"), F.col("part")], rows, "n", "ahead")
             got = F.greatest(F.lit(0), F.least(F.col("quota") - F.col("ahead"), F.col("n")))
             all_of = all_of.unionByName(queue.withColumn("got", got).drop("ahead"))
