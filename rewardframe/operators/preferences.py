@@ -11,7 +11,8 @@ from .ranking import bucketed_row_number, span_bucket
 
 def rank_pairs(chosen: DataFrame, rejected: DataFrame, group: str, key: str, score: str, buckets: int = 4096) -> DataFrame:
     """J02 rank zip: the k-th chosen row of a group (by ``key``) is paired with
-    the k-th rejected row; the longer side's surplus keeps NULL on the other.
+    the k-th rejected row; the longer side's surplus keeps NULL on the other, and so
+    does every row of the NULL group (an unknown group matches none).
     Linear in the input (no all-pairs); ranks are
     built in two levels (at most ``buckets`` key ranges) so a large group is
     not one task."""

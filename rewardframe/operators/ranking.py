@@ -68,19 +68,21 @@ def bucketed_row_number(
 ) -> DataFrame:
     """0-based ``row_number`` within ``partition_cols`` ordered by ``order_cols``;
     ``bucket`` must be non-decreasing in the order key."""
-    b = df.withColumn("_bkt", bucket)
-    counts = b.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*partition_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    b = df.withColumns({"_key": group_key(partition_cols), "_bkt": bucket})
+    counts = b.groupBy("_key", "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    local = Window.partitionBy(*partition_cols, "_bkt").orderBy(*order_cols)
+    local = Window.partitionBy("_key", "_bkt").orderBy(*order_cols)
     ranked = b.withColumn("_local", F.row_number().over(local) - 1)
-    return ranked.join(offsets, [*partition_cols, "_bkt"]).withColumn(
+    return ranked.join(offsets, ["_key", "_bkt"]).withColumn(
         out, (F.col("_off") + F.col("_local")).cast("long")
-    ).drop("_bkt", "_off", "_local")
+    ).drop("_key", "_bkt", "_off", "_local")
 
 
-def _window(partition_cols: list[str]) -> Window:
-    return Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy(F.lit(0))
+def group_key(cols: list[str]) -> Column:
+    """The group as one value that is equal to itself also where columns are NULL, so that a
+    plain join on it keeps NULL groups and the partitioning of the windows."""
+    return F.struct(*[F.col(f"`{c}`") for c in cols]) if cols else F.struct(F.lit(0))
 
 
 def bucketed_running_sum(
@@ -94,18 +96,16 @@ def bucketed_running_sum(
     """Inclusive running ``sum(value)`` in key order (W04) without a one-task
     window: per-bucket totals (small table) give each bucket's offset, a
     window inside ``(partition, bucket)`` gives the local part."""
-    b = df.withColumn("_bkt", bucket)
-    sums = b.groupBy(*partition_cols, "_bkt").agg(F.sum(value).alias("_s"))
-    before = _window(partition_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    b = df.withColumns({"_key": group_key(partition_cols), "_bkt": bucket})
+    sums = b.groupBy("_key", "_bkt").agg(F.sum(value).alias("_s"))
+    before = Window.partitionBy("_key").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
-    local = (
-        Window.partitionBy(*partition_cols, "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    local = Window.partitionBy("_key", "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     return (
         b.withColumn("_loc", F.sum(value).over(local))
-        .join(offsets, [*partition_cols, "_bkt"])
+        .join(offsets, ["_key", "_bkt"])
         .withColumn(out, F.col("_off") + F.col("_loc"))
-        .drop("_bkt", "_off", "_loc")
+        .drop("_key", "_bkt", "_off", "_loc")
     )
 
 
