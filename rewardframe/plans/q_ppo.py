@@ -17,6 +17,7 @@ from ..operators import losses as O
 from ..operators.ranking import bucketed_row_number, global_row_number, hex_bucket, md5_key, span_bucket
 from ..session import stored
 from ..sources import tables as TB
+from ..sources.bucketed import write_bucketed
 from .bindings import LINE_ORDER, ppo_advantages, ppo_raw_advantages, ppo_rewards, token_long, token_rollouts
 from .registry import query
 
@@ -190,12 +191,13 @@ def dense_reward(spark, sf):
     "J01 L06",
 )
 def join_ref(spark, sf):
-    """Policy logprobs JOIN reference logprobs JOIN values on (rollout_id, t).
-    The wide rows are joined on rollout_id, by which they are already partitioned, and
-    their arrays are zipped and exploded once."""
-    ro = token_rollouts(spark, sf)
-    j = ro.select("rollout_id", "logprob").join(ro.select("rollout_id", "ref_logprob"), "rollout_id")
-    j = j.join(ro.select("rollout_id", "value"), "rollout_id")
+    """Policy logprobs JOIN reference logprobs JOIN values on (rollout_id, t).  The three
+    tables are bucketed and sorted by rollout_id, so they join bucket by bucket without an
+    Exchange; their arrays are zipped and exploded once."""
+    ro = stored(token_rollouts(spark, sf).select("rollout_id", "logprob", "ref_logprob", "value"), "model-outputs")
+    policy, ref, critic = (write_bucketed(ro.select("rollout_id", c), c, "rollout_id") for c in ("logprob", "ref_logprob", "value"))
+    # already in order and in place: a merge join, whatever the sizes
+    j = policy.hint("merge").join(ref.hint("merge"), "rollout_id").join(critic.hint("merge"), "rollout_id")
     j = token_long(j, ["logprob", "ref_logprob", "value"], ["rollout_id"])
     return j.withColumn("kl", R.kl_per_token("logprob", "ref_logprob", "k1"))
 
@@ -581,9 +583,3 @@ def sample_cadence(spark, sf):
     u = global_row_number(o, ["o_orderkey"], span_bucket(o, "o_orderkey"), "rank")
     u = u.withColumn("update_no", F.col("rank") + 1).drop("rank")
     return cadence(u, "update_no", n, 10)
-
-
-def append_update_metrics(spark, sf, path: str) -> None:
-    """S10 sink: append one metric record per update to the run log,
-    partitioned by run for pruning."""
-    TB.write_partitioned(update_metrics_df(spark, sf), path, ["run_id"], "append")

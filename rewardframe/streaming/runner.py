@@ -37,10 +37,11 @@ def read_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return r.parquet(path)
 
 
-def run_handler(sdf: DataFrame, handle, name: str, location: str | None = None) -> None:
+def run_handler(sdf: DataFrame, handle, name: str, location: str | None = None, output_mode: str = "append") -> None:
     """Process everything available through a ``foreachBatch`` handler of (rows, id)."""
     ckpt = f"{location.rstrip('/')}/checkpoint" if location else stream_paths(sdf.sparkSession, name)[1]
-    q = sdf.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    w = sdf.writeStream.outputMode(output_mode).foreachBatch(handle).option("checkpointLocation", ckpt)
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
