@@ -37,24 +37,27 @@ def repetition_penalty(post: Column | str, seq_len: Column | str, n: int = 3, co
 def with_repetition_penalty(
     df, post: str = "post", seq_len: str = "seq_len", n: int = 3, coef: float = 0.1, out: str = "repetition_penalty"
 ):
-    """R02 as a DataFrame step: keys and their sorted copy are materialised as
-    columns so each is computed once per row."""
-    from .sequences import repeated_in_sorted
+    """R02 as a DataFrame step: the sorted n-grams are computed once per row."""
+    return with_repetition_penalties(df, {out: n}, post, seq_len, coef)
+
+
+def with_repetition_penalties(df, outs: dict[str, int], post: str = "post", seq_len: str = "seq_len", coef: float = 0.1):
+    """R02 for several n at once, a column for each ``outs`` entry (name: n).  N-grams stay
+    tuples of words: sorting them and comparing neighbours needs no strings built."""
+    from .sequences import compute_once, ngram_rows, repeated_in_sorted
 
     if coef == 0.0:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumns({out: F.lit(0.0) for out in outs})
     sl = F.col(seq_len)
-    return (
-        df.withColumn("_rk", ngram_keys(F.slice(F.col(post), 1, F.greatest(sl, F.lit(0))), n))
-        .withColumn("_rs", F.array_sort("_rk"))
-        .withColumn(
-            out,
-            F.when((sl < n) | (F.size("_rk") == 0), F.lit(0.0)).otherwise(
-                F.lit(float(coef)) * repeated_in_sorted("_rs") / F.size("_rk")
-            ),
+    held = compute_once(df, _seq=F.slice(F.col(post), 1, F.greatest(sl, F.lit(0))))
+    held = compute_once(held, **{f"_s_{out}": F.sort_array(ngram_rows("_seq", n)) for out, n in outs.items()})
+    pen = {
+        out: F.when((sl < n) | (F.size(f"_s_{out}") == 0), F.lit(0.0)).otherwise(
+            F.lit(float(coef)) * repeated_in_sorted(f"_s_{out}") / F.size(f"_s_{out}")
         )
-        .drop("_rk", "_rs")
-    )
+        for out, n in outs.items()
+    }
+    return held.withColumns(pen).drop("_seq", *[f"_s_{out}" for out in outs])
 
 
 def repetition_penalty_exploded(

@@ -134,19 +134,45 @@ def ngram_keys(x: Column | str, n: int, sep: str = " ") -> Column:
     )
 
 
+def ngram_rows(x: Column | str, n: int, m: Column | None = None) -> Column:
+    """The first ``m`` (default: all) sliding n-grams as structs ``g0 .. g(n-1)`` zipped from shifted
+    slices: compared and sorted as they are, without a string being built for each.  ``x``
+    should be a column that is already computed, as every slice reads it."""
+    x = col_(x)
+    m = F.greatest(F.size(x) - n + 1 if m is None else m, F.lit(0))
+    return F.arrays_zip(*[F.slice(x, j + 1, m).alias(f"g{j}") for j in range(n)])
+
+
 def repeated_in_sorted(sorted_keys: Column | str) -> Column:
-    """Number of distinct values occurring more than once in a sorted array:
-    equal neighbours, deduplicated (O(m) after the sort, no shuffle)."""
+    """Number of distinct values occurring more than once in a sorted array: positions that
+    equal their left neighbour but not the one before it (one pass).  ``sorted_keys`` should be
+    a column that is already computed (``compute_once``), as the neighbours are read from it."""
     s = col_(sorted_keys)
-    k = F.greatest(F.size(s) - 1, F.lit(0))
-    pairs = F.arrays_zip(F.slice(s, 1, k).alias("a"), F.slice(s, 2, k).alias("b"))
-    dups = F.transform(F.filter(pairs, lambda p: p["a"] == p["b"]), lambda p: p["a"])
-    return F.size(F.array_distinct(dups))
+    second = lambda v, i: (v == F.get(s, i - 1)) & ~v.eqNullSafe(F.get(s, i - 2))
+    return F.size(F.filter(s, second))
 
 
 def repeated_distinct(keys: Column) -> Column:
-    """Distinct elements occurring more than once (in-row sort)."""
-    return repeated_in_sorted(F.array_sort(keys))
+    """Distinct elements occurring more than once, as one expression (in-row sort): equal
+    neighbours of the sorted array, deduplicated."""
+    s = F.sort_array(keys)
+    k = F.greatest(F.size(s) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(s, 1, k).alias("a"), F.slice(s, 2, k).alias("b"))
+    return F.size(F.array_distinct(F.transform(F.filter(pairs, lambda p: p["a"] == p["b"]), lambda p: p["a"])))
+
+
+def with_gram_counts(df, x: str, n: int, sep: str = " ", gram: str = "gram", count: str = "n"):
+    """One row for each distinct n-gram of each row's array ``x``, with its count, in place of
+    the column ``x``.  A group never leaves its row: the grams are sorted there, runs of equal ones are
+    counted, and only the distinct ones become strings.  No exchange."""
+    keep = [c for c in df.columns if c != x]
+    s = compute_once(df, _s=F.sort_array(ngram_rows(x, n))).drop(x)
+    marks = F.transform("_s", lambda v, i: F.when(v.eqNullSafe(F.get("_s", i - 1)), F.lit(None)).otherwise(i))
+    s = compute_once(s, _at=F.filter(marks, lambda i: i.isNotNull()))
+    each = F.transform("_at", lambda p, i: F.struct(
+        F.concat_ws(sep, *[F.get("_s", p)[f"g{j}"].cast("string") for j in range(n)]).alias(gram),
+        (F.coalesce(F.get("_at", i + 1), F.size("_s")) - p).cast("long").alias(count)))
+    return s.select(*keep, F.inline_outer(each)).where(F.col(count).isNotNull())
 
 
 def last_valid(values: Column | str, tokens: Column | str, pad) -> Column:

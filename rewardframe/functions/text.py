@@ -17,6 +17,10 @@ WS_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 WS_RUN = WS_CLASS + "+"
+# The same characters in two parts: the regex engine tests a class of ASCII characters with one
+# table lookup, but walks a wider class range by range.
+WS_ASCII = r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F ]"
+WS_WIDE = "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 NON_WS = WS_CLASS.replace("[", "[^", 1)
 
 
@@ -25,9 +29,11 @@ def col_(c: Column | str) -> Column:
 
 
 def split_ws(text: Column | str) -> Column:
-    """``text.split()``: tokens on whitespace runs, no empty strings; NULL -> []."""
-    parts = F.split(F.coalesce(col_(text), F.lit("")), WS_RUN)
-    return F.filter(parts, lambda w: w != F.lit(""))
+    """``text.split()``: tokens on whitespace runs, no empty strings; NULL -> [].  Wide
+    whitespace, which only a text with multi-byte characters can hold, becomes a space first."""
+    t = F.coalesce(col_(text), F.lit(""))
+    plain = F.when(F.octet_length(t) == F.length(t), t).otherwise(F.translate(t, WS_WIDE, " " * len(WS_WIDE)))
+    return F.filter(F.split(plain, WS_ASCII), lambda w: w != F.lit(""))
 
 
 def word_set(text: Column | str) -> Column:

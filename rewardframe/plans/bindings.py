@@ -13,6 +13,7 @@ from ..functions import rewards as R
 from ..functions import sequences as S
 from ..functions.text import split_ws
 from ..operators import advantages as G
+from ..session import stored
 from ..sources.tables import table
 
 STOP_WORD = "and"  # stop/EOS token of the document rollouts
@@ -149,7 +150,7 @@ def ppo_rewards(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
         .drop("_place")
     )
     if cfg.whiten_rewards:
-        out = G.whiten_array(out, "rewards", F.col("seq_len") + 2, ["batch_id"], "rewards", shift_mean=False)
+        out = G.whiten_array(stored(out, "raw-rewards"), "rewards", F.col("seq_len") + 2, ["batch_id"], "rewards", shift_mean=False)
     return out
 
 
@@ -160,10 +161,14 @@ def ppo_raw_advantages(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
     return out.withColumn("returns", G.returns(F.col("adv_raw"), F.col("value")))
 
 
-def ppo_advantages(ro: DataFrame, cfg: PPOConfig = PPO) -> DataFrame:
-    """GAE, returns, and advantages whitened per batch over
-    ``t <= seq_len`` then zero filled."""
+def ppo_advantages(ro: DataFrame, cfg: PPOConfig = PPO, keep: list[str] | None = None) -> DataFrame:
+    """GAE, returns, and advantages whitened per batch over ``t <= seq_len`` then zero
+    filled.  The chain up to GAE runs once: its rows (only the columns ``keep``, if given) are
+    stored, and both the batch statistics and the result read them."""
     out = ppo_raw_advantages(ro, cfg)
+    if keep is not None:
+        out = out.select("rollout_id", "batch_id", "seq_len", "adv_raw", *keep)
+    out = stored(out, "raw-advantages")
     return G.whiten_array(out, "adv_raw", F.col("seq_len") + 1, ["batch_id"], "advantages", fill=0.0)
 
 

@@ -307,9 +307,7 @@ def _rep_multi_sql() -> str:
 @query("repetition_multi", _rep_multi_sql(), ["rep_n1", "rep_n2", "rep_n3", "rep_n4"], "R16")
 def repetition_multi(spark, sf):
     """R02 at n = 1..4 as columns of one pass (no cross join with an n table)."""
-    ro = doc_rollouts(spark, sf)
-    for n in (1, 2, 3, 4):
-        ro = R.with_repetition_penalty(ro, n=n, out=f"rep_n{n}")
+    ro = R.with_repetition_penalties(doc_rollouts(spark, sf), {f"rep_n{n}": n for n in (1, 2, 3, 4)})
     return ro.select("rollout_id", "rep_n1", "rep_n2", "rep_n3", "rep_n4")
 
 
@@ -334,9 +332,8 @@ def sentence_repetition(spark, sf):
     """Sentence-level repetition: distinct repeated sentences over sentences, times 0.1."""
     from ..functions.sequences import repeated_in_sorted
 
-    d = TB.table(spark, sf, "documents").select("doc_id", sentences("text").alias("s"))
-    d = d.withColumn("ss", F.array_sort("s"))
-    m = F.size("s")
+    d = S.compute_once(TB.table(spark, sf, "documents").select("doc_id", "text"), ss=F.sort_array(sentences("text")))
+    m = F.size("ss")
     return d.select(
         "doc_id",
         m.cast("long").alias("n_sentences"),
@@ -353,10 +350,8 @@ def sentence_repetition(spark, sf):
     "G13",
 )
 def ngram_counts(spark, sf):
-    """Count per 3-gram inside each rollout (hash aggregate)."""
-    ro = doc_rollouts(spark, sf).select("rollout_id", S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram"))
-    ro = ro.where(F.col("gram").isNotNull())
-    return ro.groupBy("rollout_id", "gram").agg(F.count(F.lit(1)).alias("n"))
+    """Count per 3-gram inside each rollout: counted in the row, no exchange."""
+    return S.with_gram_counts(doc_rollouts(spark, sf).select("rollout_id", "tokens"), "tokens", 3)
 
 
 @query(

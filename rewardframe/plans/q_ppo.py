@@ -108,8 +108,11 @@ mb AS (SELECT rs.*, rk.ppo_epoch, rk.rank // {PPO.mini_batch_size} AS mini,
 ps AS ({stats_select('run_id, batch_id, ppo_epoch, mini, micro', 'mb')})"""
 
 
-def wide(spark, sf, cfg=PPO):
-    return ppo_advantages(token_rollouts(spark, sf, cfg), cfg)
+LOSS_COLS = ["run_id", "logprob", "new_logprob", "value", "new_value", "returns"]
+
+
+def wide(spark, sf, cfg=PPO, keep=None):
+    return ppo_advantages(token_rollouts(spark, sf, cfg), cfg, keep)
 
 
 def raw(spark, sf, cfg=PPO):
@@ -280,7 +283,8 @@ def returns_(spark, sf):
 def adv_whiten(spark, sf):
     """Advantages whitened per batch over ``t <= seq_len`` then zero filled
     (the score slot is excluded)."""
-    return token_long(wide(spark, sf), ["advantages"]).select("rollout_id", "t", F.col("advantages").alias("advantage"))
+    w = token_long(wide(spark, sf, keep=[]), ["advantages"], ["rollout_id"])
+    return w.select("rollout_id", "t", F.col("advantages").alias("advantage"))
 
 
 @query(
@@ -296,7 +300,7 @@ def ppo_ratio(spark, sf):
 
 
 def batch_stats(spark, sf):
-    return O.stats_from_sums(O.rollout_loss_sums(wide(spark, sf)), ["batch_id"])
+    return O.stats_from_sums(O.rollout_loss_sums(wide(spark, sf, keep=LOSS_COLS)), ["batch_id"])
 
 
 def value_stats(spark, sf):
@@ -353,7 +357,7 @@ def micro_assignment(spark, sf):
 
 
 def stats_table(spark, sf):
-    sums = O.rollout_loss_sums(wide(spark, sf))
+    sums = O.rollout_loss_sums(wide(spark, sf, keep=LOSS_COLS))
     mb = sums.join(micro_assignment(spark, sf), "rollout_id")
     return O.stats_from_sums(mb, ["run_id", "batch_id", "ppo_epoch", "mini", "micro"])
 
@@ -418,7 +422,7 @@ def update_metrics_df(spark, sf):
     rollouts: per-rollout loss and objective sums in one projection, one
     join with the micro-batch assignment, one stats aggregate; the update
     record is derived from the stats rows (objective sums from epoch 0)."""
-    w = wide(spark, sf)
+    w = wide(spark, sf, keep=[*LOSS_COLS, "kl", "non_score_reward", "score", "score_raw"])
     sl = F.col("seq_len")
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
     ent_valid = F.aggregate(F.filter("logprob", lambda v, i: i <= sl), F.lit(0.0), lambda a, v: a - v)
@@ -484,10 +488,13 @@ def update_metrics(spark, sf):
     "M02 T4",
 )
 def entropy_forms(spark, sf):
-    """Reference entropy (each pad slot adds -1) next to the valid-token form."""
-    m = update_metrics_df(spark, sf)
-    return m.select(
-        "run_id", "batch_id", F.col("objective_entropy").alias("entropy_ref"), F.col("objective_entropy_valid").alias("entropy_valid")
+    """Reference entropy (each pad slot adds -1) next to the valid-token form: sums of the log
+    probabilities alone, no GAE and no whitening."""
+    ro = token_rollouts(spark, sf)
+    valid = F.aggregate(F.filter("logprob", lambda v, i: i <= F.col("seq_len")), F.lit(0.0), lambda a, v: a - v)
+    e = ro.select("run_id", "batch_id", "seq_len", valid.alias("v"))
+    return e.groupBy("run_id", "batch_id").agg(
+        F.avg(F.col("v") - (F.lit(L) - F.col("seq_len") - 1)).alias("entropy_ref"), F.avg("v").alias("entropy_valid")
     )
 
 

@@ -8,6 +8,7 @@ from ..functions import rewards as R
 from ..functions.text import truthy, word_set
 from ..operators import advantages as G
 from ..operators import verifiable as V
+from ..session import stored
 from . import sqltext as Q
 from .bindings import conv_pairs, rlvr_completions
 from .registry import query
@@ -99,7 +100,9 @@ def grpo_adv_group(spark, sf):
 )
 def grpo_adv_batch(spark, sf):
     """Centre by group mean, scale by the batch std (interpretation of "batch")."""
-    out = G.batch_scaled_advantage(rewarded(spark, sf), "reward", "group_id", "batch_id")
+    # scored once: the group means and the batch deviation read the stored rewards
+    r = stored(rewarded(spark, sf).select("doc_id", "group_id", "batch_id", "reward"), "rewards")
+    out = G.batch_scaled_advantage(r, "reward", "group_id", "batch_id")
     return out.select("doc_id", "group_id", "batch_id", "advantage")
 
 

@@ -18,10 +18,24 @@ def test_token_filter_stays_above_generator(spark):
 
 
 def test_gae_chain_not_duplicated_by_inferred_filter(spark):
-    from rewardframe.plans.q_ppo import wide
+    from rewardframe.plans.bindings import token_long
+    from rewardframe.plans.q_ppo import raw
 
-    plan = _plan(wide(spark, SF001))
-    assert "size(aggregate(" not in plan
+    plan = _plan(token_long(raw(spark, SF001), ["adv_raw"]))
+    assert "size(aggregate(" not in plan and plan.count("reverse(") == 1
+
+
+def test_chain_below_whitening_runs_once(spark):
+    # everything up to the raw advantages is one stored table that statistics and result read
+    for name in ("adv_whiten", "ppo_stats", "update_metrics", "ratio_stats", "policy_loss"):
+        plan = _plan(E.queries()[name](spark, SF001))
+        assert "lineitem" not in plan and "collect_list" not in plan and "reverse(" not in plan, name
+
+
+def test_ngrams_of_a_row_stay_in_the_row(spark):
+    for name in ("ngram_counts", "repetition_multi", "shaped_score"):
+        plan = _plan(E.queries()[name](spark, SF001))
+        assert "Exchange" not in plan and plan.count("split(") == 1, name
 
 
 def test_scan_prunes_columns(spark):
@@ -39,7 +53,7 @@ def test_explicit_broadcast_only_for_bounded_dimension(spark):
 def test_approxkl_prunes_gae(spark):
     # approxkl needs only the two logprob arrays: GAE and whitening are pruned
     assert "reverse(" not in _plan(E.queries()["approx_kl"](spark, SF001))
-    assert "reverse(" in _plan(E.queries()["policy_loss"](spark, SF001))
+    assert "reverse(" in _plan(E.queries()["value_loss"](spark, SF001))
 
 
 def test_whitening_does_not_shuffle_token_arrays_by_batch(spark):

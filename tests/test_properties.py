@@ -137,3 +137,24 @@ def test_sliding_metric_windows(spark):
     tumbling = metric_windows(ev, "ts", ["event_type"], "value", "1 day", "1 day")
     sliding = metric_windows(ev, "ts", ["event_type"], "value", "2 days", "1 day", slide="1 day")
     assert sliding.agg(F.sum("n")).first()[0] == 2 * tumbling.agg(F.sum("n")).first()[0]
+
+
+@given(st.text(alphabet="ab \t\n\x0b\x1c\x1f\x85\xa0\u1680\u2003\u2028\u3000\u200b\u180eé", max_size=40))
+@settings(max_examples=25, deadline=None)
+def test_split_ws_is_python_split(spark, text):
+    from rewardframe.functions.text import split_ws
+
+    assert spark.createDataFrame([(text,)], "t string").select(split_ws("t")).first()[0] == text.split()
+
+
+def test_gram_counts_in_the_row(spark):
+    from collections import Counter
+
+    from rewardframe.functions import sequences as S
+
+    rows = [(1, list("abababca")), (2, ["a"]), (3, []), (4, None), (5, ["x"] * 50), (6, ["a b", "c", "a", "b c", "c"])]
+    df = spark.createDataFrame(rows, "id long, toks array<string>")
+    for n in (1, 2, 3):
+        got = Counter({(r["id"], r["gram"]): r["n"] for r in S.with_gram_counts(df, "toks", n, sep="|").collect()})
+        want = Counter((i, "|".join(t[k:k + n])) for i, t in rows if t for k in range(len(t) - n + 1))
+        assert got == want
