@@ -11,6 +11,7 @@ from ..functions import rewards as R
 from ..functions import sequences as S
 from ..functions.text import sentences, split_ws
 from ..operators import batching as B
+from ..operators import heavy
 from ..operators.ranking import bucketed_running_sum, span_bucket
 from ..session import stored
 from ..sources import tables as TB
@@ -367,6 +368,34 @@ def top_ngrams(spark, sf):
     return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gram").limit(20)
 
 
+@query(
+    "top_ngrams_sketch",
+    f"""{D}, g AS (SELECT unnest({Q.ngram_keys('tokens', 3)}) AS gram FROM ro)
+        SELECT gram, count(*) AS n FROM g GROUP BY gram ORDER BY n DESC, gram LIMIT 20""",
+    [],
+    "T02 Q02",
+)
+def top_ngrams_sketch(spark, sf):
+    """``top_ngrams`` without shuffling every n-gram: sketch, then exact counts of the candidates."""
+    ro = doc_rollouts(spark, sf).select(S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram"))
+    return heavy.top_k(ro, "gram", 20)
+
+
+@query(
+    "worst_rollouts",
+    f"""{SHAPED_SQL} SELECT rollout_id, repetition_penalty, length_penalty, eos_penalty,
+        score_raw - eos_penalty - length_penalty - repetition_penalty AS score_shaped FROM sh
+        ORDER BY round(repetition_penalty * 1e9) DESC, rollout_id LIMIT 20""",
+    ["repetition_penalty", "length_penalty", "eos_penalty", "score_shaped"],
+    "T02",
+)
+def worst_rollouts(spark, sf):
+    """The 20 rollouts that repeat themselves most (a top-k report), with their penalties."""
+    sh = shaped_scores(doc_rollouts(spark, sf))
+    cols = ["rollout_id", "repetition_penalty", "length_penalty", "eos_penalty", "score_shaped"]
+    return sh.select(*cols).orderBy(F.desc(F.round(F.col("repetition_penalty") * 1e9)), "rollout_id").limit(20)
+
+
 @query(
     "distinct_n",
     f"""{D}, g AS (SELECT lang, unnest({Q.ngram_keys('tokens', 2)}) AS gram FROM ro)

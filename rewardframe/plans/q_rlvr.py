@@ -9,6 +9,7 @@ from ..functions.text import truthy, word_set
 from ..operators import advantages as G
 from ..operators import verifiable as V
 from ..session import stored
+from ..sources import tables as TB
 from . import sqltext as Q
 from .bindings import conv_pairs, rlvr_completions
 from .registry import query
@@ -165,9 +166,24 @@ def rouge2(spark, sf):
     return unlabelled_zero(rlvr_completions(spark, sf), lambda rc: V.rouge_n(rc, "doc_id", "completion", "label", 2))
 
 
-@query("rougeL", None, [], "R08")
+ROUGE_L_SQL = f"""WITH {Q.RLVR_CTE},
+      lab AS MATERIALIZED (SELECT doc_id, {Q.rouge_tokens('completion')} AS tp, {Q.rouge_tokens('label')} AS tt FROM rc WHERE {Q.truthy('label')}),
+      p AS (SELECT doc_id, unnest(tp) AS w, generate_subscripts(tp, 1) AS i FROM lab),
+      t AS (SELECT doc_id, unnest(tt) AS w, generate_subscripts(tt, 1) AS j FROM lab),
+      m AS (SELECT p.doc_id, list(t.j ORDER BY p.i, t.j DESC) AS js FROM p JOIN t ON p.doc_id = t.doc_id AND p.w = t.w GROUP BY p.doc_id),
+      -- least ends of the rising subsequences of each length
+      l AS (SELECT doc_id, len(list_reduce(js, lambda e, j: list_concat(list_append(list_filter(e, lambda x: x < j), j),
+                   e[len(list_filter(e, lambda x: x < j)) + 2:]), CAST([] AS BIGINT[]))) AS lcs FROM m),
+      f AS (SELECT lab.doc_id, CAST(coalesce(lcs, 0) AS DOUBLE) / greatest(len(tp), 1) AS precision,
+                   CAST(coalesce(lcs, 0) AS DOUBLE) / greatest(len(tt), 1) AS recall FROM lab LEFT JOIN l ON lab.doc_id = l.doc_id)
+    SELECT rc.doc_id, coalesce(precision, 0.0) AS precision, coalesce(recall, 0.0) AS recall,
+           CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+    FROM rc LEFT JOIN f ON f.doc_id = rc.doc_id"""
+
+
+@query("rougeL", ROUGE_L_SQL, ["precision", "recall", "f1"], "R08")
 def rouge_l(spark, sf):
-    """ROUGE-L F1 (LCS) per completion, 0.0 without a label; Arrow UDF, checked against brute force in tests."""
+    """ROUGE-L precision/recall/F1 (longest common subsequence) per completion, 0.0 without a label."""
     return unlabelled_zero(rlvr_completions(spark, sf), lambda rc: V.rouge_l(rc, "doc_id", "completion", "label"))
 
 
@@ -188,3 +204,21 @@ def rlvr_reward_registry(spark, sf):
         V.reward_fn("overlap_only")(F.col("completion"), F.col("label")).alias("overlap_only"),
     )
 
+
+@query(
+    "message_rewards",
+    f"""WITH m AS (SELECT conv_id, min_by(text, turn) FILTER (WHERE role = 'assistant') AS completion, min_by(text, turn) FILTER (WHERE role = 'user') AS label
+               FROM conversations GROUP BY conv_id)
+        SELECT conv_id, {REWARD_SQL} AS reward FROM m""",
+    ["reward"],
+    "F01",
+)
+def message_rewards(spark, sf):
+    """Completions and labels as message records (role, content): the reward of each
+    conversation's first answer, its first question standing in for the label."""
+    c = TB.table(spark, sf, "conversations")
+    said = lambda role: F.when(F.col("role") == role, F.struct(F.col("role"), F.col("text").alias("content")))
+    first = lambda role: F.min_by(said(role), F.when(F.col("role") == role, F.col("turn")))
+    g = c.groupBy("conv_id").agg(first("assistant").alias("a"), first("user").alias("label"))
+    g = g.withColumn("completion", F.array_compact(F.array("a")))
+    return V.with_reward(g, "tldr", "completion", "label").select("conv_id", "reward")

@@ -89,12 +89,23 @@ def _lcs(a, b):
     return dp[-1][-1]
 
 
-def test_lcs_bit_parallel_matches_dp():
+def test_lcs_length_matches_dp(spark):
     rnd = random.Random(5)
-    for _ in range(200):
-        a = [rnd.randint(0, 4) for _ in range(rnd.randint(0, 30))]
-        b = [rnd.randint(0, 4) for _ in range(rnd.randint(0, 30))]
-        assert V.lcs_length(a, b) == _lcs(a, b)
+    rows = [(i, [rnd.choice("abcde") for _ in range(rnd.randint(0, 30))], [rnd.choice("abcde") for _ in range(rnd.randint(0, 30))]) for i in range(200)]
+    df = spark.createDataFrame(rows + [(200, ["x"] * 300, ["x"] * 40)], "id long, a array<string>, b array<string>")
+    for r in V.with_lcs_length(df, "a", "b", "n").collect():
+        assert r.n == _lcs(r.a, r.b)
+
+
+def test_rewards_of_message_records(spark):
+    msg = "struct<role string, content string>"
+    lists = spark.createDataFrame([(1, [("assistant", "a b"), ("assistant", "no")], ("user", "a")), (2, [], ("user", "a")), (3, None, None),
+                                   (4, [("assistant", None)], ("user", None))], f"id long, completion array<{msg}>, label {msg}")
+    single = spark.createDataFrame([(1, ("assistant", "a b"), "a"), (2, None, "a"), (3, None, None), (4, ("assistant", ""), "")], f"id long, completion {msg}, label string")
+    text = spark.createDataFrame([(1, "a b", "a"), (2, None, "a"), (3, None, None), (4, "", "")], "id long, completion string, label string")
+    want = {r.id: r.reward for r in V.with_reward(text, "tldr", "completion", "label").collect()}
+    for df in (lists, single):
+        assert {r.id: r.reward for r in V.with_reward(df, "tldr", "completion", "label").collect()} == want
 
 
 def test_rouge_l_query_matches_brute_force(spark):
@@ -176,3 +187,21 @@ def test_penalties_apply_only_above_zero(spark):
     df = spark.createDataFrame([(["a", "b"] * 5, 9, True, 0.0)], "post array<string>, seq_len int, has_eos boolean, score_raw double")
     r = shaped_scores(df, ShapingConfig(length_penalty_coef=-0.1, repetition_penalty_coef=-1.0)).first()
     assert r.length_penalty == 0.0 and r.repetition_penalty == 0.0
+
+
+def test_heavy_hitters_prove_or_count(spark):
+    from collections import Counter
+
+    from rewardframe.operators import heavy
+
+    rnd = random.Random(3)
+    vals = [min(int(rnd.paretovariate(0.8)), 5000) for _ in range(20_000)] + [None] * 500
+    df = spark.createDataFrame([(None if v is None else f"v{v}",) for v in vals], "v string").repartition(4)
+    count = Counter(f"v{v}" for v in vals if v is not None)
+    want = sorted(count.items(), key=lambda x: (-x[1], x[0]))[:10]
+    found, bound = heavy.candidates(df, "v", 4096, 200)
+    assert max(c for v, c in count.items() if v not in {r.v for r in found.collect()}) <= bound < want[-1][1]
+    for items in (4096, 256):  # proven by the sketch; too small to prove, so counted in full
+        assert [tuple(r) for r in heavy.top_k(df, "v", 10, items).collect()] == want
+    assert heavy.top_k(df.limit(0), "v", 3).collect() == []
+    assert len(heavy.top_k(df, "v", 100_000).collect()) == len(count)
