@@ -112,3 +112,16 @@ def bucketed_running_sum(
 def global_row_number(df: DataFrame, order_cols: list[str], bucket: Column, out: str = "rank") -> DataFrame:
     """0-based rank over the whole table (two-level, see module docstring)."""
     return bucketed_row_number(df.withColumn("_all", F.lit(0)), ["_all"], order_cols, bucket, out).drop("_all")
+
+
+def bucketed_lag(df: DataFrame, partition_cols: list[str], order_cols: list[str], value: str, bucket: Column, out: str) -> DataFrame:
+    """``value`` of the previous row of the group in key order (NULL for the first), without a
+    one-task window: inside a bucket by a window, for a bucket's first row from the last row of
+    the bucket before it (a small table)."""
+    b = df.withColumns({"_key": group_key(partition_cols), "_bkt": bucket})
+    last = b.groupBy("_key", "_bkt").agg(F.max_by(F.struct(value), F.struct(*order_cols)).alias("_v"))
+    last = last.withColumn("_prev", F.lag("_v").over(Window.partitionBy("_key").orderBy("_bkt"))[value]).drop("_v")
+    own = Window.partitionBy("_key", "_bkt").orderBy(*order_cols)
+    rows = b.withColumns({"_no": F.row_number().over(own), "_lag": F.lag(value).over(own)})
+    got = F.when(F.col("_no") == 1, F.col("_prev")).otherwise(F.col("_lag"))
+    return rows.join(last, ["_key", "_bkt"]).withColumn(out, got).drop("_key", "_bkt", "_no", "_lag", "_prev")

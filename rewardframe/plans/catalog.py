@@ -6,6 +6,6 @@ from .registry import REGISTRY, Query
 
 
 def registry() -> dict[str, Query]:
-    from . import q_docs, q_events, q_long, q_misc, q_ppo, q_ranks, q_rlvr  # noqa: F401
+    from . import q_docs, q_events, q_logs, q_long, q_misc, q_ppo, q_ranks, q_rlvr  # noqa: F401
 
     return REGISTRY

@@ -88,18 +88,51 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def sft_records(history: DataFrame) -> DataFrame:
-    """Per-step SFT fields; ``num_tokens`` is cumulative, so the tokens of
-    each logging interval are its difference from the previous record."""
-    from pyspark.sql import Window
+    """Per-step SFT fields; ``num_tokens`` is cumulative, so the tokens of each logging
+    interval are its difference from the previous record.  A run of any length is cut into
+    ranges of its steps, so it is not one task.  ``history`` is read several times: pass a
+    stored table."""
+    from ..operators.ranking import bucketed_lag, span_bucket
 
-    w = Window.partitionBy("run").orderBy("step")
     steps = history.where(F.col("step").isNotNull() & F.col("loss").isNotNull())
+    steps = bucketed_lag(steps, ["run"], ["step"], "num_tokens", span_bucket(steps, "step", 1024), "_before")
     return steps.select(
         "run", "step", "loss", "entropy", "mean_token_accuracy", "num_tokens", "learning_rate",
-        (F.col("num_tokens") - F.coalesce(F.lag("num_tokens").over(w), F.lit(0.0))).alias("interval_tokens"),
+        (F.col("num_tokens") - F.coalesce("_before", F.lit(0.0))).alias("interval_tokens"),
     )
 
 
+# --- records of unlike keys: VARIANT columns ---------------------------------------------
+
+def write_documents(docs: DataFrame, path: str) -> None:
+    """JSON documents, one a line, from a single string column."""
+    docs.write.mode("overwrite").text(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One VARIANT ``doc`` for each line that is JSON; other lines (progress bars, warnings) go."""
+    lines = spark.read.text(path)
+    return lines.select(F.try_parse_json("value").alias("doc")).where(F.col("doc").isNotNull())
+
+
+def explode_items(df: DataFrame, variant: Column, out: str, pos: str = "pos") -> DataFrame:
+    """A row for each element of an array in a VARIANT: its place and the element."""
+    spark = df.sparkSession
+    v = df.withColumn("_v", variant)
+    each = spark.tvf.variant_explode(F.col("_v").outer()).select(F.col("pos").alias(pos), F.col("value").alias(out))
+    return v.lateralJoin(each).drop("_v")
+
+
+def explode_keys(df: DataFrame, variant: Column, key: str = "key", value: str = "value") -> DataFrame:
+    """A row for each key of an object in a VARIANT, whatever keys it has; values as doubles
+    (NULL where they are no numbers)."""
+    spark = df.sparkSession
+    v = df.withColumn("_v", variant)
+    each = spark.tvf.variant_explode(F.col("_v").outer()).select(
+        F.col("key").alias(key), F.try_variant_get("value", "$", "double").alias(value))
+    return v.lateralJoin(each).drop("_v")
+
+
 def interval_steps(value: float, max_steps: int) -> int:
     """A logging/eval/save interval below 1 is a ratio of ``max_steps``."""
     return math.ceil(max_steps * value) if value < 1 else int(value)
