@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..sources import tables as TB
 from ..streaming import ops as X
 from ..streaming.runner import latest, read_stream, run_available, run_handler, stream_paths
+from ..streaming.timers import closed_sessions, rocksdb_state
 from .bindings import rollouts_of_documents, shaped_scores
 from .q_docs import SHAPED_SQL
 from .registry import query
@@ -144,6 +145,21 @@ def stream_sessions(spark, sf):
     return run_available(X.sessions(s, "ts", "user_id", "6 hours", "value"), "stream_sessions", "complete").drop("_batch")
 
 
+@query(
+    "stream_sessions_closed",
+    f"""SELECT * FROM ({SESSIONS_SQL}) WHERE session_end_us <= (SELECT epoch_us(max(ts) - INTERVAL 1 HOUR) FROM events)""",
+    ["total"],
+    "X06",
+)
+def stream_sessions_closed(spark, sf):
+    """Sessions emitted once, by an event-time timer when the watermark (1 hour behind) passes
+    their end; the state holds open sessions only."""
+    s = read_stream(spark, f"{sf}/events.parquet")
+    with rocksdb_state(spark):
+        out = closed_sessions(s, "ts", "user_id", 6 * 3600, "value", "1 hour")
+        return run_available(out, "stream_sessions_closed", "append").drop("_batch")
+
+
 @query("stream_dedupe", "SELECT event_id, user_id, value FROM events", ["value"], "X05")
 def stream_dedupe(spark, sf):
     """Every event arrives twice; the replay is dropped within the watermark."""

@@ -205,3 +205,28 @@ def test_heavy_hitters_prove_or_count(spark):
         assert [tuple(r) for r in heavy.top_k(df, "v", 10, items).collect()] == want
     assert heavy.top_k(df.limit(0), "v", 3).collect() == []
     assert len(heavy.top_k(df, "v", 100_000).collect()) == len(count)
+
+
+def test_session_timers_late_rows_and_restart(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from rewardframe.streaming.runner import read_stream, run_available
+    from rewardframe.streaming.timers import closed_sessions, rocksdb_state
+
+    src, where = str(tmp_path / "in"), str(tmp_path / "q")
+    t0 = datetime(2024, 1, 1)
+    kind = "run long, ts timestamp_ntz, v double"
+
+    def step(minutes):
+        rows = [(r, t0 + timedelta(minutes=m), float(v)) for r, m, v in minutes]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(src)
+        with rocksdb_state(spark):  # a new query each time, from the same checkpoint
+            out = closed_sessions(read_stream(spark, src), "ts", "run", 600, "v", "30 minutes")
+            got = run_available(out, "timers", "append", location=where)
+        return sorted((r.run, r.session_start_us // 60_000_000 - 28401120, r.n_events, r.total) for r in got.collect())
+
+    assert step([(1, 0, 1), (1, 5, 2), (1, 30, 4), (2, 3, 8)]) == []  # the watermark is at minute 0
+    # rows 22 bridges nothing yet late rows within the watermark extend open sessions
+    assert step([(1, 12, 16), (2, 60, 32)]) == [(1, 0, 3, 19.0), (2, 3, 1, 8.0)]  # watermark 30: ends at 22 and 13
+    # minute 10 is later than the watermark and dropped; 35 extends the session of 30
+    assert step([(1, 10, 64), (1, 35, 128), (2, 200, 1)]) == [(1, 0, 3, 19.0), (1, 30, 2, 132.0), (2, 3, 1, 8.0), (2, 60, 1, 32.0)]
