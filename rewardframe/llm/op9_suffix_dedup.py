@@ -8,20 +8,22 @@ the corpus is removed.  Blockwise construction with a difference cover:
    strings share that gram and their offset to it, so a repeat never crosses buckets.
    Neighbouring suffixes share their bucket, so a run of them is one row (about one row
    for 170 bytes).  Buckets with one member cannot hold a repeat and end here.
-2. *Cover sample.*  In a bucket the suffix columns (offset to the gram) that lie in the
-   difference cover modulo 31 are ranked first, by their next ``length - 30`` bytes.
-3. *Sorting.*  Buckets are sorted one after the other, a bounded number of rows at a
-   time: a suffix is compared by the few bytes up to the next cover column, the rank
-   there, and the bytes the rank leaves over.  Ties of the sort are the repeats.
-
-Byte strings are compared by 64-bit hashes keyed with the bucket and column.  Buckets
-of more than ``hot_rows`` rows never come together in a task: their suffix keys are
-counted by Spark's partial aggregation instead.  Groups of equal texts (found by
-digest) are removed whole and send one representative to the buckets.
-
-With ``words``, passages of that many words or more that repeat go too, however short their
-bytes: each word becomes a ``WORD_BYTES``-byte hash and the same steps find the repeated
-strings of ``words`` hashes.  White space between two kept words stays.
+2. *Cover sample.*  In a bucket the suffixes at columns (offsets to the gram) that lie in the
+   difference cover modulo 31 are ranked by their bytes: 31 bytes at first, then, as the
+   sample is closed under steps of 31, by pairs of ranks over 62, 124, 248, ... bytes.
+3. *Sorting.*  Buckets are sorted one after the other, a bounded number of rows at a time: a
+   suffix by its column, its bytes up to the next cover column, the rank there, and the
+   bytes that rank leaves over.  Neighbours equal in all of these are equal byte for byte.
+
+No hash decides there: one only spares suffixes whose hash nobody shares the sort.  Buckets of
+more than ``hot_rows`` rows never come together in a task: their suffixes are counted by
+Spark's partial aggregation, by two 64-bit hashes each.  Groups of equal texts (128 bits) are removed
+whole and send one representative to the buckets.
+
+With ``words``, passages of that many words or more that repeat go from ``kept_text`` too, however
+short their bytes: each word becomes a ``WORD_BYTES``-byte hash and the same steps find the
+repeated strings of ``words`` hashes.  White space between two kept words stays.  All other
+columns tell of the byte strings alone.
 
 Defined cases: null text is empty; a text shorter than ``length`` bytes keeps all its
 bytes (no string of that length starts in it); repeated rows are different documents;
@@ -45,6 +47,8 @@ GRAM = 64
 COVER_MOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 HOT_ROWS = 50_000
 WORD_BYTES = 6
+#: Fewest words of a repeated passage that goes from the query's ``text``.
+PASSAGE_WORDS = 51
 _POS_BITS = 21
 
 
@@ -156,30 +160,95 @@ def _cut_fn(length: int):
     return fn
 
 
-def _suffix_keys(body: pa.Array, back: np.ndarray, group: np.ndarray, length: int, ranks: bool):
-    """Sort keys of all suffixes in the given rows: (row, column in row, key)."""
+def _suffixes(body: pa.Array, length: int):
+    """All suffixes with ``length`` bytes in the given rows: (bytes, row, place in the row, position)."""
     data, off = C.text_buffer(body)
-    p = C.prefix_hash(data[off[0]: off[-1]])
-    start = off[:-1] - off[0]
+    data, off = data[off[0]: off[-1]], off - off[0]
     n = off[1:] - off[:-1] - length + 1
     row = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    pos = start[row] + at
-    col = at - back[row]
+    return data, row, at, off[:-1][row] + at
+
+
+def _words_at(data: np.ndarray, pos: np.ndarray, size: np.ndarray | int, words: int) -> list[np.ndarray]:
+    """The ``size`` bytes at each position as big-endian numbers, zero-filled: comparing these
+    numbers in turn compares the bytes."""
+    raw = np.concatenate([data, np.zeros(8 * words, np.uint8)])[pos[:, None] + np.arange(8 * words)]
+    raw[np.arange(8 * words)[None, :] >= np.broadcast_to(size, len(pos))[:, None]] = 0
+    return list(np.ascontiguousarray(raw).view(">u8").astype(np.uint64).T)
+
+
+def _dense(cols: list[np.ndarray]) -> np.ndarray:
+    """Rank of each row in the order of the columns; equal rows share a rank."""
+    o = np.lexsort(cols[::-1])
+    step = np.zeros(len(o), np.int64)
+    for c in cols:
+        step[1:] |= c[o][1:] != c[o][:-1]
+    rank = np.empty(len(o), np.int64)
+    rank[o] = np.cumsum(step)
+    return rank
+
+
+def cover_ranks(data: np.ndarray, first: np.ndarray, blocks: int) -> np.ndarray:
+    """Ranks of the suffixes at ``first`` by their next ``blocks * COVER_MOD`` bytes.  The cover
+    sample is closed under steps of COVER_MOD, so ranks of one block double to 2, 4, 8, ..."""
+    if not blocks:
+        return np.zeros(len(first), np.int64)
+    mask = np.zeros(len(data) + 1, bool)
+    for j in range(blocks):
+        mask[first + j * COVER_MOD] = True
+    sample = np.flatnonzero(mask)
+    index = np.cumsum(mask) - 1
+
+    def ahead(rank, k):  # rank k blocks on; only read where the whole stretch lies in one body
+        to = sample + k * COVER_MOD
+        ok = (to < len(mask)) & mask[np.minimum(to, len(mask) - 1)]
+        return np.where(ok, rank[index[np.where(ok, to, 0)]], 0)
+
+    rank, width = _dense(_words_at(data, sample, COVER_MOD, -(-COVER_MOD // 8))), 1
+    out, done = None, blocks  # the stretch is put together from its end
+    while True:
+        if blocks & width:
+            done -= width
+            part = rank[index[first + done * COVER_MOD]]
+            out = part if out is None else _dense([part, out])
+        width *= 2
+        if width > blocks:
+            return out
+        rank = _dense([rank, ahead(rank, width // 2)])
+
+
+def repeated_suffixes(body: pa.Array, back: np.ndarray, group: np.ndarray, length: int):
+    """(row, place, repeated) of all suffixes: sorted inside their bucket and column by the bytes up to the
+    next cover column, the rank there, and the bytes that rank leaves over.  Suffixes whose
+    hash nobody shares cannot repeat and are not sorted."""
+    data, row, at, pos = _suffixes(body, length)
+    dup = np.zeros(len(row), bool)
+    h = C.mix(C.span_hash(C.prefix_hash(data), pos, pos + length) ^ C.mix(group[row].astype(np.uint64)))
+    o = np.argsort(h, kind="stable")
+    same = h[o][1:] == h[o][:-1]
+    maybe = np.zeros(len(row), bool)
+    maybe[o[1:][same]] = maybe[o[:-1][same]] = True
+    k = np.flatnonzero(maybe)
+    if not len(k):
+        return row, at, dup
+    col = at[k] - back[row[k]]
     step = np.array([next(d for d in range(COVER_MOD) if (c + d) % COVER_MOD in COVER) for c in range(COVER_MOD)])
-    d = step[col % COVER_MOD]
-    deep = length - COVER_MOD + 1
-    base = C.mix(group[row].astype(np.uint64) + C.mix(col.astype(np.uint64)))
-    # the cover sample: its rows are those suffixes' next cover columns
-    sample = C.mix(base + d.astype(np.uint64)) ^ C.span_hash(p, pos + d, pos + d + deep)
-    if ranks:
-        sample = C.mix(C.mix(group[row].astype(np.uint64)) ^ C.mix((col + d).astype(np.uint64)) ^ C.span_hash(p, pos + d, pos + d + deep))
-        here = d == 0
-        ends = np.unique(np.concatenate([sample[here], sample[~here & (at > n[row] - 1 - COVER_MOD)]]))
-        sample = np.searchsorted(ends, sample).astype(np.uint64)
-    head = C.span_hash(p, pos, pos + d)
-    tail = C.span_hash(p, pos + d + deep, pos + length)
-    return row, at, C.mix(base ^ C.mix(head + C.mix(tail + C.mix(sample))))
+    d, far = step[col % COVER_MOD], int(step.max())
+    blocks = max(0, length - far) // COVER_MOD
+    deep = blocks * COVER_MOD
+    rank = cover_ranks(data, pos[k] + d, blocks) if blocks else np.zeros(len(k), np.int64)
+    if not blocks:
+        d = np.zeros_like(d)
+    head = _words_at(data, pos[k], d, -(-far // 8))
+    tail = _words_at(data, pos[k] + d + deep, length - d - deep, -(-(length - deep) // 8))
+    keys = [group[row[k]], col, *head, rank, *tail]
+    o = np.lexsort(keys[::-1])
+    eq = np.ones(len(o) - 1, bool)
+    for c in keys:
+        eq &= c[o][1:] == c[o][:-1]
+    dup[k[o[1:][eq]]] = dup[k[o[:-1][eq]]] = True
+    return row, at, dup
 
 
 def _dups_fn(length: int, rows: int):
@@ -202,12 +271,7 @@ def _dups_fn(length: int, rows: int):
                 bounds.append(e2)
             for lo, hi in zip(bounds, bounds[1:]):
                 k = keep[lo:hi]
-                row, at, key = _suffix_keys(body.take(pa.array(k)), back[k], group[k], length, True)
-                o = np.argsort(key, kind="stable")
-                eq = key[o][1:] == key[o][:-1]
-                dup = np.zeros(len(key), bool)
-                dup[o[1:][eq]] = True
-                dup[o[:-1][eq]] = True
+                row, at, dup = repeated_suffixes(body.take(pa.array(k)), back[k], group[k], length)
                 yield _spans(row, at, dup, dg[k], first[k], length)
     return fn
 
@@ -223,16 +287,20 @@ def _spans(row, at, dup, dg, first, length):
 
 
 def _hot_keys_fn(length: int):
+    """Suffixes of hot buckets by two independent 64-bit hashes of their bytes."""
     def fn(batches):
         for b in batches:
-            h, dg, first, back = (np.asarray(b.column(k)) for k in ("h", "dg", "first", "back"))
+            h, dg, first = (np.asarray(b.column(k)) for k in ("h", "dg", "first"))
             for i in range(0, b.num_rows, 256):
                 k = slice(i, min(i + 256, b.num_rows))
-                row, at, key = _suffix_keys(b.column("body").slice(i, 256), back[k], h[k], length, False)
+                data, row, at, p = _suffixes(b.column("body").slice(i, 256), length)
+                bucket = C.mix(h[k][row].view(np.uint64))
+                key = C.mix(C.span_hash(C.prefix_hash(data), p, p + length) ^ bucket)
+                key2 = C.mix(C.span_hash(C.prefix_hash(data ^ np.uint8(0xA5)), p, p + length) + bucket)
                 pos = first[k][row] + at
                 own = C.mix(dg[k][row].view(np.uint64) + C.mix(pos.astype(np.uint64))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(dg[k][row]), pa.array(pos), pa.array(own)],
-                                                 names=["key", "dg", "pos", "own"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(dg[k][row]), pa.array(pos), pa.array(own)],
+                                                 names=["key", "key2", "dg", "pos", "own"])
     return fn
 
 
@@ -264,11 +332,24 @@ def _words_fn(batches):
 
 def word_cuts(raw: bytes, spans: list[tuple[int, int]] | None) -> list[tuple[int, int]]:
     """Bytes of the words that spans of the word hashes cover whole (None: of all words)."""
-    start, end, _ = C.word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    start, end, _ = C.word_spans(*_one(raw))
     whole = [(0, len(start))] if spans is None else [(-(-lo // WORD_BYTES), hi // WORD_BYTES) for lo, hi in spans]
     return [(int(start[lo]), int(end[hi - 1])) for lo, hi in whole if lo < hi]
 
 
+def _one(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+
+
+def _without(raw: bytes, cut: list[tuple[int, int]]) -> bytes:
+    at, kept = 0, []
+    for x, y in cut:
+        kept.append(raw[at:x])
+        at = y
+    kept.append(raw[at:])
+    return b"".join(kept)
+
+
 def _apply_fn(length: int, with_text: bool, words: int | None = None):
     def fn(batches):
         for b in batches:
@@ -278,27 +359,22 @@ def _apply_fn(length: int, with_text: bool, words: int | None = None):
             rows, kept_text = [], []
             for i in range(b.num_rows):
                 raw = data[off[i]: off[i + 1]].tobytes()
-                if copies[i] > 1 and len(raw) >= length:
-                    cut = [(0, len(raw))]
-                elif spans[i].is_valid:
+                cut, passage = [], []
+                if spans[i].is_valid:
                     v = spans[i].values
                     lo, hi, word = (np.asarray(v.field(k).cast(pa.int64())) for k in ("lo", "hi", "word"))
                     cut = merge_spans(lo[word == 0], hi[word == 0])
-                    if word.any():
-                        cut += word_cuts(raw, merge_spans(lo[word == 1], hi[word == 1]))
-                        cut = merge_spans(*np.array(cut, np.int64).reshape(-1, 2).T)
-                else:
-                    cut = []
+                    if words:
+                        passage = word_cuts(raw, merge_spans(lo[word == 1], hi[word == 1]))
+                if copies[i] > 1 and len(raw) >= length:
+                    cut = [(0, len(raw))]
                 if words and copies[i] > 1 and len(raw.split()) >= words:
-                    cut = merge_spans(*np.array(cut + word_cuts(raw, None), np.int64).reshape(-1, 2).T)
-                at, kept = 0, []
-                for x, y in cut:
-                    kept.append(raw[at:x])
-                    at = y
-                kept.append(raw[at:])
-                kept = b"".join(kept)
+                    passage = word_cuts(raw, None)
+                kept = _without(raw, cut)
                 rows.append((len(raw), sum(y - x for x, y in cut), len(cut), hashlib.sha256(kept).hexdigest(),
                              [{"lo": x, "hi": y} for x, y in cut]))
+                if passage:
+                    kept = _without(raw, merge_spans(*np.array(cut + passage, np.int64).reshape(-1, 2).T))
                 kept_text.append(kept)
             cols = list(zip(*rows)) if rows else [[]] * 5
             arrays = [b.column("id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
@@ -330,9 +406,9 @@ def repeat_spans(base: DataFrame, length: int, gram: int, hot_rows: int, block_r
     n = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = snippets.where("not hot").repartition(n, "h").sortWithinPartitions("h").mapInArrow(
         _dups_fn(length, block_rows), "dg long, lo long, hi long")
-    keys = snippets.where("hot").mapInArrow(_hot_keys_fn(length), "key long, dg long, pos long, own long")
-    twice = keys.groupBy("key").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("key")
-    hot = keys.join(twice, "key", "left_semi").select("dg", F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi"))
+    keys = snippets.where("hot").mapInArrow(_hot_keys_fn(length), "key long, key2 long, dg long, pos long, own long")
+    twice = keys.groupBy("key", "key2").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("key", "key2")
+    hot = keys.join(twice, ["key", "key2"], "left_semi").select("dg", F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi"))
     return C.stored(cold.unionByName(hot).unionByName(local), "op9-spans")
 
 
@@ -345,22 +421,26 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     carry_cols = [F.col(f"`{c}`").alias(f"x_{c}") for c in carry or []]
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        *carry_cols)
-    base = base.withColumn("dg", F.xxhash64("text"))
-    copies = base.groupBy("dg").agg(F.count(F.lit(1)).alias("copies"))
+    base = base.withColumns({"dg": F.xxhash64("text"), "dg2": F.xxhash64(F.lit(1), "text")})
+    # a text is removed whole only where 128 bits are equal
+    copies = base.groupBy("dg", "dg2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = copies.groupBy("dg").agg(F.collect_list(F.struct("dg2", "copies")).alias("twins"))
     spans = repeat_spans(base, length, gram, hot_rows, block_rows).withColumn("word", F.lit(0))
     if words:
         coded = base.select("id", "dg", "text").mapInArrow(_words_fn, "id long, dg long, text binary")
         spans = spans.unionByName(repeat_spans(coded, words * WORD_BYTES, gram, hot_rows, block_rows).withColumn("word", F.lit(1)))
     spans = spans.groupBy("dg").agg(F.collect_list(F.struct("lo", "hi", "word")).alias("spans"))
-    full = base.join(copies.join(spans, "dg", "full_outer").where("copies > 1 or spans is not null"), "dg", "left") \
-        .withColumn("copies", F.coalesce("copies", F.lit(1)))
+    full = base.join(copies.join(spans, "dg", "full_outer"), "dg", "left")
+    own = F.get(F.filter("twins", lambda t: t["dg2"] == F.col("dg2")), 0)["copies"]
+    full = full.withColumn("copies", F.coalesce(own, F.lit(1)))
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<lo:long,hi:long>>"
     if carry is not None:
         out += ", kept_text string" + "".join(f", `x_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return full.drop("dg").mapInArrow(_apply_fn(length, carry is not None, words), out)
+    return full.drop("dg", "dg2", "twins").mapInArrow(_apply_fn(length, carry is not None, words), out)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op9: repeated 400-byte strings of all documents."""
-    out = suffix_dedup(C.read(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """op9: repeated 400-byte strings of all documents; ``text`` is what is left when repeated
+    passages of over 50 words, which may be shorter than that, go as well."""
+    out = suffix_dedup(C.read(spark, sf_dir, "documents"), carry=[], words=PASSAGE_WORDS)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
