@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
+U64 = np.uint64
 LENGTH = 400
 GRAM = 64
 #: Perfect difference set: every residue difference modulo 31 occurs once.
@@ -170,12 +171,22 @@ def _suffixes(body: pa.Array, length: int):
     return data, row, at, off[:-1][row] + at
 
 
-def _words_at(data: np.ndarray, pos: np.ndarray, size: np.ndarray | int, words: int) -> list[np.ndarray]:
-    """The ``size`` bytes at each position as big-endian numbers, zero-filled: comparing these
-    numbers in turn compares the bytes."""
-    raw = np.concatenate([data, np.zeros(8 * words, np.uint8)])[pos[:, None] + np.arange(8 * words)]
-    raw[np.arange(8 * words)[None, :] >= np.broadcast_to(size, len(pos))[:, None]] = 0
-    return list(np.ascontiguousarray(raw).view(">u8").astype(np.uint64).T)
+def _numbers(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on as a big-endian number, zeros past the end: comparing
+    such numbers in turn compares bytes."""
+    far = np.concatenate([data, np.zeros(512, np.uint8)])
+    out = np.zeros(len(far) - 7, U64)
+    for j in range(8):
+        out = (out << U64(8)) | far[j: j + len(out)]
+    return out
+
+
+_FIRST = np.array([0] + [((1 << 8 * n) - 1) << (64 - 8 * n) for n in range(1, 9)], U64)
+
+
+def _words_at(numbers: np.ndarray, pos: np.ndarray, size: np.ndarray | int, words: int) -> list[np.ndarray]:
+    """The ``size`` bytes at each position as ``words`` numbers, zero-filled."""
+    return [numbers[pos + 8 * j] & _FIRST[np.clip(size - 8 * j, 0, 8)] for j in range(words)]
 
 
 def _dense(cols: list[np.ndarray]) -> np.ndarray:
@@ -189,23 +200,23 @@ def _dense(cols: list[np.ndarray]) -> np.ndarray:
     return rank
 
 
-def cover_ranks(data: np.ndarray, first: np.ndarray, blocks: int) -> np.ndarray:
+def cover_ranks(numbers: np.ndarray, first: np.ndarray, blocks: int) -> np.ndarray:
     """Ranks of the suffixes at ``first`` by their next ``blocks * COVER_MOD`` bytes.  The cover
     sample is closed under steps of COVER_MOD, so ranks of one block double to 2, 4, 8, ..."""
     if not blocks:
         return np.zeros(len(first), np.int64)
-    mask = np.zeros(len(data) + 1, bool)
+    mask = np.zeros(len(numbers), bool)
     for j in range(blocks):
         mask[first + j * COVER_MOD] = True
     sample = np.flatnonzero(mask)
-    index = np.cumsum(mask) - 1
+    index = np.cumsum(mask, dtype=np.int32) - 1
 
     def ahead(rank, k):  # rank k blocks on; only read where the whole stretch lies in one body
         to = sample + k * COVER_MOD
         ok = (to < len(mask)) & mask[np.minimum(to, len(mask) - 1)]
         return np.where(ok, rank[index[np.where(ok, to, 0)]], 0)
 
-    rank, width = _dense(_words_at(data, sample, COVER_MOD, -(-COVER_MOD // 8))), 1
+    rank, width = _dense(_words_at(numbers, sample, COVER_MOD, -(-COVER_MOD // 8))), 1
     out, done = None, blocks  # the stretch is put together from its end
     while True:
         if blocks & width:
@@ -237,11 +248,12 @@ def repeated_suffixes(body: pa.Array, back: np.ndarray, group: np.ndarray, lengt
     d, far = step[col % COVER_MOD], int(step.max())
     blocks = max(0, length - far) // COVER_MOD
     deep = blocks * COVER_MOD
-    rank = cover_ranks(data, pos[k] + d, blocks) if blocks else np.zeros(len(k), np.int64)
+    numbers = _numbers(data)
+    rank = cover_ranks(numbers, pos[k] + d, blocks)
     if not blocks:
         d = np.zeros_like(d)
-    head = _words_at(data, pos[k], d, -(-far // 8))
-    tail = _words_at(data, pos[k] + d + deep, length - d - deep, -(-(length - deep) // 8))
+    head = _words_at(numbers, pos[k], d, -(-far // 8))
+    tail = _words_at(numbers, pos[k] + d + deep, length - d - deep, -(-(length - deep) // 8))
     keys = [group[row[k]], col, *head, rank, *tail]
     o = np.lexsort(keys[::-1])
     eq = np.ones(len(o) - 1, bool)
@@ -413,7 +425,7 @@ def repeat_spans(base: DataFrame, length: int, gram: int, hot_rows: int, block_r
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                 hot_rows: int = HOT_ROWS, block_rows: int = 2048, carry: list[str] | None = None, words: int | None = None) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, block_rows: int = 1024, carry: list[str] | None = None, words: int | None = None) -> DataFrame:
     """One row per input row: (id, n_bytes, n_removed, n_spans, kept_sha256, removed)
     with ``removed`` the spans in the input bytes.  With ``carry`` (column names) also
     ``kept_text`` and those columns as ``x_<name>``; bytes of characters cut in two are

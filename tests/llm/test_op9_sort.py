@@ -39,7 +39,7 @@ def test_cover_ranks_order_by_bytes():
     for blocks in (1, 2, 3, 7, 12):
         first = np.sort(r.choice(3000 - 31 * 13, 300, replace=False))
         first = first[first < 3000 - 31 * blocks]
-        got = o9.cover_ranks(data, first, blocks)
+        got = o9.cover_ranks(o9._numbers(data), first, blocks)
         want = [data[f:f + 31 * blocks].tobytes() for f in first]
         assert [(a < b, a == b) for a, b in zip(got, got[1:])] == [(a < b, a == b) for a, b in zip(want, want[1:])]
         assert len(set(got.tolist())) == len(set(want))
