@@ -105,7 +105,7 @@ def _runs_fn(length: int, gram: int):
             data, off = C.text_buffer(b.column("text"))
             dg = np.asarray(b.column("dg"))
             ids = b.column("id")
-            for i, j in C.doc_chunks(off, 8 * C.CHUNK_BYTES):
+            for i, j in C.doc_chunks(off, 2 * C.CHUNK_BYTES):
                 r, first, n, back, h, body = bucket_runs(data, off[i: j + 1], length, gram)
                 r = r + i
                 # a run whose bytes repeat in its own text (a line over and over) is settled
@@ -331,7 +331,7 @@ def _words_fn(batches):
     """Each text as the hashes of its words."""
     for b in batches:
         data, off = C.text_buffer(b.column("text"))
-        for i, j in C.doc_chunks(off, 8 * C.CHUNK_BYTES):
+        for i, j in C.doc_chunks(off):
             part, at = data[off[i]: off[j]], off[i: j + 1] - off[i]
             start, end, row = C.word_spans(part, at)
             h = C.mix(C.span_hash(C.prefix_hash(part), start, end))
