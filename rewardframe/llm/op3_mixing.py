@@ -5,14 +5,14 @@ Sizes are counts of ``[^\\x20\\x09-\\x0D]+``.  Sources in code-point order (null
 excess going to the others by weight.  That level has a closed form: in order of limit
 / weight the capped sources are a prefix, and the largest level over all prefixes is it.
 
-Each document gets a hash-random key (md5 of its id).  Within its source the mix takes
+Each document gets a hash-random key (md5 of its id and its text's md5).  Within its source the mix takes
 documents in key order up to the target, epoch after epoch; the running word count is a
 distributed prefix sum (key ranges are summed first, then each range by itself), so a
 source with most rows is never sorted in one task.  The last document is cut at the
 exact word, so a source's taken words are its target rounded.
 
 Defined cases: null text has size 0 and is taken with 0 words; a source without words has
-target 0; null ids hash as the empty string; repeated rows are taken one after the
+target 0; null ids hash as the empty string, so rows without an id spread by their texts; repeated rows are taken one after the
 other; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -55,7 +55,9 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
         share: float = SHARE, most: int = MOST, rows: int = 20_000, extra: dict[str, F.Column] | None = None) -> DataFrame:
     """One row per document: id, source, size, source_size, target, taken."""
-    key = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
+    # the text's digest spreads rows whose ids are null or repeat
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
+                            F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
     sized = C.stored(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"),
                                  word_count(F.col(f"`{text_col}`").cast("string")).alias("size"), key.alias("key"),
                                  *[c.alias(n) for n, c in (extra or {}).items()]), "op3-sizes")
@@ -112,7 +114,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT), 0) AS size,
-                  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS k FROM documents),
      s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
      w AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM s),
      r AS (SELECT *, 2 * source_size AS cap, CAST(2 * source_size AS DOUBLE) / w AS ratio, sum(source_size) OVER () * CAST(1.5 AS DOUBLE) AS total FROM w),
