@@ -33,6 +33,7 @@ class PPOConfig:
     micro_batch_size: int = 16
     seed: int = 42
     temperature: float = 0.7
+    learning_rate: float = 1e-5
 
 
 SHAPING = ShapingConfig()

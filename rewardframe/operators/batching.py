@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from .ranking import hex_bucket, md5_key
 
 
+WHITEN_ROWS = 8  # fixed value: least rows of a rank's mini-batch for whitening
+
+
 @dataclass(frozen=True)
 class BatchPlan:
     """B01 sizes: local = per_device * accumulation; batch = local * world;
@@ -37,6 +40,26 @@ class BatchPlan:
             raise ValueError(f"{self.batch_size} is not divisible by {self.num_mini_batches}")
         return self.batch_size // self.num_mini_batches
 
+    @property
+    def micro_batch_size(self) -> int:
+        """Rows of one forward pass over all ranks."""
+        return self.per_device_train_batch_size * self.world_size
+
+    @property
+    def local_mini_batch_size(self) -> int:
+        if self.local_batch_size % self.num_mini_batches:
+            raise ValueError(f"{self.local_batch_size} is not divisible by {self.num_mini_batches}")
+        return self.local_batch_size // self.num_mini_batches
+
+    @property
+    def can_whiten(self) -> bool:
+        """A rank's mini-batch is large enough for its own whitening statistics."""
+        return self.local_mini_batch_size >= WHITEN_ROWS
+
+    def check_whitening(self) -> None:
+        if not self.can_whiten:
+            raise ValueError(f"a mini-batch of {self.local_mini_batch_size} rows per rank is too small for whitening ({WHITEN_ROWS})")
+
     def total_batches(self, n_rows: int) -> int:
         return math.ceil(int(self.num_train_epochs * n_rows) / self.batch_size)
 
@@ -49,6 +72,9 @@ def batch_plan_columns(n_rows: Column, plan: BatchPlan) -> list[Column]:
         F.lit(plan.local_batch_size).cast("long").alias("local_batch_size"),
         F.lit(plan.batch_size).cast("long").alias("batch_size"),
         F.lit(plan.mini_batch_size).cast("long").alias("mini_batch_size"),
+        F.lit(plan.micro_batch_size).cast("long").alias("micro_batch_size"),
+        F.lit(plan.local_mini_batch_size).cast("long").alias("local_mini_batch_size"),
+        F.lit(plan.can_whiten).alias("can_whiten"),
         episodes.alias("total_episodes"),
         F.ceil(episodes / F.lit(plan.batch_size)).cast("long").alias("num_total_batches"),
         (n_rows % F.lit(plan.batch_size)).cast("long").alias("dropped_per_epoch"),

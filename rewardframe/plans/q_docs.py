@@ -424,25 +424,28 @@ def distinct_n_of(rollouts, key: str, n: int, approx_rsd: float | None = None):
 
 @query(
     "ending_templates",
-    f"""{D}, e AS (SELECT ro.rollout_id, ro.lang, lower(array_to_string(tokens[-3:], ' ')) AS ending, l.quality
+    f"""{D}, e AS (SELECT ro.rollout_id, ro.lang, ro.score_raw, lower(array_to_string(tokens[-3:], ' ')) AS ending, l.quality
                   FROM ro LEFT JOIN labels l ON l.doc_id = ro.rollout_id)
-        SELECT ending, count(*) AS n, count(DISTINCT lang) AS n_langs, avg(quality) AS mean_quality
+        SELECT ending, count(*) AS n, count(DISTINCT lang) AS n_langs, count(DISTINCT rollout_id // 4) AS n_prompts,
+               avg(quality) AS mean_quality, avg(score_raw) AS mean_score
         FROM e GROUP BY ending ORDER BY n DESC, ending LIMIT 20""",
-    ["mean_quality"],
+    ["mean_quality", "mean_score"],
     "R17",
 )
 def ending_templates(spark, sf):
     """Most frequent 3-token endings with their spread and mean quality label (top 20)."""
     ro = doc_rollouts(spark, sf)
     lab = TB.table(spark, sf, "labels").select(F.col("doc_id").alias("rollout_id"), "quality")
-    e = ro.select("rollout_id", "lang", F.lower(F.array_join(F.slice("tokens", F.greatest(F.size("tokens") - 2, F.lit(1)), F.lit(3)), " ")).alias("ending"))
+    e = ro.select("rollout_id", "lang", "score_raw", F.lower(F.array_join(F.slice("tokens", F.greatest(F.size("tokens") - 2, F.lit(1)), F.lit(3)), " ")).alias("ending"))
     e = e.join(lab, "rollout_id", "left")
     return (
         e.groupBy("ending")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_distinct("lang").alias("n_langs"),
+            F.count_distinct(F.expr("rollout_id div 4")).alias("n_prompts"),
             F.avg(F.col("quality").cast("double")).alias("mean_quality"),
+            F.avg("score_raw").alias("mean_score"),
         )
         .orderBy(F.desc("n"), "ending")
         .limit(20)
@@ -538,7 +541,10 @@ def ranked(ids):
     "batch_plan",
     f"""WITH p AS ({LENGTHS_SQL}), c AS (SELECT count(*) AS n FROM p WHERE lengths <= {MAX_PROMPT_TOKENS})
         SELECT n AS n_rows, CAST({PLAN.local_batch_size} AS BIGINT) AS local_batch_size, CAST({PLAN.batch_size} AS BIGINT) AS batch_size,
-               CAST({PLAN.mini_batch_size} AS BIGINT) AS mini_batch_size, CAST(floor({PLAN.num_train_epochs} * n) AS BIGINT) AS total_episodes,
+               CAST({PLAN.mini_batch_size} AS BIGINT) AS mini_batch_size,
+               CAST({PLAN.per_device_train_batch_size * PLAN.world_size} AS BIGINT) AS micro_batch_size,
+               CAST({PLAN.local_batch_size} // {PLAN.num_mini_batches} AS BIGINT) AS local_mini_batch_size,
+               {PLAN.local_batch_size} // {PLAN.num_mini_batches} >= 8 AS can_whiten, CAST(floor({PLAN.num_train_epochs} * n) AS BIGINT) AS total_episodes,
                CAST(ceil(floor({PLAN.num_train_epochs} * n) / {PLAN.batch_size}) AS BIGINT) AS num_total_batches,
                n % {PLAN.batch_size} AS dropped_per_epoch FROM c""",
     [],

@@ -321,6 +321,32 @@ def reward_rollup(spark, sf):
     )
 
 
+@query(
+    "run_rollup",
+    f"""{SHAPED_SQL}, r AS (SELECT *, CASE WHEN rollout_id % 2 = 0 THEN 'baseline' ELSE 'shaped' END AS run_id,
+                                  score_raw - eos_penalty - length_penalty - repetition_penalty AS score_shaped FROM sh)
+    SELECT run_id, lang, CAST(GROUPING(run_id, lang) AS BIGINT) AS grouping_id, count(*) AS n, avg(score_raw) AS mean_raw,
+           avg(CASE WHEN run_id = 'shaped' THEN score_shaped ELSE score_raw END) AS mean_logged, avg(score_shaped) AS mean_shaped
+    FROM r GROUP BY ROLLUP (run_id, lang)""",
+    ["mean_raw", "mean_logged", "mean_shaped"],
+    "Q01",
+)
+def run_rollup(spark, sf):
+    """Per (run, language), per run and total report: raw score, shaped score, and the score the
+    run logs (the shaped run overwrites it)."""
+    sh = shaped_scores(doc_rollouts(spark, sf)).select("rollout_id", "lang", "score_raw", "score_shaped")
+    run = F.when(F.col("rollout_id") % 2 == 0, F.lit("baseline")).otherwise(F.lit("shaped"))
+    r = sh.withColumn("run_id", run)
+    r = r.withColumn("logged", F.when(F.col("run_id") == "shaped", F.col("score_shaped")).otherwise(F.col("score_raw")))
+    return r.rollup("run_id", "lang").agg(
+        F.grouping_id().cast("long").alias("grouping_id"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg("score_raw").alias("mean_raw"),
+        F.avg("logged").alias("mean_logged"),
+        F.avg("score_shaped").alias("mean_shaped"),
+    )
+
+
 @query("fit_preference", None, [], "K01")
 def fit_preference(spark, sf):
     """Bradley-Terry reward head fitted with pyspark.ml on embedding pairs

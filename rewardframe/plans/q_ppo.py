@@ -407,13 +407,14 @@ sb AS (SELECT run_id, batch_id, avg(approxkl) AS policy_approxkl_avg, avg(pg_cli
 m AS (SELECT ob.*, sb.* EXCLUDE (run_id, batch_id),
              CAST(sum(n_rollouts) OVER (PARTITION BY ob.run_id ORDER BY ob.batch_id) AS BIGINT) AS episode,
              CAST(sum(n_rollouts) OVER (PARTITION BY ob.run_id ORDER BY ob.batch_id) AS DOUBLE)
-               / sum(n_rollouts) OVER (PARTITION BY ob.run_id) AS epoch
+               / sum(n_rollouts) OVER (PARTITION BY ob.run_id) AS epoch,
+             {PPO.learning_rate} * (1 - CAST(row_number() OVER (PARTITION BY ob.run_id ORDER BY ob.batch_id) - 1 AS DOUBLE) / count(*) OVER (PARTITION BY ob.run_id)) * 1e6 AS lr_micro
       FROM ob JOIN sb ON ob.run_id = sb.run_id AND ob.batch_id = sb.batch_id)"""
 UPDATE_DOUBLES = [
     "objective_kl", "objective_entropy", "objective_entropy_valid", "objective_non_score_reward",
     "objective_rlhf_reward", "objective_scores", "objective_scores_raw", "policy_approxkl_avg",
     "policy_clipfrac_avg", "loss_policy_avg", "loss_value_avg", "val_clipfrac_avg", "policy_entropy_avg",
-    "val_ratio", "val_ratio_var", "epoch",
+    "val_ratio", "val_ratio_var", "epoch", "lr_micro",
 ]
 
 
@@ -470,9 +471,12 @@ def update_metrics_df(spark, sf):
     # Running episode per run over its updates; one row per update here
     run_w = Window.partitionBy("run_id")
     upto = run_w.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    # learning rate before the update's scheduler step, linear decay, in millionths (it would
+    # vanish in results rounded to 9 digits)
+    lr = F.lit(PPO.learning_rate) * (1 - (F.row_number().over(run_w.orderBy("batch_id")) - 1).cast("double") / F.count(F.lit(1)).over(run_w))
     return m.withColumn("episode", F.sum("n_rollouts").over(upto).cast("long")).withColumn(
         "epoch", F.col("episode").cast("double") / F.sum("n_rollouts").over(run_w)
-    )
+    ).withColumn("lr_micro", lr * 1e6)
 
 
 @query("update_metrics", f"{UPDATE_SQL} SELECT * FROM m", UPDATE_DOUBLES, "M01 M02 M03 M04 G10 S10")
@@ -538,19 +542,24 @@ def last_token_score(spark, sf):
       r AS (SELECT *, rollout_id // 2 AS pair_id,
                    row_number() OVER (PARTITION BY rollout_id // 2 ORDER BY score DESC, rollout_id) AS k,
                    count(*) OVER (PARTITION BY rollout_id // 2) AS n FROM s),
+      g AS (SELECT pair_id, count(*) AS pair_size FROM r GROUP BY pair_id),
       c AS (SELECT * FROM r WHERE n = 2 AND k = 1), x AS (SELECT * FROM r WHERE n = 2 AND k = 2)
-    SELECT c.pair_id, c.rollout_id AS chosen_id, x.rollout_id AS rejected_id,
+    SELECT g.pair_id, g.pair_size, c.rollout_id AS chosen_id, x.rollout_id AS rejected_id,
            0.1 * ((c.pol - c.ref) - (x.pol - x.ref)) AS margin,
            greatest(-(0.1 * ((c.pol - c.ref) - (x.pol - x.ref))), 0) + ln(1 + exp(-abs(0.1 * ((c.pol - c.ref) - (x.pol - x.ref))))) AS loss
-    FROM c JOIN x ON c.pair_id = x.pair_id""",
+    FROM g LEFT JOIN c ON c.pair_id = g.pair_id LEFT JOIN x ON x.pair_id = g.pair_id""",
     ["margin", "loss"],
     "R18",
 )
 def dpo_loss(spark, sf):
     """DPO loss on pairs of neighbouring rollouts (``rollout_id div 2``), the
     higher score chosen; sums of policy and reference logprobs over the
-    response.  Pairs come from ``min_by``/``max_by`` aggregates (no window)."""
-    w = token_rollouts(spark, sf)
+    response.  Groups of another size than 2 are reported with their size and no loss."""
+    return dpo_pairs(token_rollouts(spark, sf))
+
+
+def dpo_pairs(w, beta: float = 0.1):
+    """R18 on wide rollouts; pairs come from ``min_by``/``max_by`` aggregates (no window)."""
     sl = F.col("seq_len")
     s = w.select(
         "rollout_id",
@@ -561,15 +570,18 @@ def dpo_loss(spark, sf):
     key = F.struct(F.col("score"), (-F.col("rollout_id")).alias("neg"))
     row = F.struct("rollout_id", "pol", "ref")
     p = s.groupBy("pair_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max_by(row, key).alias("c"), F.min_by(row, key).alias("x")
-    ).where(F.col("n") == 2)
-    margin = 0.1 * ((F.col("c.pol") - F.col("c.ref")) - (F.col("x.pol") - F.col("x.ref")))
+        F.count(F.lit(1)).alias("pair_size"), F.max_by(row, key).alias("c"), F.min_by(row, key).alias("x")
+    )
+    pair = F.col("pair_size") == 2
+    p = p.select("pair_id", "pair_size", F.when(pair, F.col("c")).alias("c"), F.when(pair, F.col("x")).alias("x"))
+    margin = beta * ((F.col("c.pol") - F.col("c.ref")) - (F.col("x.pol") - F.col("x.ref")))
     return p.select(
         "pair_id",
+        "pair_size",
         F.col("c.rollout_id").alias("chosen_id"),
         F.col("x.rollout_id").alias("rejected_id"),
         margin.alias("margin"),
-        R.dpo_loss(F.col("c.pol"), F.col("x.pol"), F.col("c.ref"), F.col("x.ref"), 0.1).alias("loss"),
+        F.when(pair, R.dpo_loss(F.col("c.pol"), F.col("x.pol"), F.col("c.ref"), F.col("x.ref"), beta)).alias("loss"),
     )
 
 

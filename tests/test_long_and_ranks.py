@@ -168,3 +168,36 @@ def test_bucketed_tables_join_without_exchange(spark):
 def test_join_ref_has_no_exchange_and_one_scan_a_table(spark):
     plan = _plan(E.queries()["join_ref"](spark, SF001))
     assert "Exchange" not in plan and plan.count("FileScan") == 3 and "collect_list" not in plan
+
+
+def test_dpo_reports_groups_that_are_no_pair(spark):
+    from rewardframe.plans.q_ppo import dpo_pairs
+
+    rows = [(0, 2.0), (1, 1.0), (2, 3.0), (5, 1.0)] + [(6, 0.0), (6, 1.0), (7, 2.0)]
+    df = spark.createDataFrame([(i, 0, s, [-1.0 - s], [-1.5]) for i, s in rows], "rollout_id long, seq_len int, score double, logprob array<double>, ref_logprob array<double>")
+    got = {r.pair_id: r for r in dpo_pairs(df).collect()}
+    assert {k: r.pair_size for k, r in got.items()} == {0: 2, 1: 1, 2: 1, 3: 3}
+    assert got[0].chosen_id == 0 and got[0].rejected_id == 1 and got[0].loss > 0
+    assert all(got[k].loss is None and got[k].margin is None and got[k].chosen_id is None for k in (1, 2, 3))
+
+
+def test_batch_plan_of_several_ranks():
+    from rewardframe.operators.batching import BatchPlan
+
+    p = BatchPlan(per_device_train_batch_size=4, gradient_accumulation_steps=8, world_size=3, num_mini_batches=4)
+    assert (p.local_batch_size, p.batch_size, p.mini_batch_size, p.micro_batch_size, p.local_mini_batch_size) == (32, 96, 24, 12, 8)
+    p.check_whitening()
+    with pytest.raises(ValueError):
+        BatchPlan(4, 4, 3, 4).check_whitening()
+    with pytest.raises(ValueError):
+        _ = BatchPlan(1, 3, 4, 2).local_mini_batch_size
+
+
+def test_lag_across_buckets(spark):
+    from rewardframe.operators.ranking import bucketed_lag
+
+    df = spark.createDataFrame([(None if i % 3 == 0 else "a", i, i * 10 if i % 4 else None) for i in range(60)], "g string, x long, v long")
+    got = {(r.g, r.x): r.p for r in bucketed_lag(df, ["g"], ["x"], "v", span_bucket(df, "x", 7), "p").collect()}
+    for g in (None, "a"):
+        xs = [i for i in range(60) if (i % 3 == 0) == (g is None)]
+        assert [got[g, x] for x in xs] == [None] + [i * 10 if i % 4 else None for i in xs[:-1]]
