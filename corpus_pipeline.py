@@ -1,7 +1,9 @@
 """Corpus pipeline: quality classifier, near duplicates, repeated strings, source mix, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and
-returns documents with the same columns (the last one the packed pieces).
+returns documents with the same columns (the last one the packed pieces).  For every stage an
+empty table gives no rows, and columns beyond those it names are carried along; columns whose
+names begin with two underscores are the stages' own and may not be in ``docs``.
 """
 
 from __future__ import annotations
@@ -24,12 +26,15 @@ PASSAGE_WORDS = 51
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.5 go."""
+    """Documents that score under 0.5 go.  Null and empty texts are scored like others;
+    repeated rows and null ids are judged each by its text."""
     return op8_quality_rff.good_documents(docs, C.read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of smallest id stays."""
+    """Of each group of near copies the document of smallest id stays.  Of repeated rows (one
+    id, one text) one stays; a null id stands for its text's hash; null and empty texts have
+    no shingles, link with nothing and stay."""
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     kept = op6_ngram_join.ngram_join(docs).where("kept")
     one = kept.groupBy("id", "class_key").agg(F.min("text_key").alias("text_key"))
@@ -40,7 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes and passages of over 50 words (of any length) that repeat are
-    cut out of the texts."""
+    cut out of the texts.  Every row stays, with what is left of its text (null becomes empty);
+    characters cut in two go; repeated rows are different documents, so long ones empty."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     out = op9_suffix_dedup.suffix_dedup(docs, carry=rest, words=PASSAGE_WORDS)
     new = {"doc_id": F.col("id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept_text"),
@@ -49,13 +55,15 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources brought to their targets: a row each time a document is taken."""
+    """Sources brought to their targets: a row each time a document is taken.  A null source
+    is a source; texts without words are never taken; the last text of a source is cut."""
     out = op3_mixing.mixed_documents(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces packed into sequences."""
+    """Pieces packed into sequences.  Null and empty texts are one end token; repeated rows
+    are packed each."""
     return op7_packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
