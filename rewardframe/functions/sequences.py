@@ -93,6 +93,15 @@ def position_ids(x: Column | str, pad) -> Column:
     return F.aggregate(col_(x), start, step, lambda acc: acc["out"])
 
 
+def response_logits(steps: Column | str, context_length: Column) -> Column:
+    """Of the steps over ``query + response`` those that predict the response, ``[ctx - 1 : -1]``:
+    a step's logits are for the token after it.  Without a context the first response token has no
+    step before it, and the slice is empty."""
+    x = col_(steps)
+    n = F.when(context_length > 0, F.size(x) - context_length).otherwise(F.lit(0))
+    return F.slice(x, F.greatest(context_length, F.lit(1)), F.greatest(n, F.lit(0)))
+
+
 def reward_index(response: Column | str, pad, context_length: Column | int) -> Column:
     """A09(a): index in ``query + response`` of the last response token:
     ``first_pad(response) - 1 + context_length``."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import logits as LG
 from ..functions import rewards as R
+from ..functions import sequences as S
 from ..functions.chat import DEFAULT_SYSTEM, IM_END, IM_START, render
 from ..functions.sequences import pad_left, pad_right
 from ..functions.text import split_ws
@@ -158,6 +159,24 @@ def query_response(spark, sf):
     )
 
 
+@query(
+    "response_logits",
+    f"""WITH {PAIRS_CTE}, t AS (SELECT conv_id, turn, {Q.split_ws('query')} AS q, {Q.split_ws('response')} AS r FROM pr),
+         s AS (SELECT conv_id, turn, r, list_concat(q, r)[len(q):len(q) + len(r) - 1] AS steps FROM t WHERE len(q) > 0 AND len(r) > 0)
+    SELECT conv_id, turn, unnest(range(len(r))) AS t, unnest(steps) AS read_token, unnest(r) AS predicted_token FROM s""",
+    [],
+    "A12",
+)
+def response_logits(spark, sf):
+    """Each response token with the step whose logits predict it: the logits slice is shifted by one
+    against the response slice (a step is named by the token it has read)."""
+    p = conv_pairs(spark, sf).select("conv_id", "turn", split_ws("query").alias("q"), split_ws("response").alias("r"))
+    steps = S.response_logits(F.concat("q", "r"), F.size("q"))
+    z = F.arrays_zip(steps.alias("read_token"), F.when(F.size("q") > 0, F.col("r")).otherwise(F.slice("r", 1, 0)).alias("predicted_token"))
+    out = p.select("conv_id", "turn", F.posexplode_outer(z).alias("t", "z")).where(F.col("t").isNotNull())
+    return out.select("conv_id", "turn", F.col("t").cast("long").alias("t"), F.col("z.read_token").alias("read_token"), F.col("z.predicted_token").alias("predicted_token"))
+
+
 PAD = "<|endoftext|>"
 
 

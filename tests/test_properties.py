@@ -158,3 +158,10 @@ def test_gram_counts_in_the_row(spark):
         got = Counter({(r["id"], r["gram"]): r["n"] for r in S.with_gram_counts(df, "toks", n, sep="|").collect()})
         want = Counter((i, "|".join(t[k:k + n])) for i, t in rows if t for k in range(len(t) - n + 1))
         assert got == want
+
+
+def test_response_logits_is_the_shifted_slice(spark):
+    rows = [(list(range(n)), c) for n in range(6) for c in range(n + 1)]
+    df = spark.createDataFrame(rows, "x array<int>, c int")
+    for r in df.select("x", "c", S.response_logits("x", F.col("c")).alias("got")).collect():
+        assert r.got == r.x[r.c - 1:-1] if r.c else r.got == []
