@@ -272,3 +272,28 @@ def test_threshold_ends_the_scan_early():
     rows, score = lists.scan(a, stop, np.zeros(4096, bool))
     assert seen[-1] == o13.FIRST_DEPTH
     assert sorted(score)[-5:] == [3.0 * x for x in range(4091, 4096)]
+
+
+# --- edge cases of earlier operators ----------------------------------------------------
+
+
+def test_ngram_join_of_nothing(spark):
+    from rewardframe.llm import op6_ngram_join as o6
+
+    assert o6.ngram_join(C.empty_like(spark, DOC)).count() == 0
+
+
+def test_pipeline_stages_of_nothing(spark):
+    import corpus_pipeline
+
+    none = C.empty_like(spark, DOC)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, "/root/testdata/sf0.001").count() == 0, name
+
+
+def test_near_vectors_without_ids(spark):
+    from rewardframe.llm import op1_itq_neardup as o1
+
+    rows = [(None, [1.0, 2.0, 3.0]), (None, [1.0, 2.0, 3.0]), (5, [1.0, 2.0, 3.0]), (7, [-3.0, 1.0, 0.0])]
+    got = o1.itq_neardup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.id or -1, r.n_links) for r in got) == [(-1, 2), (-1, 2), (5, 2), (7, 0)]
