@@ -27,18 +27,18 @@ from . import common as C
 #: The contract's rules: (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-#: A small labelled url table, joined to the rows that a rule decides.
-SEED_URLS = {
-    "block": ["http://casino-bonus.example/win", "https://best-casino.example/slots", "http://free-bets.example/odds", "http://sports-bets.example/live",
-              "https://poker-win.example/play", "http://cheap-pills.example/buy", "https://viagra-shop.example/order", "http://xxx-cams.example/live",
-              "http://porn-tube.example/v/1", "https://payday-loans.example/apply", "http://win-prize.example/claim", "http://crack-serial.example/download",
-              "http://replica-watches.example/sale", "https://jackpot-win.example/free"],
-    "allow": ["https://www.library.example/catalogue", "https://docs.example/guide/intro.html", "http://blog.example/2020/05/post", "https://news.example/world/1",
-              "https://www.university.example/research", "https://wiki.example/page", "http://museum.example/visit", "https://www.city.example/council",
-              "https://journal.example/articles/12", "http://m.weather.example/today", "https://school.example/courses", "https://recipes.example/bread",
-              "https://www.theatre.example/programme", "https://health.example/advice"],
-}
-SEED_WEIGHT = 25.0
+#: Fixed values of the labelled url table: parts of host names and page names.
+SPAM_PARTS = ("casino bets bet poker slots jackpot bingo lottery pills viagra pharma rx porn xxx cams escort payday loans cash "
+              "crack serial keygen warez torrent replica spam farm prize win winner bonus hack cheat dating miracle ads adult tracker clickbait popup").split()
+PLAIN_PARTS = ("library school college museum journal garden weather recipes council health travel music history science sport books "
+               "theatre archive market city village bank church doctor kitchen letters maths nature ocean paper radio river "
+               "street studio village water window writing").split()
+#: Parts that stand in names of both kinds.
+SHARED_PARTS = "best free online top new my the easy live daily world central home zone hub 24".split()
+#: Sounds of invented names.
+SOUNDS = "th he an re er in on at nd st es en ti ha or tion ing ble ly ther sh wh ed ou la ne mi ro ka su".split()
+SUBDOMAINS, DOMAINS, LANGUAGES = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org"), ("en", "es", "fr", "de")
+TAILS = (".html", "/", "", "?page=2&ref=x", "#top")
 FEATURES = 1 << 14
 LABEL_ROWS = 20_000
 
@@ -63,9 +63,13 @@ def with_rule(df: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataF
 def grams(col: str, mark: str, sizes: tuple[int, ...] = (3, 4)) -> F.Column:
     """Character n-grams of a column with its ends marked."""
     s = F.concat(F.lit("^"), F.col(col), F.lit("$"))
-    parts = [F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1))),
-                                                 lambda i, n=n: F.concat(F.lit(mark), s.substr(i, F.lit(n)))))
-             .otherwise(F.array(F.concat(F.lit(mark), s))) for n in sizes]
+    c = F.split(s, "")
+    parts = []
+    for n in sizes:
+        g = F.transform(F.slice(c, F.lit(1), F.greatest(F.size(c) - (n - 1), F.lit(0))), lambda x: F.concat(F.lit(mark), x))
+        for k in range(1, n):  # linear in the text: neighbours are zipped, not cut out again
+            g = F.zip_with(g, F.slice(c, F.lit(k + 1), F.greatest(F.size(c) - (n - 1), F.lit(0))), lambda x, y: F.concat(x, y))
+        parts.append(F.when(F.size(c) >= n, g).otherwise(F.array(F.concat(F.lit(mark), s))))
     return F.concat(*parts)
 
 
@@ -74,35 +78,55 @@ def _features(df: DataFrame) -> DataFrame:
     return HashingTF(inputCol="_grams", outputCol="_x", numFeatures=FEATURES).transform(df).drop("_grams")
 
 
-def seed_table(spark: SparkSession) -> DataFrame:
-    rows = [(u, v) for v, urls in SEED_URLS.items() for u in urls]
-    return spark.createDataFrame(rows, "url string, verdict string")
+def _names() -> list[tuple[str, str]]:
+    """(name, verdict): two parts of one kind, a part of one kind beside a shared one, and
+    invented names, which are plain."""
+    out = []
+    for verdict, parts in (("block", SPAM_PARTS), ("allow", PLAIN_PARTS)):
+        for i, a in enumerate(parts):
+            out += [(a + ("-" if k % 2 else "") + parts[(i + k) % len(parts)], verdict) for k in range(1, 15)]
+            for k in range(8):
+                b = SHARED_PARTS[(5 * i + 3 * k) % len(SHARED_PARTS)]
+                out.append((f"{b}-{a}" if k % 2 else a + b, verdict))
+    n = len(SOUNDS)
+    out += [(SOUNDS[i % n] + SOUNDS[(7 * i + i // n) % n] + (SOUNDS[(3 * i + i // 7) % n] if i % 2 else ""), "allow") for i in range(24 * n)]
+    return list(dict(out).items())
+
+
+def label_table(spark: SparkSession, per_name: int = 4) -> DataFrame:
+    """The labelled urls: url, verdict, name.  No rule is asked.  Names of both kinds get the
+    same subdomains, domains, languages, numbers and tails, so only the name tells; each
+    fourth url bears it in its path, on a host of an invented name."""
+    rows = []
+    for i, (name, verdict) in enumerate(_names()):
+        for k in range(per_name):
+            j = i * 31 + k * 17
+            host, page = (name, str(1 + j * 7919 % 9973)) if k % 4 != 3 else (SOUNDS[j % len(SOUNDS)] + SOUNDS[j // 5 % len(SOUNDS)], name)
+            rows.append((f"{('https', 'http')[j // 2 % 2]}://{SUBDOMAINS[j % 4]}{host}.{DOMAINS[j // 3 % 3]}/{LANGUAGES[j // 7 % 4]}/{page}{TAILS[j // 11 % 5]}", verdict, name))
+    return spark.createDataFrame(rows, "url string, verdict string, name string")
 
 
 def fit(labelled: DataFrame, label_rows: int = LABEL_ROWS):
-    """Model from (host, path, verdict, weight), or the one verdict there is (``allow`` if none)."""
-    few = labelled.select("host", "path", "verdict", "weight").orderBy(F.desc("weight"), F.xxhash64("host", "path"), "host", "path", "verdict").limit(label_rows)
+    """Model from (host, path, verdict), or the one verdict there is (``allow`` if none)."""
+    few = labelled.select("host", "path", "verdict").orderBy(F.xxhash64("host", "path"), "host", "path", "verdict").limit(label_rows)
     few = C.stored(few, "op2-labels")
     seen = [r.verdict for r in few.select("verdict").distinct().collect()]
     if len(seen) < 2:
         return seen[0] if seen else "allow"
-    train = _features(few.withColumn("_y", (F.col("verdict") == "block").cast("double"))).select("_x", "_y", "weight")
-    return LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", regParam=1e-3, maxIter=60, standardization=False, probabilityCol="_p",
+    train = _features(few.withColumn("_y", (F.col("verdict") == "block").cast("double"))).select("_x", "_y")
+    return LogisticRegression(featuresCol="_x", labelCol="_y", regParam=1e-3, maxIter=60, standardization=False, probabilityCol="_p",
                               rawPredictionCol="_raw", predictionCol="_yes").fit(train)
 
 
 def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES,
                id_col: str = "page_id", url_col: str = "url", label_rows: int = LABEL_ROWS) -> DataFrame:
     """id, host, path, rule, verdict, block_probability (null where a rule decides).
-    ``labelled`` has url and verdict; by default the rows that a rule decides and, at a
-    greater weight, the seed table."""
+    ``labelled`` has url and verdict; by default ``label_table``."""
     src = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"))
     judged = with_rule(with_parts(src), rules)
     if labelled is None:
-        table = judged.where("by_rule is not null").select("host", "path", F.col("by_rule").alias("verdict"), F.lit(1.0).alias("weight")).unionByName(
-            with_parts(seed_table(pages.sparkSession)).select("host", "path", "verdict", F.lit(SEED_WEIGHT).alias("weight")))
-    else:
-        table = with_parts(labelled.select("url", "verdict")).where("verdict in ('allow', 'block')").withColumn("weight", F.lit(1.0))
+        labelled = label_table(pages.sparkSession)
+    table = with_parts(labelled.select("url", "verdict")).where("verdict in ('allow', 'block')")
     model = fit(table, label_rows)
     if isinstance(model, str):
         p = F.lit(1.0 if model == "block" else 0.0)
