@@ -4,9 +4,11 @@ Writer: records are dealt into archives of about ``archive_bytes``; each starts
 skippable frame (magic 0x184D2A5D) holding the dictionary, which is trained on a bounded
 sample, and compresses each record as a frame of its own.  Of records with equal payloads
 of at least ``min_bytes`` bytes the one of smallest id is the response and the others are
-revisits without payload.  Archives are rows (path, content), the layout of Spark's
-``binaryFile`` reader; Spark writes them, so any file system serves and a lost task is
-simply run again.
+revisits without payload.  Archives are files ``*.warc.zst`` in the shared folder (or one given),
+written by a Python data source: each task streams frames into files of a hidden temporary
+name, and the commit renames the files of the attempts that counted, so a lost or repeated
+task leaves no record twice.  Folders are reached through ``pyarrow.fs`` (local or mounted
+paths, ``file:``, ``hdfs:``, ``s3:``, ``gs:``).
 
 Reader: loads the dictionary, decodes frame by frame (never a whole archive at once),
 and checks the version line, the headers, Content-Length against the record and, for
@@ -22,13 +24,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import posixpath
+import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from . import common as C
 
@@ -129,34 +137,87 @@ def frames(content: bytes) -> Iterator[bytes]:
         yield b"".join(out)
 
 
-def _write_fn(dictionary: bytes, archive_bytes: int, tag: str):
-    def fn(batches):
-        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        press = zstandard.ZstdCompressor(level=6, dict_data=shared) if shared else zstandard.ZstdCompressor(level=6)
-        lead = struct.pack("<II", MAGIC, len(dictionary)) + dictionary
-        held, size, n = [lead], len(lead), 0
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder and its path there."""
+    if re.match(r"file:/|/", folder):
+        return fs.LocalFileSystem(), "/" + re.sub(r"^file:", "", folder).strip("/")
+    return fs.FileSystem.from_uri(folder)
 
-        def row():
-            body = b"".join(held)
-            return pa.RecordBatch.from_arrays([pa.array([f"{tag}-{hashlib.sha1(body).hexdigest()[:16]}-{n:05d}.warc.zst"]),
-                                               pa.array([body], pa.binary())], names=["path", "content"])
-        for b in batches:
+
+class Written(WriterCommitMessage):
+    """Names of the archives that one task wrote."""
+
+    def __init__(self, names: list[str]):
+        self.names = names
+
+
+class ArchiveWriter(DataSourceArrowWriter):
+    """Records to archives; an archive grows to about ``archive_bytes``, and a record alone
+    may pass them.  Only the frame at hand is in memory."""
+
+    def __init__(self, options: dict[str, str]):
+        self.folder, self.archive_bytes = options["path"], int(options["archive_bytes"])
+        self.dictionary = base64.b64decode(options["dictionary"])
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        files, folder = file_system(self.folder)
+        files.create_dir(folder, recursive=True)
+        shared = zstandard.ZstdCompressionDict(self.dictionary) if self.dictionary else None
+        press = zstandard.ZstdCompressor(level=6, dict_data=shared) if shared else zstandard.ZstdCompressor(level=6)
+        lead = struct.pack("<II", MAGIC, len(self.dictionary)) + self.dictionary
+        tag = f"pages-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}"
+        names, out, size = [], None, 0
+        for b in iterator:
             cols = [b.column(k) for k in ("page_id", "url", "payload", "record_type", "refers_to")]
             for i in range(b.num_rows):
                 frame = press.compress(record_bytes(*(c[i].as_py() for c in cols)))
-                if len(held) > 1 and size + len(frame) > archive_bytes:
-                    yield row()
-                    held, size, n = [lead], len(lead), n + 1
-                held.append(frame)
+                if out and size + len(frame) > self.archive_bytes:
+                    out.close()
+                    out = None
+                if not out:
+                    names.append(f"{tag}-{len(names):05d}.warc.zst")
+                    out, size = files.open_output_stream(posixpath.join(folder, "_" + names[-1]), compression=None), len(lead)
+                    out.write(lead)
+                out.write(frame)
                 size += len(frame)
-        if len(held) > 1:
-            yield row()
-    return fn
+        if out:
+            out.close()
+        return Written(names)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        files, folder = file_system(self.folder)
+        files.create_dir(folder, recursive=True)
+        for m in messages:
+            for name in m.names if m else ():
+                files.move(posixpath.join(folder, "_" + name), posixpath.join(folder, name))
+
+    def abort(self, messages: list[Written | None]) -> None:
+        files, folder = file_system(self.folder)
+        for m in messages:
+            for name in m.names if m else ():
+                files.delete_file(posixpath.join(folder, "_" + name))
+
+
+class Archives(DataSource):
+    """``df.write.format("warc_zstd")``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "warc_zstd"
+
+    def schema(self) -> str:
+        return "page_id long, url string, payload binary, record_type string, refers_to long"
+
+    def writer(self, schema, overwrite: bool) -> ArchiveWriter:
+        if overwrite:
+            raise ValueError("archives are only added to a folder")
+        return ArchiveWriter(self.options)
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0,
-                   archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Archives (path, content), written to the shared folder and read back."""
+                   archive_bytes: int = ARCHIVE_BYTES, folder: str | None = None) -> str:
+    """Write the archives and return their folder, by default a new one in the shared folder."""
+    spark = pages.sparkSession
     p = F.col(f"`{payload_col}`")
     payload = F.coalesce(p if pages.schema[payload_col].dataType.simpleString() == "binary" else F.encode(p.cast("string"), "UTF-8"), F.lit(b""))
     src = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
@@ -174,7 +235,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = rows.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")) \
         .withColumn("refers_to", F.when(revisit, F.col("first"))).select("page_id", "url", "payload", "record_type", "refers_to")
-    return C.stored(rows.mapInArrow(_write_fn(dictionary, archive_bytes, "pages"), "path string, content binary"), "op5-warc")
+    folder = folder or f"{C.ensure_checkpoint_dir(spark).rstrip('/')}/op5-warc-{uuid.uuid4().hex}"
+    spark.dataSource.register(Archives)
+    rows.write.format("warc_zstd").mode("append").option("archive_bytes", archive_bytes) \
+        .option("dictionary", base64.b64encode(dictionary).decode()).save(folder)
+    return folder
 
 
 def _read_fn(with_payload: bool):
@@ -221,14 +286,14 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_read_fn(with_payload), schema)
 
 
-def open_archives(spark: SparkSession, glob: str) -> DataFrame:
-    """``*.warc.zst`` files from any file system Spark reads."""
-    return read_archives(spark.read.format("binaryFile").load(glob))
+def open_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
+    """Records of the ``*.warc.zst`` files of a folder, on any file system Spark reads."""
+    return read_archives(spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder), with_payload)
 
 
 def op5_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: every page written to archives and read back."""
-    return read_archives(write_archives(C.read(spark, sf_dir, "pages")), with_payload=False).select(
+    return open_archives(spark, write_archives(C.read(spark, sf_dir, "pages")), with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
