@@ -13,11 +13,17 @@ Garcia-Molina 2003).
 3. A page's slots are the stretches between template tags of container elements and
    template texts.  Texts of the template go, once or repeated, unless they are over half
    of a page's text (a copy of other pages, which keeps them).
-4. A slot is kept by its content, at every depth: one whose text is mostly links goes,
-   except headings; a page of links only keeps them.  If article and main elements hold
-   more than half of that text, they delimit it.  Last, menus, headers, footers, sidebars,
-   notices, adverts, forms, scripts, styles and comments are left out, by element or by the
-   words of class, id and role.
+4. A slot is told by the template tag on its left and judged by its figures over all the
+   host's distinct pages: characters a page, the share of them in links, and how many
+   different texts it has.  The slot with most characters that are no links is the main one.
+   Another goes if most of its text is links, or if it stands beside the main slot's element
+   (neither in it nor around it) and either its texts come on two pages or more on average or
+   it has a tenth of the main slot's characters a page or less.  Hosts of under ``SLOT_PAGES``
+   distinct pages are not judged so.  Headings stay.
+5. On each page a slot whose text is mostly links goes, except headings; a page of links only
+   keeps them.  Last come the lists: if article and main elements hold more than half of the
+   text left, they delimit it, and menus, headers, footers, sidebars, notices, adverts, forms
+   and comments are left out, by element or by the words of class, id and role.
 
 Text: character references decoded, white space inside a block becomes one space, ends
 trimmed, blocks in page order joined by a line feed.  Defined cases: a null or empty page
@@ -44,6 +50,9 @@ from .op2_url_filter import with_parts
 SHARE = 0.5
 #: Two pages that share a text may be copies of each other.
 TEXT_PAGES = 3
+#: Fewer distinct pages say too little about a slot.
+SLOT_PAGES = 5
+SIDE_SHARE = 0.1
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -54,6 +63,8 @@ DROP = frozenset("nav header footer aside form script style head title noscript
 BLOCK = frozenset("address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li "
                   "main ol p pre section summary table tbody td tfoot th thead tr ul".split()) | DROP
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Text that no reader sees, whatever the template.
+UNSEEN = RAW - {"xmp"} | {"head"}
 CONTAINER = frozenset("html body div section article main td nav header footer aside form".split())
 _DROP_WORD = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|header|footer|sidebar|side|aside|notices?|cookies?|consent|"
                         r"popup|modal|newsletter|subscribe|share|sharing|social|related|comments?|reply|replies|respond|disqus|login|search|toolbar|pagination|"
@@ -92,17 +103,32 @@ def is_boilerplate(name: str, attrs: str) -> bool:
     return any(_DROP_WORD.search((a or b or c).lower()) for _, a, b, c in _NAMED.findall(attrs))
 
 
+def role(name: str, attrs: str) -> str:
+    """What tells elements of one name apart: class, else id, without numbers of three digits or more."""
+    if name not in ("div", "section", "td") or not attrs:
+        return ""
+    named = {k.lower(): (a or b or c).lower() for k, a, b, c in _NAMED.findall(attrs)}
+    return re.sub(r"(?:[^a-z0-9]|[0-9]{3,})+", ".", "." + (named.get("class") or named.get("id") or "")).rstrip(".")
+
+
 def walk(page: str):
-    """Events with the open elements kept: (kind, name, path, dropped, text, closed).  Each
+    """Events with the open elements kept: (kind, name, path, on a list, text).  Each
     element's path is its names from the root; a start tag that a block ends closes <p>."""
     stack: list[tuple[str, str, bool]] = []
+    unseen = 0
     for kind, name, attrs, text in events(page):
+        if name in UNSEEN and not attrs.rstrip().endswith("/"):
+            unseen = max(0, unseen + (1 if kind == "open" else -1))
+        if name in ("body", "article", "main"):
+            unseen = 0  # an unclosed head ends here
         if kind == "text":
+            if unseen:
+                continue
             yield kind, "", stack[-1][1] if stack else "", bool(stack) and stack[-1][2], text
         elif kind == "open":
             if name in BLOCK and name != "br" and stack and stack[-1][0] == "p":
                 stack.pop()
-            path = f"{stack[-1][1] if stack else ''}/{name}" if name in CONTAINER or name in DROP else (stack[-1][1] if stack else "")
+            path = f"{stack[-1][1] if stack else ''}/{name}{role(name, attrs)}" if name in CONTAINER or name in DROP else (stack[-1][1] if stack else "")
             drop = (bool(stack) and stack[-1][2]) or is_boilerplate(name, attrs)
             yield kind, name, path, drop, ""
             if name not in VOID and not attrs.rstrip().endswith("/"):
@@ -126,21 +152,20 @@ def flat(parts: list[tuple[str, int]]) -> str:
 
 def content(page: str) -> tuple[list[tuple[str, bool]], list[tuple]]:
     """Tags (token, is a container) and blocks (tags before it, path, inside an article, is
-    a heading, parts) of a page; a part is (text, number of its link or 0)."""
+    a heading, on a list, parts) of a page; a part is (text, number of its link or 0)."""
     tags: list[tuple[str, bool]] = []
     blocks: list[tuple] = []
-    article, link, fresh, heading = 0, 0, True, False
+    article, link, heading = 0, 0, False
+    open_block: dict[bool, list] = {}
     for kind, name, path, drop, text in walk(page):
         if kind == "text":
-            if drop:
-                continue
-            if fresh:
-                blocks.append((len(tags), path, article > 0, heading, []))
-                fresh = False
-            blocks[-1][4].append((entities.unescape(text), link))
+            if drop not in open_block:
+                open_block[drop] = []
+                blocks.append((len(tags), path, article > 0, heading, drop, open_block[drop]))
+            open_block[drop].append((entities.unescape(text), link))
             continue
         if name in BLOCK:
-            fresh, heading = True, kind == "open" and name in HEADING
+            open_block, heading = {}, kind == "open" and name in HEADING
         if name == "a" or name in CONTAINER:
             link = len(tags) + 1 if kind == "open" and name == "a" else 0
         if name in ("article", "main") and not drop:
@@ -171,7 +196,7 @@ def page_tokens(page: str) -> dict[str, tuple[int, int]]:
     out: dict[str, list[int]] = {}
     for at, (t, _) in enumerate(tags):
         out.setdefault(t, [0, at])[0] += 1
-    for at, path, _, _, parts in blocks:
+    for at, path, _, _, _, parts in blocks:
         text = flat(parts)
         if not text:
             continue
@@ -239,66 +264,139 @@ def own_text(path: str, parts: list[tuple[str, int]], texts: frozenset[str]) ->
     return parts
 
 
-def main_text(page: str, order: dict[str, int] | None = None, texts: frozenset[str] = frozenset()) -> str:
-    """Main text of a page given its template: the places of the once-a-page tags (None: no
-    template) and the texts."""
+def slot_lines(page: str, order: dict[str, int] | None, texts: frozenset[str], lists: bool) -> tuple[list[tuple], int]:
+    """Lines (slot's left tag in the template or -1, slot of the page, inside an article, is
+    a heading, on a list, text, characters of it in links) of a page without the template's
+    texts, and the characters before those went."""
     tags, blocks = content(page)
     bounds = [i for i, (t, box) in enumerate(tags) if box and (order is None or t in order)]
     if order is not None:
         bounds = [bounds[k] for k in in_order([order[tags[i][0]] for i in bounds])]
-    lines, extra, whole = [], 0, 0  # [slot, inside an article, is a heading, text, of it in links]
-    for at, path, inside, heading, parts in blocks:
+    lines, extra, whole = [], 0, 0
+    for at, path, inside, heading, listed, parts in blocks:
         text = flat(parts)
         if not text:
             continue
-        whole += len(text)
+        whole += len(text) * (not (lists and listed))
         if texts:
             parts = own_text(path, parts, texts)
             text = flat(parts)
         if text:
-            lines.append((bisect_left(bounds, at) + extra, inside, heading, text, sum(len(" ".join(t.split())) for t, k in parts if k)))
+            k = bisect_left(bounds, at)
+            left = order[tags[bounds[k - 1]][0]] if order is not None and k else -1
+            lines.append((left, k + extra, inside, heading, listed, text, sum(len(" ".join(t.split())) for t, n in parts if n)))
         else:
             extra += 1
-    if texts and 2 * sum(len(x[3]) for x in lines) < whole:
-        return main_text(page, order)
+    return lines, whole
+
+
+def main_text(page: str, order: dict[str, int] | None = None, texts: frozenset[str] = frozenset(), side: frozenset[int] = frozenset(),
+              lists: bool = True) -> str:
+    """Main text of a page given its template: the places of the once-a-page tags (None: no
+    template), the texts, and the left tags of the slots judged to be beside the main text.
+    ``lists`` False leaves out the last step, the lists and the article rule."""
+    lines, whole = slot_lines(page, order, texts, lists)
+    if texts and 2 * sum(len(x[5]) for x in lines if not (lists and x[4])) < whole:
+        return main_text(page, order, frozenset(), side, lists)
+    lines = [x for x in lines if (x[0] not in side or x[3]) and not (lists and x[4])]
     size: dict[int, list[int]] = {}
-    for slot, _, _, text, linked in lines:
-        x = size.setdefault(slot, [0, 0])
-        x[0] += len(text)
-        x[1] += linked
-    kept = [x for x in lines if x[1] or x[2] or 2 * size[x[0]][1] <= size[x[0]][0]] or lines
-    article = [x for x in kept if x[1]]
-    if 2 * sum(len(x[3]) for x in article) > sum(len(x[3]) for x in kept):
+    for x in lines:
+        n = size.setdefault(x[1], [0, 0])
+        n[0] += len(x[5])
+        n[1] += x[6]
+    kept = [x for x in lines if (lists and x[2]) or x[3] or 2 * size[x[1]][1] <= size[x[1]][0]] or lines
+    article = [x for x in kept if x[2]]
+    if lists and 2 * sum(len(x[5]) for x in article) > sum(len(x[5]) for x in kept):
         kept = article
-    return "\n".join(x[3] for x in kept)
+    return "\n".join(x[5] for x in kept)
+
 
+def _parts(template) -> tuple[dict[str, int], frozenset[str]]:
+    """A template's tags with their places, and its texts."""
+    tags = [x for x in template if not x.startswith("#")]
+    return {x: n for n, x in enumerate(tags)}, frozenset(x for x in template if x.startswith("#"))
 
-def _extract_fn(batches):
+
+def _slots_fn(batches):
     for b in batches:
-        page, template, texts = b.column("html"), b.column("template"), []
+        host, key, page, template = (b.column(k) for k in ("host", "key", "html", "template"))
         known: dict[tuple, tuple] = {}
+        rows: tuple[list, ...] = ([], [], [], [], [], [])
         for i in range(b.num_rows):
-            t = template[i].as_py()
-            if t is None:
-                texts.append(main_text(page[i].as_py() or ""))
-                continue
-            key = tuple(t)
-            if key not in known:
-                tags = [x for x in key if not x.startswith("#")]
-                known[key] = {x: n for n, x in enumerate(tags)}, frozenset(x for x in key if x.startswith("#"))
-            texts.append(main_text(page[i].as_py() or "", *known[key]))
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                                         names=["id", "url", "text", "n_chars"])
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = SHARE) -> DataFrame:
-    """id, url, text, n_chars for every page."""
+            t = tuple(template[i].as_py())
+            if t not in known:
+                known[t] = _parts(t)
+            slots: dict[int, list] = {}
+            for left, _, _, _, _, text, linked in slot_lines(page[i].as_py() or "", *known[t], lists=False)[0]:
+                slots.setdefault(left, []).append((text, linked))
+            for left, x in slots.items():
+                sign = hashlib.blake2b("\n".join(a for a, _ in x).encode("utf-8", "replace"), digest_size=16).hexdigest()
+                for c, v in zip(rows, (host[i].as_py(), key[i].as_py(), left, sum(len(a) for a, _ in x), sum(n for _, n in x), sign)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(rows, (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()))],
+            names=["host", "key", "slot", "chars", "linked", "sign"])
+
+
+def judge_slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """(host, side): the slots beside the main text, by their left tag, from their figures
+    over the host's distinct pages.  ``templates`` has host and template (tokens)."""
+    seen = pages.join(templates, "host").select("host", "key", "html", "template") \
+        .mapInArrow(_slots_fn, "host string, key long, slot int, chars long, linked long, sign string").dropDuplicates(["host", "key", "slot"])
+    stats = seen.groupBy("host", "slot", "sign").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked")) \
+        .groupBy("host", "slot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    stats = C.stored(stats, "op10-slots")
+    # the element a slot's text stands in: a start tag's own, an end tag's parent
+    tags = templates.select("host", F.filter("template", lambda t: ~t.startswith("#")).alias("tags"))
+    tag = F.when(F.col("slot") >= 0, F.get("tags", F.col("slot"))).otherwise("|")
+    path = F.substring_index(tag, "|", -1)
+    stats = stats.join(tags, "host").select("host", "slot", "n", "texts", "chars", "linked",
+                                            F.when(tag.startswith("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(path).alias("path"))
+    count = pages.select("host", "key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= SLOT_PAGES)
+    best = stats.groupBy("host").agg(F.max(F.struct((F.col("chars") - F.col("linked")).alias("own"), (-F.col("slot")).alias("first"),
+                                                    F.col("path").alias("path"), (F.col("chars") / F.col("n")).alias("mean"))).alias("best"))
+    main, root = F.col("best.path"), "^(/html)?(/body)?$"
+    near = (F.col("path") == main) | (~main.rlike(root) & F.col("path").startswith(F.concat(main, F.lit("/")))) \
+        | (~F.col("path").rlike(root) & main.startswith(F.concat(F.col("path"), F.lit("/"))))
+    beside = ~near & ((2 * F.col("texts") <= F.col("n")) | (F.col("chars") / F.col("n") <= SIDE_SHARE * F.col("best.mean")))
+    return stats.join(best, "host").join(count, "host").where((F.col("slot") != -F.col("best.first")) & ((2 * F.col("linked") > F.col("chars")) | beside)) \
+        .groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("side"))
+
+
+def _extract_fn(lists: bool):
+    def fn(batches):
+        for b in batches:
+            page, template, side, texts = b.column("html"), b.column("template"), b.column("side"), []
+            known: dict[tuple, tuple] = {}
+            for i in range(b.num_rows):
+                t = template[i].as_py()
+                if t is None:
+                    texts.append(main_text(page[i].as_py() or "", lists=lists))
+                    continue
+                key = tuple(t)
+                if key not in known:
+                    known[key] = *_parts(key), frozenset(side[i].as_py() or ())
+                texts.append(main_text(page[i].as_py() or "", *known[key], lists=lists))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                             names=["id", "url", "text", "n_chars"])
+    return fn
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = SHARE, template: bool = True,
+            lists: bool = True) -> DataFrame:
+    """id, url, text, n_chars for every page.  ``template`` and ``lists`` False leave that
+    part out, to see what it decides."""
     src = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
     src = with_parts(src).drop("path").withColumn("key", F.xxhash64("html"))
-    templates = deduce_templates(src, share).select("host", F.transform(F.filter("template", lambda t: t["once"] | t["token"].startswith("#")), lambda t: t["token"]).alias("template"))
-    out = src.join(C.stored(templates, "op10-templates"), "host", "left")
+    if template:
+        templates = deduce_templates(src, share).select("host", F.transform(F.filter("template", lambda t: t["once"] | t["token"].startswith("#")), lambda t: t["token"]).alias("template"))
+        templates = C.stored(templates, "op10-templates")
+        known = C.stored(templates.join(judge_slots(src, templates), "host", "left"), "op10-judged")
+        out = src.join(known, "host", "left")
+    else:
+        out = src.withColumn("template", F.lit(None).cast("array<string>")).withColumn("side", F.lit(None).cast("array<int>"))
     kind = src.schema["id"].dataType.simpleString()
-    return out.select("id", "url", "html", "template").mapInArrow(_extract_fn, f"id {kind}, url string, text string, n_chars long")
+    return out.select("id", "url", "html", "template", "side").mapInArrow(_extract_fn(lists), f"id {kind}, url string, text string, n_chars long")
 
 
 def op10_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:

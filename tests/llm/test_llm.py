@@ -448,6 +448,45 @@ def test_html_template_decides(spark):
     assert o10.main_text(links, order) == "words of the page itself"
 
 
+def test_html_slots_are_judged_by_host_figures(spark):
+    """No listed word, no article element: the footer and the notices vary by page and go by their
+    slot's figures, texts of few kinds by their variation, and a sub-slot of the main one stays."""
+    page = ("<body><div class=q1><a href=/{0}>go {0}</a> <a href=/b{0}>b{0}</a></div><div class=q2><p>Today {0} of note</p></div>"
+            "<div class=q3><h1>Head {0}</h1><div class=q4><p>Lead {0}</p></div>{1}</div><div class=q5><p>{2}</p></div><div class=q6>Made {0} by hand</div></body>")
+    words = [("<p>%s</p>" % ("story%d goes on " % i * 60).strip()) for i in range(8)]
+    rotating = ["kind %s " % "ab"[i % 2] * 40 for i in range(8)]
+    df = spark.createDataFrame([(i, "http://a/%d" % i, page.format("n%d" % i, words[i], rotating[i])) for i in range(8)], "page_id long, url string, html string")
+    want = {i: f"Head n{i}\nLead n{i}\n{words[i][3:-4]}" for i in range(8)}
+    for lists in (True, False):
+        assert {r.id: r.text for r in o10.extract(df, lists=lists).collect()} == want
+    assert all("by hand" in r.text for r in o10.extract(df, template=False).collect())
+    few = df.where(f"page_id < {o10.SLOT_PAGES - 1}")
+    assert all("by hand" in r.text for r in o10.extract(few).collect())
+    assert o10.extract(df.withColumn("html", F.lit("<p>" + "t" * 2_000_000))).first().n_chars == 2_000_000
+
+
+def test_html_classes_match_direct_count(spark):
+    """Vectors, supports and order of the template's tokens against a count page by page."""
+    pages = C.read(spark, "/root/testdata/sf0.001", "pages")
+    src = o2.with_parts(pages).withColumn("key", F.xxhash64("html"))
+    got = {r.host: {(x.token, x.once) for x in r.template} for r in o10.deduce_templates(src).collect()}
+    per = defaultdict(dict)
+    for r in src.select("host", "key", "html").collect():
+        per[r.host][r.key] = {t: n for t, (n, _) in o10.page_tokens(r.html or "").items()}
+    want = {}
+    for host, by_page in per.items():
+        vectors = defaultdict(set)
+        for t in {t for p in by_page.values() for t in p}:
+            vectors[tuple((k, p[t]) for k, p in sorted(by_page.items()) if t in p)].add(t)
+        keep = set()
+        for v, ts in vectors.items():
+            if len(v) >= max(2, o10.SHARE * len(by_page)) and sum(2 if t.startswith("#") else 1 for t in ts) > 1:
+                keep |= {(t, max(n for _, n in v) == 1) for t in ts if not t.startswith("#") or len(v) >= o10.TEXT_PAGES}
+        if keep:
+            want[host] = keep
+    assert got == want and len(want) > 1
+
+
 def test_html_keeps_every_depth(spark):
     """Pages of other shapes: article elements that hold little, titles and introductions above the longest slot."""
     long = "<p>%s</p>" % ("long words " * 20).strip()
