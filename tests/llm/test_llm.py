@@ -403,6 +403,34 @@ def test_quality_held_out_and_edges(spark, odd, none):
     assert o8.quality(none, labels).count() == 0
 
 
+def test_quality_fit_matches_direct_solve(spark):
+    """Weights against numpy's least squares on the whole matrix, calibration against the min-max
+    form of isotonic regression, scores against both."""
+    labels = C.read(spark, "/root/testdata/sf0.01", "labels")
+    f = o8.features_of(C.read(spark, "/root/testdata/sf0.01", "documents"))
+    model = o8.fit(f, labels)
+    y = {r.doc_id: r.quality for r in labels.where("quality in (0, 1)").collect()}
+    rows = [(r.id, np.frombuffer(bytes(r.f), dtype=np.float64), r.cal) for r in
+            f.withColumn("cal", F.pmod(F.xxhash64("id"), F.lit(4)) == 0).collect() if r.id in y and zlib.crc32(str(r.id).encode()) % 3 != 1]
+    x, t, cal = np.stack([r[1] for r in rows]), np.array([y[r[0]] for r in rows], float), np.array([r[2] for r in rows])
+    main = x[~cal]
+    scale = main.std(0)
+    scale[scale < 1e-9] = 1.0
+    assert np.allclose(model.mean, main.mean(0)) and np.allclose(model.scale, scale)
+    z, n = o8.rff((main - main.mean(0)) / scale), len(main)
+    ridge = np.diag(np.sqrt(np.append(np.full(o8.RFF, o8.RIDGE * n), 0.0) + 1e-9))
+    w = np.linalg.lstsq(np.vstack([z, ridge]), np.append(t[~cal], np.zeros(o8.RFF + 1)), rcond=None)[0]
+    raw = z @ w
+    assert np.allclose(model.raw(main), raw, atol=1e-5)
+    k = np.floor((model.raw(x[cal]).clip(o8.LOW, o8.HIGH) - o8.LOW) / (o8.HIGH - o8.LOW) * (o8.BINS - 1)).astype(int)
+    bins = sorted(set(k))
+    m, ones = np.array([(k == b).sum() for b in bins], float), np.array([t[cal][k == b].sum() for b in bins])
+    direct = [max(min(ones[a:b + 1].sum() / m[a:b + 1].sum() for b in range(i, len(bins))) for a in range(i + 1)) for i in range(len(bins))]
+    assert np.allclose(model.values, direct)
+    want = np.interp(raw, o8.LOW + (np.array(bins) + 0.5) / (o8.BINS - 1) * (o8.HIGH - o8.LOW), direct)
+    assert np.allclose(model.score(main), want, atol=1e-2)
+
+
 def test_isotonic_rises():
     v = o8.isotonic(np.array([1.0, 2, 1, 4]), np.array([1.0, 0, 1, 3]))
     assert (np.diff(v) >= 0).all() and np.allclose(v[:2], 1 / 3)
