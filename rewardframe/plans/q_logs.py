@@ -84,3 +84,19 @@ def run_summary(spark, sf):
     LG.write_documents(docs.select(F.to_json(F.struct(F.col("user_id").alias("_run"), "summary")).alias("value")), path)
     d = LG.read_documents(spark, path).select(F.variant_get("doc", "$._run", "long").alias("run"), F.variant_get("doc", "$.summary", "variant").alias("s"))
     return LG.explode_keys(d, F.col("s"), "metric", "last_value").select("run", "metric", "last_value")
+
+
+_SPECIAL = ", ".join(f"('{t}', {i})" for t, i in LG.SPECIAL_TOKENS)
+
+
+@query(
+    "special_labels",
+    f"""SELECT l_orderkey AS rollout_id, l_linenumber AS t, 151640 + l_partkey % 30 AS token_id, token AS special_token
+        FROM lineitem LEFT JOIN (VALUES {_SPECIAL}) AS s(token, id) ON 151640 + l_partkey % 30 = id""",
+    [],
+    "J04",
+)
+def special_labels(spark, sf):
+    """Token ids with the name of the special token they stand for, NULL for ordinary tokens."""
+    t = TB.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("rollout_id"), F.col("l_linenumber").alias("t"), (151640 + F.col("l_partkey") % 30).alias("token_id"))
+    return LG.label_special(t, "token_id").select("rollout_id", "t", "token_id", "special_token")
