@@ -1,8 +1,10 @@
 """State that ends by itself (X06): sessions closed by event-time timers.
 
-Per run the state holds its open sessions only.  A row extends, bridges or opens a session and
-registers a timer at the session's end; when the watermark reaches it, the session is
-emitted once and its state is freed.  Rows later than the watermark are dropped before.
+Per run the state holds its open sessions only.  A row extends, bridges or opens a session; a
+timer stands at the end of the run's earliest one.  When the watermark reaches it, the ended
+sessions are emitted once, their state is freed and the next timer is set.  Rows later than the
+watermark are dropped before.  State is read and written per run, not per session: each call
+to the state store is a round trip between Python and the JVM.
 """
 
 from __future__ import annotations
@@ -41,19 +43,25 @@ class SessionTimers(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "first long", "last long, n long, total double")
+        # one value a run, in columns: a row of state costs a conversion in Python and one in the JVM
+        kind = "first array<long>, last array<long>, n array<long>, total array<double>"
+        self.open = handle.getValueState("open", kind)
 
     def _due(self, last: int) -> int:
         return -(-(last + self.gap) // 1000)
 
     def _held(self) -> list[tuple]:
-        return [(int(k[0]), int(v[0]), int(v[1]), float(v[2])) for k, v in self.open.iterator()]
+        held = self.open.get()
+        return list(zip(*held)) if held else []
 
-    def _frame(self, key, sessions: list[tuple]):
-        import pandas as pd
+    def _keep(self, sessions: list[tuple]) -> None:
+        if sessions:
+            self.open.update(tuple(list(c) for c in zip(*sessions)))
+        else:
+            self.open.clear()
 
-        rows = [(key[0], a, b + self.gap, n, t) for a, b, n, t in sessions]
-        return pd.DataFrame(rows, columns=[self.key, "session_start_us", "session_end_us", "n_events", "total"])
+    def _first_due(self, sessions: list[tuple]) -> int:
+        return self._due(sessions[0][1])  # they are apart and in order, so the first ends first
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import numpy as np
@@ -61,24 +69,33 @@ class SessionTimers(StatefulProcessor):
         before = self._held()
         spans = before
         for pdf in rows:  # the rows of a chunk are cut at their gaps at once
-            pdf = pdf.sort_values("us_")
             at, x = pdf["us_"].to_numpy(), pdf["value_"].to_numpy(dtype="float64")
-            cuts = np.flatnonzero(np.diff(at) >= self.gap) + 1
-            lo, hi = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(at)]])
-            spans = merge_sessions(spans + [(int(at[a]), int(at[b - 1]), int(b - a), float(np.nansum(x[a:b]))) for a, b in zip(lo, hi)], self.gap)
-        for s in set(before) - set(spans):
-            self.open.removeKey((s[0],))
-        for s in set(spans) - set(before):
-            self.open.updateValue((s[0],), (s[1], s[2], s[3]))
-            self.handle.registerTimer(self._due(s[1]))
-        yield self._frame(key, [])
+            order = np.argsort(at, kind="stable")
+            at, x = at[order], np.nan_to_num(x[order], nan=0.0, posinf=np.inf, neginf=-np.inf)
+            lo = np.concatenate([[0], np.flatnonzero(np.diff(at) >= self.gap) + 1])
+            hi = np.append(lo[1:], len(at))
+            new = zip(map(int, at[lo]), map(int, at[hi - 1]), (hi - lo).tolist(), np.add.reduceat(x, lo).tolist())
+            spans = merge_sessions([*spans, *new], self.gap)
+        if spans != before:
+            self._keep(spans)
+        # open sessions have a timer no later than the end of the first, and rows only delay an end
+        if not before or self._first_due(spans) < self._first_due(before):
+            self.handle.registerTimer(self._first_due(spans))
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        done = [s for s in self._held() if self._due(s[1]) <= now]  # an extended session has a later timer
-        for s in done:
-            self.open.removeKey((s[0],))
-        yield self._frame(key, done)
+        import pandas as pd
+
+        now = timerValues.getCurrentWatermarkInMs()
+        held = self._held()
+        n = sum(self._due(s[1]) <= now for s in held)  # an extended session ends later than its timer
+        if n:
+            self._keep(held[n:])
+        if held[n:]:
+            self.handle.registerTimer(self._first_due(held[n:]))
+        if n:
+            rows = [(key[0], a, b + self.gap, c, t) for a, b, c, t in held[:n]]
+            yield pd.DataFrame(rows, columns=[self.key, "session_start_us", "session_end_us", "n_events", "total"])
 
     def close(self) -> None:
         pass

@@ -230,3 +230,79 @@ def test_session_timers_late_rows_and_restart(spark, tmp_path):
     assert step([(1, 12, 16), (2, 60, 32)]) == [(1, 0, 3, 19.0), (2, 3, 1, 8.0)]  # watermark 30: ends at 22 and 13
     # minute 10 is later than the watermark and dropped; 35 extends the session of 30
     assert step([(1, 10, 64), (1, 35, 128), (2, 200, 1)]) == [(1, 0, 3, 19.0), (1, 30, 2, 132.0), (2, 3, 1, 8.0), (2, 60, 1, 32.0)]
+
+
+def test_session_state_calls_do_not_grow_with_the_sessions():
+    import pandas as pd
+
+    from rewardframe.streaming.timers import SessionTimers
+
+    class Handle:
+        """Counts the calls to the state store; any kind of state is one value here."""
+
+        def __init__(self):
+            self.calls, self.value, self.timers = 0, None, set()
+
+        def getMapState(self, *a):
+            raise AssertionError("a call per session")
+
+        def getValueState(self, *a):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.calls += 1
+            self.value = None
+
+        def registerTimer(self, at):
+            self.calls += 1
+            self.timers.add(at)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    for n in (10, 1000):
+        h, p = Handle(), SessionTimers("run", 1_000_000)
+        p.init(h)
+        pdf = pd.DataFrame({"us_": [2_000_000 * i for i in reversed(range(n))], "value_": [1.0] * (n - 1) + [None]})
+        assert [len(f) for f in p.handleInputRows((7,), iter([pdf]), At(0))] == []
+        assert h.timers == {1000}
+        (out,) = p.handleExpiredTimer((7,), At(2000 * (n - 1)), At(1000))  # all but the last have ended
+        assert out["session_start_us"].tolist() == [2_000_000 * i for i in range(n - 1)]
+        assert out["total"].tolist() == [0.0] + [1.0] * (n - 2) and out["n_events"].eq(1).all()
+        assert h.timers == {1000, 2000 * n - 1000} and h.calls == 6
+        (out,) = p.handleExpiredTimer((7,), At(2000 * n), At(2000 * n - 1000))
+        assert len(out) == 1 and h.value is None and h.calls == 8
+
+
+def test_session_timers_moved_back_and_forth(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from rewardframe.streaming.runner import read_stream, run_available
+    from rewardframe.streaming.timers import closed_sessions, rocksdb_state
+
+    src, where = str(tmp_path / "in"), str(tmp_path / "q")
+    t0 = datetime(2024, 1, 1)
+
+    def step(*minutes):
+        rows = [(1, t0 + timedelta(minutes=m), 1.0) for m in minutes]
+        spark.createDataFrame(rows, "run long, ts timestamp_ntz, v double").coalesce(1).write.mode("append").parquet(src)
+        with rocksdb_state(spark):
+            out = closed_sessions(read_stream(spark, src), "ts", "run", 600, "v", "60 minutes")
+            got = run_available(out, "timers", "append", location=where)
+        return sorted((r.session_start_us // 60_000_000 - 28401120, r.n_events) for r in got.collect())
+
+    assert step(40, 61) == []  # a timer at 50
+    # an earlier session moves the timer back to 30
+    assert step(20, 75, 70) == []
+    # its end moves on past both timers to 55; the watermark passes all three, the next end is 85
+    assert step(28, 36, 45, 121) == [(20, 5)]
+    assert step(300) == [(20, 5), (61, 3), (121, 1)]
