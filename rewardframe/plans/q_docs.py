@@ -355,6 +355,12 @@ def ngram_counts(spark, sf):
     return S.with_gram_counts(doc_rollouts(spark, sf).select("rollout_id", "tokens"), "tokens", 3)
 
 
+def gram_rows(spark, sf):
+    """One row (g0, g1, g2) for each 3-gram of each rollout: no string is built."""
+    g = doc_rollouts(spark, sf).select(S.explode_rows(S.ngram_rows("tokens", 3)).alias("g"))
+    return g.where(F.col("g").isNotNull()).select("g.*")
+
+
 @query(
     "top_ngrams",
     f"""{D}, g AS (SELECT unnest({Q.ngram_keys('tokens', 3)}) AS gram FROM ro)
@@ -364,8 +370,7 @@ def ngram_counts(spark, sf):
 )
 def top_ngrams(spark, sf):
     """Top 20 corpus 3-grams (a top-k report; total order by count then gram)."""
-    g = doc_rollouts(spark, sf).select(S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram")).where(F.col("gram").isNotNull())
-    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gram").limit(20)
+    return heavy.top_k_exact(gram_rows(spark, sf), "gram", 20, F.concat_ws(" ", "g0", "g1", "g2"))
 
 
 @query(

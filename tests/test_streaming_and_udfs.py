@@ -306,3 +306,54 @@ def test_session_timers_moved_back_and_forth(spark, tmp_path):
     # its end moves on past both timers to 55; the watermark passes all three, the next end is 85
     assert step(28, 36, 45, 121) == [(20, 5)]
     assert step(300) == [(20, 5), (61, 3), (121, 1)]
+
+
+def test_top_k_exact_counts_buckets_first(spark, monkeypatch):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from rewardframe.operators import heavy
+
+    rnd = random.Random(5)
+    words = [(f"a{min(int(rnd.paretovariate(0.9)), 3000)}", f"b{rnd.randrange(2)}") for _ in range(20_000)]
+    df = spark.createDataFrame(words, "g0 string, g1 string").repartition(4)
+    count = Counter(" ".join(w) for w in words)
+    want = sorted(count.items(), key=lambda x: (-x[1], x[0]))
+    text = F.concat_ws(" ", "g0", "g1")
+    made, store = {}, heavy.stored
+
+    def stored(d, tag):
+        made[tag] = store(d, tag)
+        return made[tag]
+
+    monkeypatch.setattr(heavy, "stored", stored)
+    for buckets in (1 << 18, 1024, 3):  # the fullest buckets settle it; others reach the k-th count; all are counted
+        assert [tuple(r) for r in heavy.top_k_exact(df, "gram", 10, text, buckets).collect()] == want[:10]
+        # the whole table meets the shuffle as numbers of buckets, not as values
+        loads = made["bucket-loads"]
+        assert dict(loads.dtypes) == {heavy.HASH: "bigint", "n": "bigint"} and loads.count() <= buckets
+        assert loads.agg(F.sum("n")).first()[0] == len(words)
+    # one value fills the listed buckets' last place with a tie outside
+    flat = spark.createDataFrame([(f"v{i:04}",) for i in range(2000)] + [(None,)] * 9, "v string")
+    assert [tuple(r) for r in heavy.top_k_exact(flat, "v", 3).collect()] == [(f"v{i:04}", 1) for i in range(3)]
+    assert heavy.top_k_exact(flat.limit(0), "v", 3).collect() == []
+
+
+def test_top_ngrams_shuffles_no_gram_of_the_whole_table(spark, tmp_path, monkeypatch):
+    from collections import Counter
+
+    from rewardframe.operators import heavy
+    from rewardframe.plans import catalog
+
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choice(["x", "y", "z", "é", "w　v"]) for _ in range(rnd.randrange(30))) for _ in range(200)] + [None, "", "x y"]
+    docs = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    count = Counter(" ".join(w[i : i + 3]) for t in texts if t for w in [t.split()] for i in range(len(w) - 2))
+    want = sorted(count.items(), key=lambda x: (-x[1], x[0]))[:20]
+    tags, store = [], heavy.stored
+    monkeypatch.setattr(heavy, "stored", lambda d, tag: tags.append(tag) or store(d, tag))
+    for name in ("top_ngrams", "top_ngrams_sketch"):
+        assert [tuple(r) for r in catalog.registry()[name].build(spark, str(tmp_path)).collect()] == want
+    assert tags[:3] == ["bucket-loads", "full-buckets", "top-exact"] and "top-sketch" in tags
