@@ -67,17 +67,18 @@ def top_k_exact(values: DataFrame, col: str, k: int, value: Column | None = None
     return within(reach)
 
 
-def top_k(values: DataFrame, col: str, k: int, items: int = ITEMS, listed: int | None = None) -> DataFrame:
-    """The ``k`` most frequent non-null values with their exact counts ``n``, most frequent first,
-    ties by value.  ``values`` is evaluated twice."""
-    def counted(df):
-        return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col).limit(k)
-
+def top_k(
+    values: DataFrame, col: str, k: int, items: int = ITEMS, listed: int | None = None, value: Column | None = None
+) -> DataFrame:
+    """As :func:`top_k_exact`, by the sketch.  It follows the values' hashes: a value is no more
+    frequent than its hash, so the bound holds for values, and the values of the listed hashes are
+    counted exactly.  ``values`` is evaluated twice."""
     if k > items:  # more than the sketch could ever prove
-        return counted(values.where(F.col(col).isNotNull()))
-    found, bound = candidates(values, col, items, min(items, listed or 50 * k))
-    top = stored(counted(values.join(found, col, "left_semi")), "top-exact")
+        return top_k_exact(values, col, k, value)
+    rows, built = hashed(values, col, value)
+    found, bound = candidates(rows, HASH, items, min(items, listed or 50 * k))
+    top = stored(counted(rows.join(F.broadcast(found), HASH, "left_semi"), built, col, k), "top-exact")
     worst = top.agg(F.count(F.lit(1)), F.min("n")).first()
     if worst[0] == k and worst[1] > bound:
         return top.orderBy(F.desc("n"), col)
-    return counted(values.where(F.col(col).isNotNull()))
+    return top_k_exact(values, col, k, value)

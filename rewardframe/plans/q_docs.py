@@ -382,8 +382,7 @@ def top_ngrams(spark, sf):
 )
 def top_ngrams_sketch(spark, sf):
     """``top_ngrams`` without shuffling every n-gram: sketch, then exact counts of the candidates."""
-    ro = doc_rollouts(spark, sf).select(S.explode_rows(S.ngram_keys("tokens", 3)).alias("gram"))
-    return heavy.top_k(ro, "gram", 20)
+    return heavy.top_k(gram_rows(spark, sf), "gram", 20, value=F.concat_ws(" ", "g0", "g1", "g2"))
 
 
 @query(

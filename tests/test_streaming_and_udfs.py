@@ -334,6 +334,9 @@ def test_top_k_exact_counts_buckets_first(spark, monkeypatch):
         loads = made["bucket-loads"]
         assert dict(loads.dtypes) == {heavy.HASH: "bigint", "n": "bigint"} and loads.count() <= buckets
         assert loads.agg(F.sum("n")).first()[0] == len(words)
+    assert [tuple(r) for r in heavy.top_k(df, "gram", 10, 4096, 200, text).collect()] == want[:10]
+    assert dict(made["top-candidates"].dtypes)[heavy.HASH] == "bigint"  # the sketch holds no strings
+    assert [tuple(r) for r in heavy.top_k(df, "gram", 10, 64, value=text).collect()] == want[:10]  # not proven
     # one value fills the listed buckets' last place with a tie outside
     flat = spark.createDataFrame([(f"v{i:04}",) for i in range(2000)] + [(None,)] * 9, "v string")
     assert [tuple(r) for r in heavy.top_k_exact(flat, "v", 3).collect()] == [(f"v{i:04}", 1) for i in range(3)]
